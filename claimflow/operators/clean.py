@@ -43,37 +43,36 @@ def _clean(df: DataFrame, upper=(), title=(), lower=(), dates=(), trim=(),
     return audit_columns(df.withColumns(cols), run_ts=run_ts)
 
 
-def clean_policies(df: DataFrame, run_ts: str | None = None) -> DataFrame:
-    return _clean(
-        df,
+# Which columns each table standardises, and how.
+CLEAN_SPEC = {
+    "policies": dict(
         upper=("policy_id", "customer_id", "region"),
         title=("policy_type", "property_type", "policy_status", "payment_frequency"),
         dates=("policy_start_date", "policy_end_date", "renewal_date", "created_date",
-               "last_updated"),
-        run_ts=run_ts,
-    )
-
-
-def clean_customers(df: DataFrame, run_ts: str | None = None) -> DataFrame:
-    return _clean(
-        df,
+               "last_updated")),
+    "customers": dict(
         upper=("customer_id", "state", "country"),
         title=("first_name", "last_name", "city", "occupation"),
         lower=("email",),
-        dates=("date_of_birth", "customer_since", "last_contact_date"),
-        run_ts=run_ts,
-    )
-
-
-def clean_claims(df: DataFrame, run_ts: str | None = None) -> DataFrame:
-    return _clean(
-        df,
+        dates=("date_of_birth", "customer_since", "last_contact_date")),
+    "claims": dict(
         upper=("claim_id", "policy_id", "customer_id", "adjuster_id", "investigator_id"),
         title=("claim_type", "claim_status", "severity_level"),
         dates=("claim_date", "incident_date", "report_date", "created_date", "last_updated"),
-        trim=("comments",),
-        run_ts=run_ts,
-    )
+        trim=("comments",)),
+}
+
+
+def clean_policies(df: DataFrame, run_ts: str | None = None) -> DataFrame:
+    return _clean(df, run_ts=run_ts, **CLEAN_SPEC["policies"])
+
+
+def clean_customers(df: DataFrame, run_ts: str | None = None) -> DataFrame:
+    return _clean(df, run_ts=run_ts, **CLEAN_SPEC["customers"])
+
+
+def clean_claims(df: DataFrame, run_ts: str | None = None) -> DataFrame:
+    return _clean(df, run_ts=run_ts, **CLEAN_SPEC["claims"])
 
 
 CLEANERS = {
