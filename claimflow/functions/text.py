@@ -16,14 +16,12 @@ def canonical_value(c, domain: list[str]) -> Column:
     ``initcap`` lower-cases everything after the first letter of a word, which
     turns ``Wind/Hail`` into ``Wind/hail``. A case-insensitive hit in the
     domain returns the domain spelling; anything else falls back to initcap.
+    The lookup is one literal-map probe, not a chain of comparisons, so the
+    expression stays small when Catalyst folds it into its input.
     """
     c = _col(c)
-    low = F.lower(c)
-    expr = None
-    for v in domain:
-        cond = low == F.lit(v.lower())
-        expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
-    return expr.otherwise(F.initcap(c)) if expr is not None else F.initcap(c)
+    lookup = F.create_map(*[F.lit(x) for v in domain for x in (v.lower(), v)])
+    return F.coalesce(F.try_element_at(lookup, F.lower(c)), F.initcap(c))
 
 
 def keep_digits(c) -> Column:

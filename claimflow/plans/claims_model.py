@@ -134,14 +134,17 @@ for _n in ("triage", "fraud", "settlement", "routing"):
 
 # ---- contexts -----------------------------------------------------------------------
 
-def fixture_sources(spark: SparkSession, sf_dir: str) -> dict:
+def fixture_sources(spark: SparkSession, sf_dir: str, materialized: bool = True) -> dict:
     return {
-        "raw_policies": lambda: fixtures.raw_policies(spark, sf_dir),
-        "raw_customers": lambda: fixtures.raw_customers(spark, sf_dir),
-        "raw_claims": lambda: fixtures.raw_claims(spark, sf_dir),
+        f"raw_{t}": (lambda t=t: fixtures.raw_table(spark, sf_dir, t, materialized))
+        for t in ("policies", "customers", "claims")
     }
 
 
-def context(spark: SparkSession, sf_dir: str, **params) -> Context:
-    """A context over the raw tables derived from the test tables in ``sf_dir``."""
-    return registry.context(spark, fixture_sources(spark, sf_dir), **params)
+def context(spark: SparkSession, sf_dir: str, materialized: bool = True, **params) -> Context:
+    """A context over the raw tables derived from the test tables in ``sf_dir``.
+
+    By default the raw tables are read from their partitioned Parquet copy
+    (written once per session); ``materialized=False`` derives them inline.
+    """
+    return registry.context(spark, fixture_sources(spark, sf_dir, materialized), **params)

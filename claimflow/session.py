@@ -19,7 +19,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A generated method above ~8 KB of bytecode is never JIT-compiled and runs
+    # interpreted; fall back to per-expression codegen for such stages instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Broadcast only sides whose estimated (and, under AQE, measured) size is
     # below this bound; everything larger is shuffled.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
