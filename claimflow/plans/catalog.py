@@ -353,3 +353,89 @@ def top5_claims(spark, sf_dir):
     return summaries.top_n(
         claims.select("claim_id", "policy_id", "claim_type", "severity_level", "claim_amount"),
         5, [F.desc("claim_amount"), F.asc("claim_id")])
+
+
+# ---- sinks and sources: write, read back, verify ----------------------------------------
+
+from ..schemas import PARTITION_COLUMNS  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import generate, io  # noqa: E402
+
+
+@register("roundtrip_partitioned", O.query("SELECT * FROM valid_claims", "valid_claims"))
+def roundtrip_partitioned(spark, sf_dir):
+    """Validated claims written partitioned by (claim_type, claim_status), read back."""
+    claims = no_ts(_ctx(spark, sf_dir).read("claims"))
+    path = io.write_partitioned(claims, scratch_path(spark, "rt-claims"),
+                                PARTITION_COLUMNS["claims"])
+    return io.read_dataset(spark, path, claims.schema)
+
+
+@register("roundtrip_table", O.query("SELECT * FROM dim_policy", "dim_policy"))
+def roundtrip_table(spark, sf_dir):
+    """dim_policy saved as a catalog table (files in the shared folder), read back."""
+    import uuid
+    name = f"claimflow_rt_dim_policy_{uuid.uuid4().hex[:8]}"
+    io.write_table(_ctx(spark, sf_dir).read("dim_policy"), name,
+                   path=scratch_path(spark, "rt-dim-policy"))
+    return io.read_table(spark, name)
+
+
+@register("verify_written", O.query(
+    "SELECT count(*) AS rows, count(DISTINCT state || '|' || age_group) AS partitions "
+    "FROM raw_customers", "raw_customers"))
+def verify_written(spark, sf_dir):
+    """Raw customers written partitioned by (state, age_group); rows and directories read back."""
+    raw = _ctx(spark, sf_dir).read("raw_customers")
+    path = io.write_partitioned(raw, scratch_path(spark, "rt-customers"),
+                                PARTITION_COLUMNS["customers"])
+    summary, _sample = io.verify_written(spark, path)
+    return summary.select("rows", "partitions")
+
+
+_COUNTED = ("policies", "customers", "claims", "dim_customer", "dim_policy", "fact_claim")
+
+
+@register("row_counts", O.query(
+    "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM "
+        f"{'valid_' + t if t in ('policies', 'customers', 'claims') else t}" for t in _COUNTED),
+    *[("valid_" + t if t in ("policies", "customers", "claims") else t) for t in _COUNTED]))
+def row_counts_q(spark, sf_dir):
+    ctx = _ctx(spark, sf_dir)
+    return io.row_counts({t: ctx.read(t) for t in _COUNTED})
+
+
+# ---- generated tables over the ids of the given tables ------------------------------------
+
+def _count(spark, sf_dir, table) -> int:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").count()
+
+
+N_CUSTOMERS_SQL = "(SELECT count(*) FROM customer)"
+N_POLICIES_SQL = "(SELECT count(*) FROM orders)"
+
+
+@register("gen_policies", generate.generated_sql(
+    "policies", "orders", "o_orderkey", n_customers=N_CUSTOMERS_SQL))
+def gen_policies(spark, sf_dir):
+    ids = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet").select(
+        F.col("o_orderkey").alias("id"))
+    return generate.generate_policies(spark, ids, n_customers=_count(spark, sf_dir, "customer"))
+
+
+@register("gen_customers", generate.generated_sql("customers", "customer", "c_custkey"))
+def gen_customers(spark, sf_dir):
+    ids = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet").select(
+        F.col("c_custkey").alias("id"))
+    return generate.generate_customers(spark, ids)
+
+
+@register("gen_claims", generate.generated_sql(
+    "claims", "lineitem", "l_orderkey * 8 + l_linenumber", n_policies=N_POLICIES_SQL,
+    n_customers=N_CUSTOMERS_SQL))
+def gen_claims(spark, sf_dir):
+    ids = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"))
+    return generate.generate_claims(spark, ids, n_policies=_count(spark, sf_dir, "orders"),
+                                    n_customers=_count(spark, sf_dir, "customer"))

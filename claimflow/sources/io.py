@@ -75,12 +75,15 @@ def rows_to_df(spark: SparkSession, rows: list, schema: StructType) -> DataFrame
 def verify_written(spark: SparkSession, path: str, n: int = 5, fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
     """Read a written dataset back: (summary, first n rows).
 
-    The summary is one row (rows, files) from a single aggregate; ``files``
-    counts distinct data files actually read.
+    The summary is one row (rows, files, partitions) from a single aggregate:
+    distinct data files read and distinct directories holding them (one per
+    partition value combination of a partitioned layout).
     """
     df = spark.read.format(fmt).load(path)
-    summary = df.select(F.input_file_name().alias("__f")).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("__f").alias("files"))
+    files = df.select(F.input_file_name().alias("__f"))
+    summary = files.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("__f").alias("files"),
+        F.count_distinct(F.regexp_extract("__f", r"^(.*)/[^/]*$", 1)).alias("partitions"))
     return summary, df.limit(n)
 
 
