@@ -439,3 +439,21 @@ def gen_claims(spark, sf_dir):
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"))
     return generate.generate_claims(spark, ids, n_policies=_count(spark, sf_dir, "orders"),
                                     n_customers=_count(spark, sf_dir, "customer"))
+
+
+# ---- streaming: the bronze claims table built incrementally ---------------------------------
+
+@register("stream_valid_claims", O.query("SELECT * FROM valid_claims", "valid_claims"))
+def stream_valid_claims(spark, sf_dir):
+    """Raw claims files consumed as a stream (available-now trigger, 8 files per
+    micro-batch); the union of all micro-batch outputs equals the batch table."""
+    from ..schemas import CLAIM_SCHEMA
+    from ..sources import fixtures
+    from ..streaming.incremental import start_incremental
+    src = fixtures.materialize_raw(spark, sf_dir)["claims"]
+    out, metrics = scratch_path(spark, "st-claims"), scratch_path(spark, "st-metrics")
+    q = start_incremental(spark, "claims", src, CLAIM_SCHEMA, out, metrics,
+                          scratch_path(spark, "st-checkpoint"), run_ts=RUN_TS,
+                          max_files_per_trigger=8)
+    q.awaitTermination()
+    return no_ts(spark.read.parquet(out).drop("batch_id"))
