@@ -347,9 +347,14 @@ SqlGen.choice_at = _choice_at_sql
 
 # ---- Spark entry points ------------------------------------------------------------------
 
+ROWS_PER_PARTITION = 1_000_000
+
+
 def _ids(spark: SparkSession, ids, id_col: str) -> DataFrame:
+    """Row ids 1..n spread over enough partitions for n (about 1M rows each)."""
     if isinstance(ids, int):
-        return spark.range(1, ids + 1).withColumnRenamed("id", id_col)
+        parts = max(spark.sparkContext.defaultParallelism, -(-ids // ROWS_PER_PARTITION))
+        return spark.range(1, ids + 1, numPartitions=parts).withColumnRenamed("id", id_col)
     return ids
 
 
