@@ -68,7 +68,8 @@ def data_quality_summary(ctx: Context):
                 properties={"quality": "bronze"})
 def data_lineage_audit(ctx: Context):
     base = ctx.param("source_base", DEFAULT_SOURCE_BASE)
-    tables = {t: {"source_path": f"{base}{t}/", "source_format": "parquet"} for t in BRONZE}
+    paths = ctx.param("source_paths") or {t: f"{base}{t}/" for t in BRONZE}
+    tables = {t: {"source_path": paths[t], "source_format": "parquet"} for t in BRONZE}
     rules = {t: ctx.registry.rules(t) for t in BRONZE}
     counts = summaries.union_all(*[
         summaries.table_quality(ctx.unchecked(t), rules[t], t) for t in BRONZE])
