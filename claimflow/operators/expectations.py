@@ -227,3 +227,25 @@ def rule_form_counts(rules: list[Rule]) -> str:
         if n:
             out.append(f"{n} {form}")
     return ", ".join(out)
+
+
+def observe_rules(df: DataFrame, rules: list[Rule], name: str):
+    """Attach per-rule pass counts to ``df`` as a named observation.
+
+    The counts are computed by the job that consumes ``df`` (typically the
+    write of the cleaned table), so they cost no extra scan. Returns
+    ``(observed_df, observation)``; after the action ``observation.get``
+    holds ``{"__rows": n, rule name: passed, ...}``.
+    """
+    from pyspark.sql import Observation
+    obs = Observation(f"rules_{name}")
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    aggs += [F.count_if(r.passed()).alias(r.name) for r in rules]
+    return df.observe(obs, *aggs), obs
+
+
+def observed_metrics(values: dict, rules: list[Rule], dataset: str) -> list[tuple]:
+    """(dataset, rule, action, passed, failed) rows from an observation's values."""
+    n = values["__rows"]
+    return [(dataset, r.name, r.action, int(values[r.name]), int(n - values[r.name]))
+            for r in rules]

@@ -16,7 +16,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.expectations import (ALL_OR_DROP, DROP, EXPECT, OR_DROP, WARN, Rule,
-                                      apply_rules)
+                                      apply_rules, observe_rules, observed_metrics)
 
 
 @dataclass
@@ -101,6 +101,7 @@ class Context:
         self._written: dict[str, str] = {}
         self._materialize_to: str | None = None
         self._format = "parquet"
+        self._observations: dict = {}
 
     def param(self, name: str, default=None):
         return self._params.get(name, default)
@@ -121,9 +122,13 @@ class Context:
         elif name in self.registry.datasets:
             d = self.registry.datasets[name]
             df = self.unchecked(name)
+            writing = self._materialize_to and d.kind == "table"
+            if d.rules and writing:
+                # rule counts ride along with the write: no second pass
+                df, self._observations[name] = observe_rules(df, d.rules, name)
             if d.rules:
                 df = apply_rules(df, d.rules)
-            if self._materialize_to and d.kind == "table":
+            if writing:
                 df = self._write(name, df)
         else:
             raise KeyError(f"unknown dataset: {name}")
@@ -136,6 +141,19 @@ class Context:
         self._written[name] = path
         return self.spark.read.format(self._format).load(path)
 
+    def rule_metrics(self) -> list[tuple]:
+        """(dataset, rule, action, passed, failed) of every table written by ``run``."""
+        out = []
+        for name, obs in self._observations.items():
+            out += observed_metrics(obs.get, self.registry.rules(name), name)
+        return out
+
+    def register_views(self) -> list[str]:
+        """Expose every declared dataset as a temporary view (lazy, by name)."""
+        for n in self.registry.datasets:
+            self.read(n).createOrReplaceTempView(n)
+        return list(self.registry.datasets)
+
     def run(self, out_dir: str, targets: list[str] | None = None,
             fmt: str = "parquet") -> dict[str, str]:
         """Write every target table (default: all) in dependency order.

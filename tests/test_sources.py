@@ -93,3 +93,21 @@ def test_run_model_on_parquet_dirs(spark):
     assert {r.source_path for r in audit} == set(raw.values())
     assert spark.read.parquet(written["agent_routing"]).count() == \
         claims_model.context(spark, SF_SMALL).read("fact_claim").count()
+
+
+def test_run_observes_rule_counts_during_write(spark):
+    ctx = claims_model.context(spark, SF_SMALL)
+    ctx.run(scratch_path(spark, "t-obs"), targets=["claims", "dim_policy"])
+    observed = {(d, r): (p, f) for d, r, _a, p, f in ctx.rule_metrics()}
+    fresh = claims_model.context(spark, SF_SMALL)
+    for t in ("claims", "policies", "dim_policy"):
+        for m in E.expectation_metrics(fresh.unchecked(t), fresh.registry.rules(t), t).collect():
+            assert observed[(t, m.rule)] == (m.passed, m.failed)
+
+
+def test_register_views(spark):
+    ctx = claims_model.context(spark, SF_SMALL)
+    names = ctx.register_views()
+    assert "enriched_claims" in names
+    n = spark.sql("SELECT count(*) AS n FROM fact_claim").first().n
+    assert n == ctx.read("fact_claim").count()
