@@ -26,9 +26,3 @@ def canonical_value(c, domain: list[str]) -> Column:
 
 def keep_digits(c) -> Column:
     return F.regexp_replace(_col(c), "[^0-9]", "")
-
-
-def blank_is_null(c) -> Column:
-    """NULL for NULL or empty/whitespace-only text."""
-    c = _col(c)
-    return F.when(F.length(F.trim(c)) > 0, c)

@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import days_between, hash_bucket, padded_bucket, round_cents
-from ..schemas import SEVERITY_LEVELS  # noqa: F401  (domain reference)
 
 # ---- fixed values: thresholds, bonuses, labels -------------------------------
 SEVERITY_BONUS = [("Critical", 30), ("High", 20), ("Medium", 10)]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from ..functions import round_half_up
-from ..operators import enrich, expectations as E, scoring, star, summaries
+from ..operators import enrich, expectations as E, scoring, summaries
 from . import claims_model, oracle as O
 
 RUN_TS = "2024-01-01 00:00:00"
