@@ -235,7 +235,7 @@ def observe_rules(df: DataFrame, rules: list[Rule], name: str):
     The counts are computed by the job that consumes ``df`` (typically the
     write of the cleaned table), so they cost no extra scan. Returns
     ``(observed_df, observation)``; after the action ``observation.get``
-    holds ``{"__rows": n, rule name: passed, ...}``.
+    holds ``{"__rows": rows in, rule name: rows passing that rule, ...}``.
     """
     from pyspark.sql import Observation
     obs = Observation(f"rules_{name}")
@@ -244,6 +244,13 @@ def observe_rules(df: DataFrame, rules: list[Rule], name: str):
     return df.observe(obs, *aggs), obs
 
 
+def observe_count(df: DataFrame, name: str):
+    """``(df, observation)`` counting the rows of ``df`` as ``__kept`` during its action."""
+    from pyspark.sql import Observation
+    obs = Observation(f"kept_{name}")
+    return df.observe(obs, F.count(F.lit(1)).alias("__kept")), obs
+
+
 def observed_metrics(values: dict, rules: list[Rule], dataset: str) -> list[tuple]:
     """(dataset, rule, action, passed, failed) rows from an observation's values."""
     n = values["__rows"]

@@ -16,7 +16,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.expectations import (ALL_OR_DROP, DROP, EXPECT, OR_DROP, WARN, Rule,
-                                      apply_rules, observe_rules, observed_metrics)
+                                      apply_rules, observe_count, observe_rules,
+                                      observed_metrics)
 
 
 @dataclass
@@ -102,6 +103,7 @@ class Context:
         self._materialize_to: str | None = None
         self._format = "parquet"
         self._observations: dict = {}
+        self._kept: dict = {}
 
     def param(self, name: str, default=None):
         return self._params.get(name, default)
@@ -128,6 +130,8 @@ class Context:
                 df, self._observations[name] = observe_rules(df, d.rules, name)
             if d.rules:
                 df = apply_rules(df, d.rules)
+                if writing:
+                    df, self._kept[name] = observe_count(df, name)
             if writing:
                 df = self._write(name, df)
         else:
@@ -141,6 +145,13 @@ class Context:
         self._written[name] = path
         return self.spark.read.format(self._format).load(path)
 
+    def observed(self, name: str) -> dict | None:
+        """Values observed while ``name`` was written in this run, else None."""
+        obs, kept = self._observations.get(name), self._kept.get(name)
+        if obs is None or kept is None or name not in self._written:
+            return None
+        return {**obs.get, **kept.get}
+
     def rule_metrics(self) -> list[tuple]:
         """(dataset, rule, action, passed, failed) of every table written by ``run``."""
         out = []

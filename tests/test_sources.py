@@ -111,3 +111,14 @@ def test_register_views(spark):
     assert "enriched_claims" in names
     n = spark.sql("SELECT count(*) AS n FROM fact_claim").first().n
     assert n == ctx.read("fact_claim").count()
+
+
+def test_quality_summary_from_observed_counts_equals_scan(spark):
+    ctx = claims_model.context(spark, SF_SMALL, run_ts="2024-01-01 00:00:00")
+    written = ctx.run(scratch_path(spark, "t-dq"),
+                      targets=["policies", "customers", "claims", "data_quality_summary"])
+    from_run = {tuple(r) for r in spark.read.parquet(written["data_quality_summary"])
+                .drop("last_updated").collect()}
+    scanned = {tuple(r) for r in claims_model.context(spark, SF_SMALL).read("data_quality_summary")
+               .drop("last_updated").collect()}
+    assert from_run == scanned
