@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -182,10 +183,14 @@ def materialize_raw(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         if paths and all(not p.startswith("/") or os.path.exists(p) for p in paths.values()):
             return paths
         base = scratch_path(spark, "raw")
-        paths = {}
-        for name, derive in DERIVE.items():
-            paths[name] = write_partitioned(derive(spark, sf_dir), f"{base}/{name}",
-                                            PARTITION_COLUMNS[name])
+
+        def write(name):
+            return name, write_partitioned(DERIVE[name](spark, sf_dir), f"{base}/{name}",
+                                           PARTITION_COLUMNS[name])
+
+        # three independent jobs: submitted together so small stages overlap
+        with ThreadPoolExecutor(max_workers=len(DERIVE)) as pool:
+            paths = dict(pool.map(write, DERIVE))
         _WRITTEN[key] = paths
         return paths
 
