@@ -28,6 +28,10 @@ DEFAULT_CONF = {
     # below this bound; everything larger is shuffled.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Parquet is compressed on disk; estimate scans at 3x their file size so
+    # the static broadcast decision errs toward a shuffle. AQE re-decides
+    # from measured shuffle sizes.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
 }
 
 
