@@ -122,3 +122,10 @@ def test_quality_summary_from_observed_counts_equals_scan(spark):
     scanned = {tuple(r) for r in claims_model.context(spark, SF_SMALL).read("data_quality_summary")
                .drop("last_updated").collect()}
     assert from_run == scanned
+
+
+def test_run_after_lazy_reads_still_writes(spark):
+    ctx = claims_model.context(spark, SF_SMALL)
+    ctx.read("fact_claim")                       # built lazily first
+    written = ctx.run(scratch_path(spark, "t-lazy"), targets=["fact_claim"])
+    assert {"claims", "dim_policy", "dim_customer", "fact_claim"} <= set(written)
