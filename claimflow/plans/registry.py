@@ -176,6 +176,7 @@ class Context:
         # anything built lazily before the run is rebuilt so that tables are
         # written and their readers use the written copies
         self._built = {n: df for n, df in self._built.items() if n in self._sources}
+        self._unchecked = {}
         try:
             for t in targets or self.registry.tables():
                 self.read(t)
