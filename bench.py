@@ -26,7 +26,7 @@ HEADLINE = [
     "claim_priority_bands", "valid_claims", "rule_metrics_claims", "failed_claims",
     "enriched_claims", "dim_customer", "dim_policy", "fact_claim", "claim_daily_summary",
     "score_all", "triage_record", "bands_summary", "data_quality_summary", "orphan_claims",
-    "freq_claim_type", "top5_claims",
+    "freq_claim_type", "top5_claims", "gen_claims",
 ]
 
 
