@@ -408,6 +408,13 @@ def row_counts_q(spark, sf_dir):
 
 # ---- generated tables over the ids of the given tables ------------------------------------
 
+def _ids(spark, sf_dir, table, expr):
+    """Generator ids taken from a given table (spread when the file is one split)."""
+    from ..sources.fixtures import spread
+    ids = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").select(expr.alias("id"))
+    return spread(ids, "id")
+
+
 def _count(spark, sf_dir, table) -> int:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").count()
 
@@ -419,15 +426,13 @@ N_POLICIES_SQL = "(SELECT count(*) FROM orders)"
 @register("gen_policies", generate.generated_sql(
     "policies", "orders", "o_orderkey", n_customers=N_CUSTOMERS_SQL))
 def gen_policies(spark, sf_dir):
-    ids = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet").select(
-        F.col("o_orderkey").alias("id"))
+    ids = _ids(spark, sf_dir, "orders", F.col("o_orderkey"))
     return generate.generate_policies(spark, ids, n_customers=_count(spark, sf_dir, "customer"))
 
 
 @register("gen_customers", generate.generated_sql("customers", "customer", "c_custkey"))
 def gen_customers(spark, sf_dir):
-    ids = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet").select(
-        F.col("c_custkey").alias("id"))
+    ids = _ids(spark, sf_dir, "customer", F.col("c_custkey"))
     return generate.generate_customers(spark, ids)
 
 
@@ -435,8 +440,7 @@ def gen_customers(spark, sf_dir):
     "claims", "lineitem", "l_orderkey * 8 + l_linenumber", n_policies=N_POLICIES_SQL,
     n_customers=N_CUSTOMERS_SQL))
 def gen_claims(spark, sf_dir):
-    ids = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"))
+    ids = _ids(spark, sf_dir, "lineitem", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
     return generate.generate_claims(spark, ids, n_policies=_count(spark, sf_dir, "orders"),
                                     n_customers=_count(spark, sf_dir, "customer"))
 
