@@ -14,6 +14,9 @@ from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from ..functions import round_half_up
 from ..operators import enrich, expectations as E, scoring, summaries
+from ..schemas import PARTITION_COLUMNS
+from ..session import scratch_path
+from ..sources import generate, io
 from . import claims_model, oracle as O
 
 RUN_TS = "2024-01-01 00:00:00"
@@ -357,9 +360,6 @@ def top5_claims(spark, sf_dir):
 
 # ---- sinks and sources: write, read back, verify ----------------------------------------
 
-from ..schemas import PARTITION_COLUMNS  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import generate, io  # noqa: E402
 
 
 @register("roundtrip_partitioned", O.query("SELECT * FROM valid_claims", "valid_claims"))
