@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..operators.clean import CLEANERS
-from ..operators.expectations import RULES, apply_rules, expectation_metrics
+from ..operators.expectations import RULES, apply_rules, observe_rules, observed_metrics
+
+METRICS_SCHEMA = "dataset string, rule string, action string, passed long, failed long"
 
 
 def read_raw_stream(spark: SparkSession, path: str, schema: StructType,
@@ -47,14 +49,14 @@ def start_incremental(spark: SparkSession, table: str, source_path: str, schema:
     cleaned = bronze_stream(raw, table, run_ts)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            apply_rules(batch, rules).write.mode("overwrite") \
-                .parquet(f"{out_path}/batch_id={batch_id}")
-            expectation_metrics(batch, rules, table).write.mode("overwrite") \
-                .parquet(f"{metrics_path}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        # one pass: the rule counts are observed by the write of the kept rows,
+        # so the micro-batch is neither cached nor scanned twice
+        observed, obs = observe_rules(batch, rules, f"{table}_{batch_id}")
+        apply_rules(observed, rules).write.mode("overwrite") \
+            .parquet(f"{out_path}/batch_id={batch_id}")
+        rows = observed_metrics(obs.get, rules, table)
+        batch.sparkSession.createDataFrame(rows, METRICS_SCHEMA).write.mode("overwrite") \
+            .parquet(f"{metrics_path}/batch_id={batch_id}")
 
     writer = (cleaned.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint)
