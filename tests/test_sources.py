@@ -129,3 +129,16 @@ def test_run_after_lazy_reads_still_writes(spark):
     ctx.read("fact_claim")                       # built lazily first
     written = ctx.run(scratch_path(spark, "t-lazy"), targets=["fact_claim"])
     assert {"claims", "dim_policy", "dim_customer", "fact_claim"} <= set(written)
+
+
+def test_jobs_cli(spark, capsys):
+    import json
+    from claimflow.plans import jobs
+    from claimflow.sources import fixtures
+    raw = fixtures.materialize_raw(spark, SF_SMALL)
+    out = scratch_path(spark, "t-cli")
+    jobs.main(["--policies", raw["policies"], "--customers", raw["customers"],
+               "--claims", raw["claims"], "--out", out, "--targets", "dim_policy"])
+    written = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert set(written) == {"policies", "dim_policy"}
+    assert spark.read.parquet(written["dim_policy"]).count() > 0
