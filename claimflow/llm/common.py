@@ -2,11 +2,32 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, whose Python may not find it by itself."""
+    package = Path(__file__).resolve().parents[1]
+    files = sorted(package.rglob("*.py"))
+    digest = hashlib.sha256(b"".join(p.read_bytes() for p in files)).hexdigest()[:16]
+    name = f"{package.name}-{digest}.zip"
+    if any(x == name for x in spark.sparkContext._python_includes):
+        return
+    to = Path(os.path.realpath(tempfile.mkdtemp())) / name   # the driver serves it from here
+    with zipfile.ZipFile(to, "w") as z:
+        for p in files:
+            z.write(p, p.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(to))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -7,10 +7,12 @@ too slow there; tests/llm holds them against brute force.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing
-from .common import read
+from . import chunks, decontaminate, jaccard, mixing, suffix
+from .common import read, ship
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -18,10 +20,15 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark, sf_dir):
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
-        return fn
+        return run
     return add
 
 
@@ -75,3 +82,26 @@ SELECT doc_id, text, lang, source, n_chars, n_copies, copy,
     {_sql_hash("'order0:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || copy")} AS shuffle_key FROM e""")
 def op7_mix_sources(spark, sf_dir):
     return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+# ---- 6 and 10: repeated substrings ------------------------------------------------------
+
+def _kept_digest(cut):
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op6_suffix_dedup")
+def op6_suffix_dedup(spark, sf_dir):
+    return _kept_digest(suffix.remove_repeats(read(spark, sf_dir, "documents")))
+
+
+@register("op10_chunk_dedup")
+def op10_chunk_dedup(spark, sf_dir):
+    return _kept_digest(chunks.remove_repeats(read(spark, sf_dir, "documents")))
+
+
+# ---- 2: n-gram Jaccard join --------------------------------------------------------------
+
+@register("op2_ngram_jaccard")
+def op2_ngram_jaccard(spark, sf_dir):
+    return jaccard.near_classes(read(spark, sf_dir, "documents"))
