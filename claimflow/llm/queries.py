@@ -11,7 +11,7 @@ from functools import wraps
 
 from pyspark.sql import functions as F
 
-from . import chunks, decontaminate, jaccard, mixing, suffix
+from . import chunks, decontaminate, jaccard, mixing, quality, suffix
 from .common import read, ship
 
 QUERIES: dict = {}
@@ -105,3 +105,10 @@ def op10_chunk_dedup(spark, sf_dir):
 @register("op2_ngram_jaccard")
 def op2_ngram_jaccard(spark, sf_dir):
     return jaccard.near_classes(read(spark, sf_dir, "documents"))
+
+
+# ---- 3: quality rules --------------------------------------------------------------------
+
+@register("op3_token_fertility")
+def op3_token_fertility(spark, sf_dir):
+    return quality.judge(read(spark, sf_dir, "documents")).drop("tie")
