@@ -11,7 +11,7 @@ from functools import wraps
 
 from pyspark.sql import functions as F
 
-from . import chunks, decontaminate, jaccard, mixing, quality, suffix
+from . import chunks, decontaminate, jaccard, mixing, pages, quality, suffix, urls
 from .common import read, ship
 
 QUERIES: dict = {}
@@ -112,3 +112,22 @@ def op2_ngram_jaccard(spark, sf_dir):
 @register("op3_token_fertility")
 def op3_token_fertility(spark, sf_dir):
     return quality.judge(read(spark, sf_dir, "documents")).drop("tie")
+
+
+# ---- 9: URL filter -----------------------------------------------------------------------
+
+URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block"))
+
+
+@register("op9_url_words")
+def op9_url_words(spark, sf_dir):
+    return urls.judge(read(spark, sf_dir, "pages"), read(spark, sf_dir, "documents"), URL_RULES)
+
+
+# ---- 5: HTML extraction ------------------------------------------------------------------
+
+@register("op5_site_templates")
+def op5_site_templates(spark, sf_dir):
+    found = pages.extract(read(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
