@@ -102,17 +102,17 @@ def _groups(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def repeated_chunks(docs: DataFrame, least: int = LEAST, most: int = MOST, bits: int = BITS,
-                    doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, place): the chunks that repeat an earlier one; a place's extra number is the chunk's bytes."""
+def repeated_chunks(docs: DataFrame, least: int = LEAST, most: int = MOST, bits: int = BITS) -> DataFrame:
+    """(key, place): the chunks of :func:`spans.keyed` documents that repeat an
+    earlier one; a place's extra number is the chunk's bytes."""
     if not 0 < least <= most < 128:
         raise ValueError("chunks have 1 to 127 bytes")
-    rows = spans.keyed(docs, doc_id, text).mapInArrow(_chunks(least, most, bits), spans.OCCURRENCES)
+    rows = docs.mapInArrow(_chunks(least, most, bits), spans.OCCURRENCES)
     return spans.resolve(rows).where("kind = 0").select("key", "place")
 
 
 def remove_repeats(docs: DataFrame, least: int = LEAST, most: int = MOST, bits: int = BITS, span: int = SPAN,
                    doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, spans, kept (the remaining bytes)."""
-    return spans.cut(docs, repeated_chunks(docs, least, most, bits, doc_id, text), lambda size: size,
-                     doc_id, text, least=span)
+    d = spans.keyed(docs, doc_id, text)
+    return spans.cut(d, repeated_chunks(d, least, most, bits), lambda size: size, least=span)

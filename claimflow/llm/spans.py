@@ -26,10 +26,9 @@ _START_BITS, _EXTRA_BITS = 36, 7
 NULL_KEY = (1 << 63) - 1
 
 
-def keyed(docs: DataFrame, doc_id: str, text: str, keep: bool = False) -> DataFrame:
-    """key, tie and text of the documents, and their id as ``doc_id`` if kept."""
-    own = [F.col(doc_id).alias("doc_id")] if keep else []
-    return docs.select(*own, F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_KEY)).alias("key"),
+def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, key, tie and text of the documents."""
+    return docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_KEY)).alias("key"),
                        F.coalesce(F.shiftrightunsigned(F.xxhash64(text), 44), F.lit(0)).alias("tie"),
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
 
@@ -148,14 +147,13 @@ def _cut(lengths: Callable[[np.ndarray], np.ndarray], least: int, join_gap: int)
     return run
 
 
-def cut(docs: DataFrame, repeats: DataFrame, lengths: Callable[[np.ndarray], np.ndarray], doc_id: str,
-        text: str, least: int = 0) -> DataFrame:
+def cut(docs: DataFrame, repeats: DataFrame, lengths: Callable[[np.ndarray], np.ndarray],
+        least: int = 0) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, spans and ``kept``, the remaining bytes:
-    of each document less the unions of its repeats that have ``least`` bytes.
-    ``lengths`` gives a span's bytes from its place's extra number."""
-    d = keyed(docs, doc_id, text, keep=True)
-    kind = dict(d.dtypes)["doc_id"]
-    joined = d.join(by_document(repeats), ["key", "tie"], "left").select("doc_id", "text", "places")
+    of each keyed document less the unions of its repeats that have ``least``
+    bytes. ``lengths`` gives a span's bytes from its place's extra number."""
+    kind = dict(docs.dtypes)["doc_id"]
+    joined = docs.join(by_document(repeats), ["key", "tie"], "left")
     return joined.mapInArrow(_cut(lengths, least, 0),
                              f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, "
                              "spans array<struct<start: bigint, end: bigint>>, kept binary")

@@ -4,16 +4,17 @@ Suffixes are ordered only through ``length`` bytes, in passes from the most
 significant digit on; a digit is a hash of the bytes it covers, and after each
 pass a group of one leaves the sort, since it cannot repeat.
 
-1. First digit: ``GRAM`` bytes. Sorting a suffix at every byte would move many
-   times the input, so a window stands for its suffix at the smallest gram
-   hash in it (the leftmost of equals): equal windows choose the same one. All
-   neighbouring windows with one choice travel as a single row.
-2. Second digit: the whole context that such a row's windows cover. Rows with
-   gram and context of an earlier row repeat that row's windows one by one; a
-   gram with one context is done.
-3. Last digit: the ``length`` bytes of each single window, for the first row of
-   each context of the remaining grams. Equal groups are exactly the repeated
-   windows.
+1. A first digit of 32 bytes. Sorting a suffix at every byte would move many
+   times the input, so a window stands for its suffix at the smallest hash of
+   a gram of that many bytes in it (the leftmost of equals): equal windows
+   choose the same one. All neighbouring windows with one choice travel as a
+   single row, with a hash of the whole context that they cover. Rows with
+   gram and context of an earlier row repeat that row's windows one by one;
+   a gram with one context is done.
+2. The first row of each context of the remaining grams goes through the same
+   pass with a longer digit, 84 bytes.
+3. The last digit are the ``length`` bytes of each single window that is left.
+   Equal groups are exactly the repeated windows.
 
 Every window but the first of its group, in the order of document id and
 place, is a repeat; a document loses the bytes that its repeats cover.
@@ -36,9 +37,10 @@ from . import spans
 from .common import materialize
 from .textnum import SpanHashes, mix, pieces, signed, text_bytes
 
-GRAM = 32
-#: Of the packed gram hash and place: PIECE needs 21 bits of place.
-_PLACE_BITS = np.uint64(21)
+#: Bytes of the digits before the last.
+DIGITS = (32, 84)
+#: The low bits of a packed gram hash hold its place: PIECE needs 21.
+_PLACE = np.uint64((1 << 21) - 1)
 
 
 def _least(x: np.ndarray, n: int) -> np.ndarray:
@@ -62,14 +64,14 @@ def _windows(bounds: np.ndarray, i: int, j: int, start: int, end: int, length: i
     return np.flatnonzero(np.cumsum(mark))
 
 
-def choices(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """First and last start of the runs of windows that choose one gram, and the
-    hashes of gram and context."""
+def choices(data: np.ndarray, at: np.ndarray, length: int, digit: int) -> tuple[np.ndarray, ...]:
+    """First and last start of the runs of the windows ``at`` that choose one gram
+    of ``digit`` bytes, and the hashes of gram and context."""
     hashes = SpanHashes(data)
-    grams = np.arange(len(data) - GRAM + 1)
-    h = mix(hashes.raw(grams, grams + GRAM))
-    packed = (h & ~np.uint64((1 << 21) - 1)) | grams.astype(np.uint64)
-    chosen = (_least(packed, length - GRAM + 1)[at] & np.uint64((1 << 21) - 1)).astype(np.int64)
+    grams = np.arange(len(data) - digit + 1)
+    h = mix(hashes.raw(grams, grams + digit))
+    packed = (h & ~_PLACE) | grams.astype(np.uint64)
+    chosen = (_least(packed, length - digit + 1)[at] & _PLACE).astype(np.int64)
     new = np.ones(len(at), bool)
     new[1:] = (chosen[1:] != chosen[:-1]) | (at[1:] != at[:-1] + 1)
     first = np.flatnonzero(new)
@@ -79,7 +81,8 @@ def choices(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray,
     return s, e, h[anchor], context
 
 
-def _runs(length: int):
+def _all(length: int, digit: int):
+    """The first pass, over every window."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, tie = (batch.column(n).to_numpy() for n in ("key", "tie"))
@@ -88,52 +91,66 @@ def _runs(length: int):
                 at = _windows(bounds, i, j, start, end, length)
                 if not len(at):
                     continue
-                s, e, gram, context = choices(data[start:end], at, length)
+                s, e, gram, context = choices(data[start:end], at, length, digit)
                 doc = np.searchsorted(bounds, s + start, "right") - 1
                 place = spans.pack(tie[doc], s + start - bounds[doc], e - s)
                 yield spans.occurrences(signed(gram), signed(context), key[doc], place)
     return run
 
 
-def _single(length: int):
-    """The windows of the listed runs of each document, one row each."""
+def _listed(length: int, digit: int | None):
+    """A later pass, over the windows of the listed places of each document;
+    without a digit the last one, with a row for each window."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, tie = (batch.column(n).to_numpy() for n in ("key", "tie"))
             data, bounds = text_bytes(batch.column("text"))
             places = batch.column("places")
+            parts, size = [], 0
             for i in range(len(batch)):
                 _, start, more = spans.unpack(np.unique(places[i].values.to_numpy()))
-                at = np.repeat(start, more + 1) + (np.arange(int((more + 1).sum()))
-                                                   - np.repeat(np.cumsum(more + 1) - (more + 1), more + 1))
+                at = np.unique(np.repeat(start - np.cumsum(more + 1) + more + 1, more + 1)
+                               + np.arange(int((more + 1).sum())))
                 text = data[bounds[i]:bounds[i + 1]]
                 for _, _, lo, hi in pieces(np.array([0, len(text)]), length - 1):
-                    here = at[(at >= lo) & (at <= hi - length)]
+                    here = at[(at >= lo) & (at <= hi - length)] - lo
                     if not len(here):
                         continue
-                    one, two = SpanHashes(text[lo:hi]), SpanHashes(text[lo:hi], 8)
-                    here = np.unique(here)
-                    a, c = (x.of(here - lo, here - lo + length) for x in (one, two))
-                    n = np.full(len(here), tie[i])
-                    yield spans.occurrences(signed(a), signed(c), np.full(len(here), key[i]),
-                                            spans.pack(n, here, 0))
+                    if digit:
+                        s, e, a, c = choices(text[lo:hi], here, length, digit)
+                    else:
+                        one, two = SpanHashes(text[lo:hi]), SpanHashes(text[lo:hi], 8)
+                        s = e = here
+                        a, c = (x.of(here, here + length) for x in (one, two))
+                    parts.append((signed(a), signed(c), np.full(len(s), key[i]),
+                                  spans.pack(np.full(len(s), tie[i]), s + lo, e - s)))
+                    size += len(s)
+                    if size >= 50_000:
+                        yield spans.occurrences(*(np.concatenate(x) for x in zip(*parts)))
+                        parts, size = [], 0
+            if parts:
+                yield spans.occurrences(*(np.concatenate(x) for x in zip(*parts)))
     return run
 
 
-def repeated_windows(docs: DataFrame, length: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, place): runs of repeated windows; a place's extra number is the count of windows after its first."""
-    if not GRAM < length < GRAM + 128:
-        raise ValueError(f"length must lie between {GRAM} and {GRAM + 128}")
-    d = spans.keyed(docs, doc_id, text)
-    rows = d.mapInArrow(_runs(length), spans.OCCURRENCES)
-    passed = materialize(spans.resolve(rows), "suffix-pass")
-    left = spans.by_document(passed.where("kind = 1"))
-    single = (d.join(left, ["key", "tie"]).select("key", "tie", "text", "places")
-              .mapInArrow(_single(length), spans.OCCURRENCES))
-    last = spans.resolve(single)
-    return passed.where("kind = 0").select("key", "place").unionByName(last.where("kind = 0").select("key", "place"))
+def repeated_windows(docs: DataFrame, length: int = 100, digits: tuple[int, ...] = DIGITS) -> DataFrame:
+    """(key, place): runs of repeated windows of :func:`spans.keyed` documents; a
+    place's extra number is the count of windows after its first."""
+    digits = tuple(d for d in digits if d < length)
+    if not digits or length - digits[0] > 127:
+        raise ValueError("a digit below the length, and by at most 127 bytes, is needed")
+    passed = materialize(spans.resolve(docs.mapInArrow(_all(length, digits[0]), spans.OCCURRENCES)), "suffix-pass")
+    repeats = passed.where("kind = 0").select("key", "place")
+    for digit in (*digits[1:], None):
+        left = spans.by_document(passed.where("kind = 1"))
+        # each pass and the final cut read the same shuffle of the texts
+        rows = docs.join(left, ["key", "tie"]).mapInArrow(_listed(length, digit), spans.OCCURRENCES)
+        passed = spans.resolve(rows)
+        repeats = repeats.unionByName(passed.where("kind = 0").select("key", "place"))
+    return repeats
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, spans, kept (the remaining bytes)."""
-    return spans.cut(docs, repeated_windows(docs, length, doc_id, text), lambda more: more + length, doc_id, text)
+    d = spans.keyed(docs, doc_id, text)
+    return spans.cut(d, repeated_windows(d, length), lambda more: more + length)
