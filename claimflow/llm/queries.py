@@ -11,7 +11,7 @@ from functools import wraps
 
 from pyspark.sql import functions as F
 
-from . import chunks, decontaminate, jaccard, mixing, pages, quality, suffix, urls
+from . import chunks, dac, decontaminate, jaccard, mixing, pages, quality, suffix, urls
 from .common import read, ship
 
 QUERIES: dict = {}
@@ -131,3 +131,10 @@ def op9_url_words(spark, sf_dir):
 def op5_site_templates(spark, sf_dir):
     found = pages.extract(read(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+# ---- 8: token ids ------------------------------------------------------------------------
+
+@register("op8_token_codes")
+def op8_token_codes(spark, sf_dir):
+    return dac.round_trip(read(spark, sf_dir, "documents"))
