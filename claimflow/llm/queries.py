@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from functools import wraps
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 
-from . import chunks, dac, decontaminate, jaccard, mixing, pages, quality, suffix, urls
+from . import chunks, dac, decontaminate, jaccard, lm, mixing, pages, quality, suffix, urls
 from .common import read, ship
 
 QUERIES: dict = {}
@@ -138,3 +139,18 @@ def op5_site_templates(spark, sf_dir):
 @register("op8_token_codes")
 def op8_token_codes(spark, sf_dir):
     return dac.round_trip(read(spark, sf_dir, "documents"))
+
+
+# ---- 1: language-model scores ------------------------------------------------------------
+
+@register("op1_pseudo_likelihood")
+def op1_pseudo_likelihood(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return lm.score(docs, lm.fit(docs))
+
+
+# ---- the pipeline ------------------------------------------------------------------------
+
+@register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
