@@ -8,6 +8,7 @@ the cluster already names one in ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -54,9 +55,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (or an already set checkpoint dir);
-    only when neither is set (local runs, tests) a fresh temp folder is made
-    and registered as the checkpoint dir.
+    Read from ``spark.checkpoint.dir`` (or an already set checkpoint dir). Where
+    neither is set, a local session (runs and tests on one machine) gets a fresh
+    temp folder, registered as its checkpoint dir; on a cluster, whose machines
+    would not see it, that is an error.
     """
     conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
@@ -69,6 +71,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
     local = tempfile.mkdtemp(prefix="claimflow-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir().rstrip("/")

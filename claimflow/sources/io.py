@@ -1,11 +1,11 @@
 """Parquet and catalog sources and sinks.
 
-Writes are laid out for skewed data: before a partitioned write the rows are
-range-partitioned on the partition columns plus a per-row hash, so a hot
-partition value (say a third of all rows on one claim type) is spread over as
-many write tasks as its size needs, while small partition values share one
-task and produce one file. A plain ``repartition(cols)`` would send every row
-of a hot value to a single task.
+Before a partitioned write the rows are rebalanced on the partition columns:
+Spark deals them out by those columns, measures the parts, joins small ones
+and splits large ones. So a hot partition value (say a third of all rows on
+one claim type) is written by as many tasks as its size needs, and a small
+one is a single file. The sizes come from the shuffle itself, at any scale;
+nothing is sampled beforehand.
 """
 
 from __future__ import annotations
@@ -31,22 +31,10 @@ def read_dataset(spark: SparkSession, path: str, schema: StructType | None = Non
 
 
 def write_partitioned(df: DataFrame, path: str, cols: list[str], compression: str = "snappy",
-                      num_partitions: int | None = None, max_records_per_file: int = 0) -> str:
-    """Overwrite ``path`` as Parquet partitioned by ``cols``.
-
-    ``repartitionByRange(cols + row hash)`` samples the data to cut balanced
-    ranges: each write task gets a similar number of rows whatever the skew
-    of ``cols``, and each directory is written by the few tasks whose ranges
-    cover it. The row hash is deterministic, so a retried task rewrites the
-    same rows.
-    """
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tie = F.xxhash64(*[F.col(c) for c in df.columns]).alias("__tie")
-    laid_out = (df.withColumn("__tie", tie)
-                  .repartitionByRange(n, *[F.col(c) for c in cols], F.col("__tie"))
-                  .drop("__tie"))
-    writer = (laid_out.write.mode("overwrite").option("compression", compression)
-              .partitionBy(*cols))
+                      max_records_per_file: int = 0) -> str:
+    """Overwrite ``path`` as Parquet partitioned by ``cols``."""
+    writer = (df.hint("rebalance", *[F.col(c) for c in cols])
+              .write.mode("overwrite").option("compression", compression).partitionBy(*cols))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.parquet(path)
@@ -57,34 +45,49 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def write_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None) -> str:
-    """Overwrite a catalog table. With ``path`` the table's files live there
-    (an external table in the shared folder) instead of the warehouse."""
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def write_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None,
+                comment: str = "", properties: dict | None = None) -> str:
+    """Overwrite a catalog table, with its comment and properties. With ``path``
+    the table's files live there (an external table in the shared folder)
+    instead of the warehouse."""
+    spark = df.sparkSession
     writer = df.write.mode("overwrite").format(fmt)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
+    if comment:
+        spark.sql(f"COMMENT ON TABLE {name} IS {_quoted(comment)}")
+    if properties:
+        pairs = ", ".join(f"{_quoted(str(k))} = {_quoted(str(v))}" for k, v in properties.items())
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
     return name
 
 
-def rows_to_df(spark: SparkSession, rows: list, schema: StructType) -> DataFrame:
-    """Small driver-side constants only (lineage rows, golden records)."""
+def rows_to_df(spark: SparkSession, rows: list, schema: StructType | str) -> DataFrame:
+    """Small driver-side constants only (lineage rows, counts of tables, golden records)."""
     return spark.createDataFrame(rows, schema)
 
 
-def verify_written(spark: SparkSession, path: str, n: int = 5, fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
+def verify_written(spark: SparkSession, path: str, n: int = 5, order: list[str] | None = None,
+                   fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
     """Read a written dataset back: (summary, first n rows).
 
-    The summary is one row (rows, files, partitions) from a single aggregate:
-    distinct data files read and distinct directories holding them (one per
-    partition value combination of a partitioned layout).
+    The summary is one row (rows, files, partitions). Rows are counted per
+    file first, so only a row per file meets in the end: distinct data files
+    read and distinct directories holding them (one per partition value
+    combination of a partitioned layout). The sample is the first n rows by
+    ``order``, or any n rows without one.
     """
     df = spark.read.format(fmt).load(path)
-    files = df.select(F.input_file_name().alias("__f"))
+    files = df.groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
     summary = files.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("__f").alias("files"),
-        F.count_distinct(F.regexp_extract("__f", r"^(.*)/[^/]*$", 1)).alias("partitions"))
-    return summary, df.limit(n)
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("files"),
+        F.count_distinct(F.regexp_extract("file", r"^(.*)/[^/]*$", 1)).alias("partitions"))
+    return summary, (df.orderBy(*order) if order else df).limit(n)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

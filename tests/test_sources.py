@@ -41,8 +41,7 @@ def test_generated_customers_and_policies_pass_rules(spark):
 
 def test_write_partitioned_roundtrip_with_slash_values(spark):
     raw = claims_model.context(spark, SF_SMALL).read("raw_claims")
-    path = io.write_partitioned(raw, scratch_path(spark, "t-rt"), PARTITION_COLUMNS["claims"],
-                                num_partitions=4)
+    path = io.write_partitioned(raw, scratch_path(spark, "t-rt"), PARTITION_COLUMNS["claims"])
     back = io.read_dataset(spark, path, raw.schema)
     assert back.columns == raw.columns
     assert back.exceptAll(raw).count() == 0 and raw.exceptAll(back).count() == 0
@@ -84,7 +83,7 @@ def test_registry_declarations():
 def test_run_model_on_parquet_dirs(spark):
     from claimflow.plans.jobs import run_model
     from claimflow.sources import fixtures
-    raw = fixtures.materialize_raw(spark, SF_SMALL)
+    raw = fixtures.materialize_all(spark, SF_SMALL)
     out = scratch_path(spark, "t-job")
     written = run_model(spark, raw["policies"], raw["customers"], raw["claims"], out,
                         targets=["agent_routing", "data_lineage_audit"], run_ts="2024-01-01 00:00:00")
@@ -135,7 +134,7 @@ def test_jobs_cli(spark, capsys):
     import json
     from claimflow.plans import jobs
     from claimflow.sources import fixtures
-    raw = fixtures.materialize_raw(spark, SF_SMALL)
+    raw = fixtures.materialize_all(spark, SF_SMALL)
     out = scratch_path(spark, "t-cli")
     jobs.main(["--policies", raw["policies"], "--customers", raw["customers"],
                "--claims", raw["claims"], "--out", out, "--targets", "dim_policy"])

@@ -13,7 +13,7 @@ from conftest import SF_SMALL
 
 
 def test_stream_equals_batch_and_restarts_cleanly(spark):
-    src = fixtures.materialize_raw(spark, SF_SMALL)["customers"]
+    src = fixtures.materialize_raw(spark, SF_SMALL, "customers")
     out, metrics, ckpt = (scratch_path(spark, n) for n in ("s-out", "s-metrics", "s-ckpt"))
     q = start_incremental(spark, "customers", src, CUSTOMER_SCHEMA, out, metrics, ckpt,
                           max_files_per_trigger=3)
