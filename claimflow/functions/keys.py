@@ -35,11 +35,6 @@ def hash_bucket(c, n: int) -> Column:
     return (F.pmod(hash_unit(c), F.lit(n)) + 1).cast("int")
 
 
-def padded_id(prefix: str, n, width: int) -> Column:
-    """``prefix`` + zero-padded number; never truncates longer numbers."""
-    return F.concat(F.lit(prefix), F.format_string(f"%0{width}d", _col(n).cast("long")))
-
-
 def padded_bucket(prefix: str, n, width: int = 3) -> Column:
     """``prefix`` + ``lpad(n, width, '0')`` (lpad truncates, as the source does)."""
     return F.concat(F.lit(prefix), F.lpad(_col(n).cast("string"), width, "0"))

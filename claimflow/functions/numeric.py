@@ -13,10 +13,14 @@ def round_half_up(c, digits: int = 2) -> Column:
 
     Spark's ``round`` goes through a decimal representation and differs from
     other engines on representation edges; this form is the same arithmetic
-    everywhere. NULL stays NULL.
+    everywhere. NULL stays NULL. A double beyond 2^53 / 10^d has no such digits
+    left to round (and its floor would not fit a long): it stays as it is, and
+    so do infinities and NaN.
     """
     scale = float(10 ** digits)
-    return (F.floor(_col(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
+    x = _col(c).cast("double")
+    rounded = F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    return F.when(F.abs(x) >= F.lit(2.0 ** 53 / scale), x).otherwise(rounded)
 
 
 def round_cents(c) -> Column:

@@ -1,7 +1,7 @@
 """Synthetic policies / customers / claims, generated in parallel.
 
 Every value is a pure function of (row id, column, seed): a uniform draw
-``u = first 32 bits of md5("<id>:<seed>:<column>") / 2^32`` turned into a
+``u = first 52 bits of md5("<id>:<seed>:<column>") / 2^52`` turned into a
 categorical pick, a number or a date. Rows are produced over any DataFrame of
 ids (``spark.range(n)`` or the key column of an existing table), so the
 output does not depend on partitioning, retried tasks regenerate the same
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 
-TWO_32 = 4294967296.0
+#: 13 hexadecimal digits: as many bits as a double holds exactly.
+DRAW_DIGITS, DRAWS = 13, float(2 ** 52)
 
 
 class SparkGen:
@@ -32,7 +33,7 @@ class SparkGen:
 
     def u(self, salt: str) -> Column:
         h = F.md5(F.concat(self.id.cast("string"), F.lit(f":{self.seed}:{salt}")))
-        return F.conv(F.substring(h, 1, 8), 16, 10).cast("long") / F.lit(TWO_32)
+        return F.conv(F.substring(h, 1, DRAW_DIGITS), 16, 10).cast("long") / F.lit(DRAWS)
 
     def lit(self, v):
         return F.lit(v)
@@ -50,7 +51,11 @@ class SparkGen:
                             (F.floor(u * F.lit(float(len(values)))) + 1).cast("int"))
 
     def int_(self, u, lo: int, hi: int):
-        return (F.lit(lo) + F.floor(u * F.lit(float(hi - lo + 1)))).cast("int")
+        return self.key(u, lo, hi).cast("int")
+
+    def key(self, u, lo: int, hi: int):
+        """A number from lo to hi, of any size: ids of tables of any length."""
+        return (F.lit(lo) + F.floor(u * F.lit(float(hi - lo + 1)))).cast("long")
 
     def uniform(self, u, lo: float, hi: float):
         return F.lit(float(lo)) + u * F.lit(float(hi - lo))
@@ -102,6 +107,9 @@ class SparkGen:
     def cast(self, x, t):
         return x.cast({"int": "int", "double": "double", "string": "string"}[t])
 
+    def choice_at(self, values, idx):
+        return F.element_at(F.array(*[F.lit(v) for v in values]), idx)
+
 
 class SqlGen:
     """Builds DuckDB SQL text (the oracle)."""
@@ -111,7 +119,7 @@ class SqlGen:
 
     def u(self, salt: str) -> str:
         h = f"md5(CAST({self.id} AS VARCHAR) || ':{self.seed}:{salt}')"
-        return f"(CAST('0x' || substr({h}, 1, 8) AS BIGINT) / CAST({TWO_32!r} AS DOUBLE))"
+        return f"(CAST('0x' || substr({h}, 1, {DRAW_DIGITS}) AS BIGINT) / CAST({DRAWS!r} AS DOUBLE))"
 
     def lit(self, v):
         return _sql_lit(v)
@@ -128,8 +136,14 @@ class SqlGen:
         return f"({arr}[CAST(floor({u} * {float(len(values))!r}) AS INTEGER) + 1])"
 
     def int_(self, u, lo, hi):
+        return f"CAST({self.key(u, lo, hi)} AS INTEGER)"
+
+    def key(self, u, lo, hi):
         width = f"(({hi}) - {lo} + 1)" if isinstance(hi, str) else repr(float(hi - lo + 1))
-        return f"CAST({lo} + floor({u} * CAST({width} AS DOUBLE)) AS INTEGER)"
+        return f"CAST({lo} + floor({u} * CAST({width} AS DOUBLE)) AS BIGINT)"
+
+    def choice_at(self, values, idx):
+        return "([" + ", ".join(_sql_lit(v) for v in values) + f"][{idx}])"
 
     def uniform(self, u, lo, hi):
         return f"(CAST({float(lo)!r} AS DOUBLE) + {u} * CAST({float(hi - lo)!r} AS DOUBLE))"
@@ -213,7 +227,7 @@ def policy_columns(g, n_customers: int) -> list[tuple[str, object]]:
                              g.uniform(u("premium_shift"), -200, 500)))
     return [
         ("policy_id", g.pad("POL_", g.row_id(), 6)),
-        ("customer_id", g.pad("CUST_", g.int_(u("customer"), 1, n_customers), 6)),
+        ("customer_id", g.pad("CUST_", g.key(u("customer"), 1, n_customers), 6)),
         ("policy_type", g.weighted(u("policy_type"), S.POLICY_TYPES, S.POLICY_TYPE_WEIGHTS)),
         ("coverage_amount", g.cast(coverage, "int")),
         ("premium_amount", g.cast(premium, "double")),
@@ -307,8 +321,8 @@ def claim_columns(g, n_policies: int, n_customers: int) -> list[tuple[str, objec
                     g.lit(None))
     return [
         ("claim_id", g.pad("CLM_", g.row_id(), 6)),
-        ("policy_id", g.pad("POL_", g.int_(u("policy"), 1, n_policies), 6)),
-        ("customer_id", g.pad("CUST_", g.int_(u("customer"), 1, n_customers), 6)),
+        ("policy_id", g.pad("POL_", g.key(u("policy"), 1, n_policies), 6)),
+        ("customer_id", g.pad("CUST_", g.key(u("customer"), 1, n_customers), 6)),
         ("claim_type", ctype),
         ("claim_status", status),
         ("claim_date", g.date_str(claim_d)),
@@ -333,18 +347,6 @@ def claim_columns(g, n_policies: int, n_customers: int) -> list[tuple[str, objec
     ]
 
 
-def _choice_at_spark(self, values, idx):
-    return F.element_at(F.array(*[F.lit(v) for v in values]), idx)
-
-
-def _choice_at_sql(self, values, idx):
-    return "([" + ", ".join(_sql_lit(v) for v in values) + f"][{idx}])"
-
-
-SparkGen.choice_at = _choice_at_spark
-SqlGen.choice_at = _choice_at_sql
-
-
 # ---- Spark entry points ------------------------------------------------------------------
 
 ROWS_PER_PARTITION = 1_000_000
