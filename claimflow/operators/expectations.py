@@ -213,12 +213,6 @@ def failed_records(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.filter(~all_pass(rs)).withColumn("failed_rules", names)
 
 
-def pass_counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """One row: rows in and rows passing all drop rules."""
-    return df.agg(F.count(F.lit(1)).alias("rows_in"),
-                  F.count_if(all_pass(rules)).alias("rows_passed"))
-
-
 def rule_form_counts(rules: list[Rule]) -> str:
     """'10 expect_all_or_drop, 1 expect_or_drop[, 1 expect]' from a rule set."""
     out = []

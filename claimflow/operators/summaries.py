@@ -85,21 +85,6 @@ def table_quality(cleaned: DataFrame, rules, table_name: str) -> DataFrame:
     )
 
 
-def data_quality_summary(cleaned: dict[str, DataFrame], rules: dict[str, list],
-                         run_ts: str | None = None) -> DataFrame:
-    """(table_name, total_records, quality_score, last_updated), one row per table.
-
-    The score is measured: 100 x rows passing every drop rule / rows read.
-    """
-    ts = F.lit(run_ts).cast("timestamp") if run_ts else F.current_timestamp()
-    parts = [table_quality(cleaned[t], rules[t], t) for t in cleaned]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("table_name", "total_records", "quality_score",
-                      ts.alias("last_updated"))
-
-
 LINEAGE_SCHEMA = StructType([StructField(n, StringType(), True) for n in (
     "table_name", "source_path", "source_format", "target_catalog", "target_schema",
     "data_quality_rules", "pipeline_version")])

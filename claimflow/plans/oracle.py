@@ -2,8 +2,12 @@
 
 Each dataset is a CTE; ``query(body, *ctes)`` prepends every CTE the body
 needs, in dependency order. The test tables are DuckDB views, so the oracle
-derives the raw insurance tables exactly as ``sources.fixtures`` does and then
-recomputes every step independently in SQL.
+derives the raw insurance tables by the expressions of ``sources.fixtures`` and
+then recomputes every step in SQL. It shares with the library the expressions
+of the raw tables, the texts of the rules, the list of cleaned columns, the
+value domains and the generator's column list; what is written a second time
+here are dimensions, fact, joins, scorers and aggregates. Literal counts in
+``tests`` guard the shared parts.
 """
 
 from __future__ import annotations
@@ -114,14 +118,14 @@ DIM_CUSTOMER_COLS = ["customer_id", "first_name", "last_name", "email", "phone_e
 cte("dimc_pre", DIM_CUSTOMER_SELECT, "valid_customers")
 
 
-def _dedupe_sql(src: str, key: str, cols: list[str], first: list[str]) -> str:
+def dedupe_sql(src: str, key: str, cols: list[str], first: list[str]) -> str:
     order = first + [c for c in cols if c != key and c not in first]
     ob = ", ".join(f"{c} DESC NULLS LAST" for c in order)
     return (f"SELECT {', '.join(cols)} FROM (SELECT *, row_number() OVER "
             f"(PARTITION BY {key} ORDER BY {ob}) AS __rn FROM {src}) WHERE __rn = 1")
 
 
-cte("dimc_dedup", _dedupe_sql("dimc_pre", "customer_id", DIM_CUSTOMER_COLS,
+cte("dimc_dedup", dedupe_sql("dimc_pre", "customer_id", DIM_CUSTOMER_COLS,
                               ["last_contact_date"]), "dimc_pre")
 cte("dim_customer", f"SELECT * FROM dimc_dedup WHERE {all_pass_sql(DIM_CUSTOMER_RULES, 'duckdb')}",
     "dimc_dedup")
@@ -134,14 +138,16 @@ DIM_POLICY_SELECT = f"""SELECT upper(policy_id) AS policy_id, upper(customer_id)
   {canonical('policy_status', CANONICAL_DOMAINS['policy_status'])} AS policy_status,
   upper(region) AS region, zip_code AS postal_code, policy_start_date, policy_end_date,
   {ratio('premium_amount', 'coverage_amount')} AS premium_coverage_ratio,
-  CASE WHEN policy_id IS NOT NULL THEN sha256(upper(policy_id)) END AS policy_sk
+  CASE WHEN policy_id IS NOT NULL THEN sha256(upper(policy_id)) END AS policy_sk,
+  last_updated, created_date
 FROM valid_policies"""
 DIM_POLICY_COLS = ["policy_id", "customer_id", "policy_type", "coverage_amount", "premium_amount",
                    "deductible", "property_type", "construction_year", "square_footage",
                    "policy_status", "region", "postal_code", "policy_start_date",
                    "policy_end_date", "premium_coverage_ratio", "policy_sk"]
 cte("dimp_pre", DIM_POLICY_SELECT, "valid_policies")
-cte("dimp_dedup", _dedupe_sql("dimp_pre", "policy_id", DIM_POLICY_COLS, []), "dimp_pre")
+cte("dimp_dedup", dedupe_sql("dimp_pre", "policy_id", DIM_POLICY_COLS, ["last_updated", "created_date"]),
+    "dimp_pre")
 cte("dim_policy", f"SELECT * FROM dimp_dedup WHERE {all_pass_sql(DIM_POLICY_RULES, 'duckdb')}",
     "dimp_dedup")
 

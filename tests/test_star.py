@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from claimflow.functions import canonical_value, surrogate_key
 from claimflow.operators import star
+from claimflow.operators.clean import project
 from claimflow.plans import claims_model
 from claimflow.schemas import CANONICAL_DOMAINS
 
@@ -35,7 +36,7 @@ def test_dedupe_matches_brute_force(spark):
                      .withColumn("first_name", F.lit("Nulldate"))
     doubled = customers.unionByName(later).unionByName(nulls).repartition(7)
     dim = star.dim_customer(doubled, apply_expectations=False)
-    pdf = doubled.select(star.dim_customer_columns()).toPandas()
+    pdf = project(doubled, star.dim_customer_columns()).toPandas()
     # brute force: sort by the documented order, keep the first row per key
     order = ["last_contact_date"] + [c for c in pdf.columns
                                      if c not in ("customer_id", "last_contact_date")]
