@@ -8,12 +8,12 @@ sides (sums of doubles depend on the summation order).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from ..functions import round_half_up
-from ..operators import enrich, expectations as E, scoring, summaries
+from ..operators import enrich, expectations as E, scoring, star, summaries
 from ..schemas import PARTITION_COLUMNS
 from ..session import scratch_path
 from ..sources import generate, io
@@ -162,6 +162,53 @@ def fact_claim_q(spark, sf_dir):
     return no_ts(_ctx(spark, sf_dir).read("fact_claim"))
 
 
+# Tables that hold several versions of a record: the newest one must win, whatever
+# the partitioning and the other columns.
+
+NEWER_POLICY, NEWER_CUSTOMER = "construction_year % 3 = 0", "lifetime_claims_count >= 3"
+
+
+def _policy_versions(policies: DataFrame) -> DataFrame:
+    """Each policy with an older and an undated copy, some with a newer one."""
+    days = lambda c, n: F.date_add(c, n).alias(c)
+    moved = lambda n, **new: policies.withColumns({
+        "last_updated": days("last_updated", n), "created_date": days("created_date", n), **new})
+    newer = moved(30, customer_id=F.lit("CUST_000000"), policy_status=F.lit("Cancelled")).where(NEWER_POLICY)
+    older = moved(-30, customer_id=F.lit("CUST_999999"))
+    undated = policies.withColumns({c: F.lit(None).cast("date") for c in ("last_updated", "created_date")}
+                                   | {"customer_id": F.lit("CUST_999998")})
+    return summaries.union_all(older, undated, newer, policies)
+
+
+@register("dedupe_policies", O.query(
+    "SELECT " + ", ".join(
+        f"CASE WHEN {NEWER_POLICY} THEN {new} ELSE {c} END AS {c}" if new else c
+        for c, new in ((c, {"customer_id": "'CUST_000000'", "policy_status": "'Cancelled'"}.get(c))
+                       for c in O.DIM_POLICY_COLS)) + " FROM dim_policy", "dim_policy"))
+def dedupe_policies(spark, sf_dir):
+    return star.dim_policy(_policy_versions(_ctx(spark, sf_dir).read("policies")))
+
+
+def _customer_versions(customers: DataFrame) -> DataFrame:
+    moved = lambda n, name: customers.withColumns({
+        "last_contact_date": F.date_add("last_contact_date", n), "first_name": F.lit(name)})
+    newer = moved(30, "Aaron").where(NEWER_CUSTOMER.replace("lifetime_claims_count", "previous_claims_count"))
+    undated = customers.withColumns({"last_contact_date": F.lit(None).cast("date"), "first_name": F.lit("Zoe")})
+    return summaries.union_all(moved(-30, "Zed"), undated, newer, customers)
+
+
+# without any date all copies are equal in order, and the greatest first name decides
+@register("dedupe_customers", O.query(
+    "SELECT " + ", ".join({
+        "first_name": "CASE WHEN last_contact_date IS NULL THEN 'Zoe' "
+                      f"WHEN {NEWER_CUSTOMER} THEN 'Aaron' ELSE first_name END AS first_name",
+        "last_contact_date": f"CASE WHEN {NEWER_CUSTOMER} THEN last_contact_date + 30 ELSE last_contact_date END "
+                             "AS last_contact_date"}.get(c, c) for c in O.DIM_CUSTOMER_COLS) + " FROM dim_customer",
+    "dim_customer"))
+def dedupe_customers(spark, sf_dir):
+    return star.dim_customer(_customer_versions(_ctx(spark, sf_dir).read("customers")))
+
+
 DAILY_DOUBLES = ["total_claim_amount", "total_settlement", "avg_settlement_ratio"]
 
 
@@ -183,7 +230,7 @@ def claim_daily_summary_q(spark, sf_dir):
   {O.rnd('avg(premium_amount)')} AS avg_premium, max(coverage_amount) AS max_coverage
 FROM valid_policies""", "valid_policies"))
 def quality_policies(spark, sf_dir):
-    return rounded(summaries.policies_quality(_ctx(spark, sf_dir).read("policies")),
+    return rounded(_ctx(spark, sf_dir).read("policies_quality"),
                    ["avg_premium"])
 
 
@@ -192,7 +239,7 @@ def quality_policies(spark, sf_dir):
   count(phone) AS valid_phones, count(DISTINCT state) AS unique_states
 FROM valid_customers""", "valid_customers"))
 def quality_customers(spark, sf_dir):
-    return summaries.customers_quality(_ctx(spark, sf_dir).read("customers"))
+    return _ctx(spark, sf_dir).read("customers_quality")
 
 
 @register("quality_claims", O.query(
@@ -201,7 +248,7 @@ def quality_customers(spark, sf_dir):
   count(*) FILTER (WHERE settlement_amount > 0) AS settled_claims
 FROM valid_claims""", "valid_claims"))
 def quality_claims(spark, sf_dir):
-    return rounded(summaries.claims_quality(_ctx(spark, sf_dir).read("claims")),
+    return rounded(_ctx(spark, sf_dir).read("claims_quality"),
                    ["avg_claim_amount"])
 
 
@@ -294,6 +341,45 @@ for _s in ("triage", "fraud", "settlement", "routing"):
         f"SELECT {_REC_IN}, {_REC_OUT[_s]} FROM records_norm", "records_norm"))(_record_q)
 
 
+# Records as a service gets them: fields absent, empty in some rows, and a fraud risk score instead of
+# the fraud score. The defaults stand in the SQL as plain numbers and words.
+
+_SPARSE = """SELECT claim_id, policy_id, customer_id, fraud_risk_score,
+  CASE WHEN photos_taken % 3 = 0 THEN 0.0 ELSE claim_amount END AS claim_amount,
+  CASE WHEN photos_taken % 4 = 0 THEN 'Low' ELSE severity_level END AS severity_level,
+  'Open' AS claim_status, coalesce(lifetime_claims_count, 0) AS lifetime_claims_count,
+  0 AS witness_count, photos_taken, CASE WHEN photos_taken % 5 = 0 THEN 0 ELSE days_to_report END AS days_to_report,
+  0.0::DOUBLE AS premium_coverage_ratio, coalesce(state, '') AS state,
+  coalesce(fraud_risk_score, 0.0) AS fraud_in
+FROM (SELECT *, CASE WHEN photos_taken % 2 = 0 THEN fraud_score END AS fraud_risk_score FROM scoring_records)"""
+
+
+@register("sparse_records", O.query(f"""SELECT claim_id, {O.cents('raw_priority')} AS priority_score, {O.band_priority('raw_priority')} AS priority_band,
+  raw_fraud AS fraud_points, {O.band_fraud('raw_fraud')} AS fraud_risk_band,
+  {O.cents('raw_reserve')} AS reserve_amount,
+  {O.cents(O.cents('raw_reserve') + ' * 0.85::DOUBLE')} AS suggested_settlement,
+  {O.CHANNEL} AS channel, {O.ACTION} AS recommended_action
+FROM (SELECT *, claim_amount / 1000 + CASE severity_level WHEN 'Critical' THEN 30 WHEN 'High' THEN 20
+    WHEN 'Medium' THEN 10 ELSE 5 END + 5 AS raw_priority,
+  CASE WHEN lifetime_claims_count >= 3 THEN 10 ELSE 0 END + CASE WHEN claim_amount >= 50000 THEN 15 ELSE 0 END
+    + CASE WHEN photos_taken < 3 THEN 10 ELSE 0 END + CASE WHEN days_to_report > 14 THEN 8 ELSE 0 END + 5
+    + CASE WHEN state IN ('FL', 'LA', 'TX') THEN 5 ELSE 0 END AS raw_fraud,
+  claim_amount * CASE severity_level WHEN 'Critical' THEN 0.9::DOUBLE WHEN 'High' THEN 0.7::DOUBLE
+    WHEN 'Medium' THEN 0.5::DOUBLE ELSE 0.3::DOUBLE END * (1.0::DOUBLE + CASE WHEN fraud_in >= 70 THEN -0.1::DOUBLE
+    WHEN fraud_in >= 40 THEN -0.05::DOUBLE ELSE 0.0::DOUBLE END) AS raw_reserve FROM ({_SPARSE}))""",
+    "scoring_records"))
+def sparse_records(spark, sf_dir):
+    empty = lambda c, n: F.when(F.col("photos_taken") % n != 0, F.col(c))
+    records = scoring_records(spark, sf_dir).withColumns({
+        "fraud_risk_score": F.when(F.col("photos_taken") % 2 == 0, F.col("fraud_score")),
+        "claim_amount": empty("claim_amount", 3), "severity_level": empty("severity_level", 4),
+        "days_to_report": empty("days_to_report", 5),
+        "premium_coverage_ratio": F.lit(float("nan"))}).drop("fraud_score", "claim_status", "witness_count")
+    scored = scoring.score_records_all(records)
+    return scored.select("claim_id", "priority_score", "priority_band", F.col("fraud_risk_score").alias("fraud_points"),
+                         "fraud_risk_band", "reserve_amount", "suggested_settlement", "channel", "recommended_action")
+
+
 @register("bands_summary", O.query(
     """SELECT scorer, band, count(*) AS claims FROM (
   SELECT 'triage' AS scorer, priority_band AS band FROM scores
@@ -373,46 +459,85 @@ def roundtrip_partitioned(spark, sf_dir):
 
 @register("roundtrip_table", O.query("SELECT * FROM dim_policy", "dim_policy"))
 def roundtrip_table(spark, sf_dir):
-    """dim_policy saved as a catalog table (files in the shared folder), read back."""
-    import uuid
-    name = f"claimflow_rt_dim_policy_{uuid.uuid4().hex[:8]}"
-    io.write_table(_ctx(spark, sf_dir).read("dim_policy"), name,
-                   path=scratch_path(spark, "rt-dim-policy"))
-    return io.read_table(spark, name)
+    """dim_policy saved as a catalog table (files in the shared folder), read back by name."""
+    path = scratch_path(spark, "rt-dim-policy")
+    name = f"claimflow_rt_{path.rsplit('-', 1)[-1]}"
+    io.write_table(_ctx(spark, sf_dir).read("dim_policy"), name, path=path)
+    try:
+        # the name leaves the catalog; the files stay for whoever reads the result
+        return spark.read.schema(io.read_table(spark, name).schema).parquet(path)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 @register("verify_written", O.query(
-    "SELECT count(*) AS rows, count(DISTINCT state || '|' || age_group) AS partitions "
-    "FROM raw_customers", "raw_customers"))
+    """SELECT 0 AS sample, count(*) AS rows, count(DISTINCT state || '|' || age_group) AS partitions, true AS files_cover,
+  NULL AS customer_id, NULL AS email FROM raw_customers
+UNION ALL SELECT * FROM (SELECT row_number() OVER (ORDER BY customer_id), NULL, NULL, NULL, customer_id, email
+  FROM raw_customers ORDER BY customer_id LIMIT 5)""", "raw_customers"))
 def verify_written(spark, sf_dir):
-    """Raw customers written partitioned by (state, age_group); rows and directories read back."""
+    """Raw customers written partitioned by (state, age_group) and read back: rows and
+    directories, whether every directory has a file, and the first five rows by id."""
     raw = _ctx(spark, sf_dir).read("raw_customers")
-    path = io.write_partitioned(raw, scratch_path(spark, "rt-customers"),
-                                PARTITION_COLUMNS["customers"])
-    summary, _sample = io.verify_written(spark, path)
-    return summary.select("rows", "partitions")
+    path = io.write_partitioned(raw, scratch_path(spark, "rt-customers"), PARTITION_COLUMNS["customers"])
+    summary, sample = io.verify_written(spark, path, 5, ["customer_id"])
+    first = sample.select((F.row_number().over(Window.orderBy("customer_id")).cast("long")).alias("sample"),
+                          "customer_id", "email")
+    total = summary.select(F.lit(0).cast("long").alias("sample"), "rows", "partitions",
+                           (F.col("files") >= F.col("partitions")).alias("files_cover"))
+    return total.unionByName(first, allowMissingColumns=True)
 
 
-_COUNTED = ("policies", "customers", "claims", "dim_customer", "dim_policy", "fact_claim")
+SCORER_TABLES = ("agent_triage", "agent_fraud", "agent_settlement", "agent_routing")
+_COUNTED = ("policies", "customers", "claims", "dim_customer", "dim_policy", "fact_claim", *SCORER_TABLES)
+_COUNTED_CTE = {t: "valid_" + t for t in ("policies", "customers", "claims")} | {t: "scores" for t in SCORER_TABLES}
 
 
 @register("row_counts", O.query(
-    "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM "
-        f"{'valid_' + t if t in ('policies', 'customers', 'claims') else t}" for t in _COUNTED),
-    *[("valid_" + t if t in ("policies", "customers", "claims") else t) for t in _COUNTED]))
+    "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {_COUNTED_CTE.get(t, t)}"
+                         for t in _COUNTED), *dict.fromkeys(_COUNTED_CTE.get(t, t) for t in _COUNTED)))
 def row_counts_q(spark, sf_dir):
     ctx = _ctx(spark, sf_dir)
     return io.row_counts({t: ctx.read(t) for t in _COUNTED})
 
 
+_QUALITY = {t: "silver" if t.startswith(("dim_", "fact_", "agent_")) else "bronze"
+            for t in (*_COUNTED, "agent_scores", "data_quality_summary", "data_lineage_audit", "policies_quality",
+                      "customers_quality", "claims_quality")}
+_SIZES = {"data_quality_summary": 3, "data_lineage_audit": 3, "policies_quality": 1, "customers_quality": 1,
+          "claims_quality": 1}
+
+
+@register("model_tables", O.query(
+    "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{q}' AS quality, true AS commented, " + (
+            f"CAST({_SIZES[t]} AS BIGINT) AS row_count" if t in _SIZES else
+            f"count(*) AS row_count FROM {_COUNTED_CTE.get(t, 'scores' if t == 'agent_scores' else t)}")
+        for t, q in _QUALITY.items()), *dict.fromkeys(_COUNTED_CTE.get(t, t) for t in _COUNTED)))
+def model_tables(spark, sf_dir):
+    """The whole model run into a fresh catalog schema; each table read back by name."""
+    path = scratch_path(spark, "model-tables")
+    schema = f"claimflow_run_{path.rsplit('-', 1)[-1]}"
+    spark.sql(f"CREATE SCHEMA {schema}")
+    try:
+        names = _ctx(spark, sf_dir).run(path, schema=schema)
+        counts = {r.table_name: r.row_count for r in
+                  io.row_counts({t: io.read_table(spark, n) for t, n in names.items()}).collect()}
+        rows = []
+        for t, name in names.items():   # as many as declared tables
+            kept = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+            rows.append((t, kept.get("quality"), spark.catalog.getTable(name).description
+                         == claims_model.registry.datasets[t].comment, counts[t]))
+        return io.rows_to_df(spark, rows, "table_name string, quality string, commented boolean, row_count long")
+    finally:
+        spark.sql(f"DROP SCHEMA {schema} CASCADE")
+
+
 # ---- generated tables over the ids of the given tables ------------------------------------
 
 def _ids(spark, sf_dir, table, expr):
-    """Generator ids taken from a given table (spread when the file is one split)."""
-    from ..sources.fixtures import spread
-    ids = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").select(expr.alias("id"))
-    return spread(ids, "id")
+    """Generator ids taken from a given table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").select(expr.alias("id"))
 
 
 def _count(spark, sf_dir, table) -> int:
@@ -447,6 +572,10 @@ def gen_claims(spark, sf_dir):
 
 # ---- streaming: the bronze claims table built incrementally ---------------------------------
 
+#: An available-now stream ends by itself; this bounds one that hangs.
+STREAM_SECONDS = 24 * 3600
+
+
 @register("stream_valid_claims", O.query("SELECT * FROM valid_claims", "valid_claims"))
 def stream_valid_claims(spark, sf_dir):
     """Raw claims files consumed as a stream (available-now trigger, 8 files per
@@ -454,10 +583,12 @@ def stream_valid_claims(spark, sf_dir):
     from ..schemas import CLAIM_SCHEMA
     from ..sources import fixtures
     from ..streaming.incremental import start_incremental
-    src = fixtures.materialize_raw(spark, sf_dir)["claims"]
+    src = fixtures.materialize_raw(spark, sf_dir, "claims")
     out, metrics = scratch_path(spark, "st-claims"), scratch_path(spark, "st-metrics")
     q = start_incremental(spark, "claims", src, CLAIM_SCHEMA, out, metrics,
                           scratch_path(spark, "st-checkpoint"), run_ts=RUN_TS,
                           max_files_per_trigger=8)
-    q.awaitTermination()
+    if not q.awaitTermination(STREAM_SECONDS):
+        q.stop()
+        raise TimeoutError(f"the stream has not ended after {STREAM_SECONDS} s")
     return no_ts(spark.read.parquet(out).drop("batch_id"))

@@ -16,6 +16,7 @@ from ..operators.clean import clean_claims, clean_customers, clean_policies
 from ..operators.expectations import (CLAIM_RULES, CUSTOMER_RULES, DIM_CUSTOMER_RULES,
                                       DIM_POLICY_RULES, FACT_CLAIM_RULES, POLICY_RULES)
 from ..sources import fixtures
+from ..sources.io import rows_to_df
 from .registry import Context, Registry
 
 registry = Registry()
@@ -67,8 +68,8 @@ def _bronze_counts(ctx: Context):
     if all(v is not None for v in seen.values()):
         rows = [(t, v["__kept"], v["__kept"] * 100.0 / v["__rows"] if v["__rows"] else None,
                  v["__rows"]) for t, v in seen.items()]
-        return ctx.spark.createDataFrame(
-            rows, "table_name string, total_records long, quality_score double, rows_in long")
+        return rows_to_df(
+            ctx.spark, rows, "table_name string, total_records long, quality_score double, rows_in long")
     return summaries.union_all(*[
         summaries.table_quality(ctx.unchecked(t), ctx.registry.rules(t), t) for t in BRONZE])
 
@@ -82,6 +83,17 @@ def data_quality_summary(ctx: Context):
                                       ts.alias("last_updated"))
 
 
+def _quality_table(name, of):
+    def fn(ctx: Context):
+        return getattr(summaries, f"{of}_quality")(ctx.read(of))
+    fn.__name__ = name
+    registry.table(name=name, comment=f"Quality figures of the {of} table", properties={"quality": "bronze"})(fn)
+
+
+for _t in BRONZE:
+    _quality_table(f"{_t}_quality", _t)
+
+
 @registry.table(name="data_lineage_audit", comment="Lineage and audit trail",
                 properties={"quality": "bronze"})
 def data_lineage_audit(ctx: Context):

@@ -4,8 +4,9 @@ A dataset is a function ``fn(ctx) -> DataFrame`` registered under a name; it
 refers to other datasets with ``ctx.read(name)``. Nothing runs when a dataset
 is declared or read: reads return lazily built DataFrames and Catalyst sees
 one plan. ``Context.run`` materialises tables in dependency order (a table is
-written before any table that reads it) and later reads use the written
-copy, which cuts the lineage at every table boundary.
+written before any table that reads it), as folders or as named tables of a
+catalog schema with their declared comments and properties, and later reads
+use the written copy, which cuts the lineage at every table boundary.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.expectations import (ALL_OR_DROP, DROP, EXPECT, OR_DROP, WARN, Rule,
                                       apply_rules, observe_count, observe_rules,
                                       observed_metrics)
+from ..sources.io import read_table, write_table
 
 
 @dataclass
@@ -102,6 +104,8 @@ class Context:
         self._written: dict[str, str] = {}
         self._materialize_to: str | None = None
         self._format = "parquet"
+        self._schema: str | None = None
+        self._reading: list[str] = []
         self._observations: dict = {}
         self._kept: dict = {}
 
@@ -111,8 +115,14 @@ class Context:
     def unchecked(self, name: str) -> DataFrame:
         """The dataset before its drop rules (for metrics and failed rows)."""
         if name not in self._unchecked:
-            d = self.registry.datasets[name]
-            self._unchecked[name] = d.fn(self)
+            if name in self._reading:
+                chain = " -> ".join([*self._reading[self._reading.index(name):], name])
+                raise ValueError(f"datasets read each other: {chain}")
+            self._reading.append(name)
+            try:
+                self._unchecked[name] = self.registry.datasets[name].fn(self)
+            finally:
+                self._reading.pop()
         return self._unchecked[name]
 
     def read(self, name: str) -> DataFrame:
@@ -141,6 +151,11 @@ class Context:
 
     def _write(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self._materialize_to.rstrip('/')}/{name}"
+        if self._schema:
+            d = self.registry.datasets[name]
+            self._written[name] = write_table(df, f"{self._schema}.{name}", self._format, path, d.comment,
+                                              d.properties)
+            return read_table(self.spark, self._written[name])
         df.write.mode("overwrite").format(self._format).save(path)
         self._written[name] = path
         return self.spark.read.format(self._format).load(path)
@@ -166,13 +181,15 @@ class Context:
         return list(self.registry.datasets)
 
     def run(self, out_dir: str, targets: list[str] | None = None,
-            fmt: str = "parquet") -> dict[str, str]:
+            fmt: str = "parquet", schema: str | None = None) -> dict[str, str]:
         """Write every target table (default: all) in dependency order.
 
-        Returns ``{table name: path}``. Views are not written; a view read by
-        a table is folded into that table's plan.
+        Returns ``{table name: path}``. With ``schema`` the tables are saved in
+        that catalog schema, their files in ``out_dir``, and the result holds
+        their names. Views are not written; a view read by a table is folded
+        into that table's plan.
         """
-        self._materialize_to, self._format = out_dir, fmt
+        self._materialize_to, self._format, self._schema = out_dir, fmt, schema
         # anything built lazily before the run is rebuilt so that tables are
         # written and their readers use the written copies
         self._built = {n: df for n, df in self._built.items() if n in self._sources}
@@ -181,5 +198,5 @@ class Context:
             for t in targets or self.registry.tables():
                 self.read(t)
         finally:
-            self._materialize_to = None
+            self._materialize_to = self._schema = None
         return dict(self._written)
