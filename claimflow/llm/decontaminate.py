@@ -23,6 +23,8 @@ from .common import fresh, materialize
 BROADCAST_NGRAMS = 500_000
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# the same in a text whose capitals still stand
+_RAW_WORD, _RAW_SEPARATORS = (rf"[{n}\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+" for n in ("^", ""))
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -117,29 +119,29 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, n: int = 10, **names) -> Dat
                         (F.size("spans") > 0).alias("contaminated"))
 
 
+def _marked(docs: DataFrame, benchmark: DataFrame, n: int, text: str, doc_id: str, how: str, extra, **names):
+    """``docs`` joined with the documents that have hits; the join's own columns get new names."""
+    id_, hash_, more = (fresh(c, docs.columns) for c in ("hit_id", "hit_hash", "hit_more"))
+    bad = (hits(docs, benchmark, n, text=text, doc_id=doc_id, **names).where(F.size("spans") > 0)
+           .select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), extra.alias(more)))
+    same = F.col(doc_id).eqNullSafe(F.col(id_)) & (F.xxhash64(text) == F.col(hash_))
+    return docs.join(bad, same, how), more
+
+
 def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text",
                      doc_id: str = "doc_id", **names) -> DataFrame:
     """The rows of ``docs`` without a hit, all columns kept."""
-    bad = (hits(docs, benchmark, n, text=text, doc_id=doc_id, **names).where(F.size("spans") > 0)
-           .select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")))
-    d = docs.alias("d")
-    return d.join(bad, F.col(f"d.{doc_id}").eqNullSafe(F.col("_bad_id"))
-                  & (F.xxhash64(F.col(f"d.{text}")) == F.col("_bad_hash")), "left_anti")
+    return _marked(docs, benchmark, n, text, doc_id, "left_anti", F.lit(True), **names)[0]
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text",
                  doc_id: str = "doc_id", **names) -> DataFrame:
-    """``docs`` with the hit words, and what follows them up to the next word, cut out of the text."""
-    bad = (hits(docs, benchmark, n, text=text, doc_id=doc_id, **names).where(F.size("spans") > 0)
-           .select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash"),
-                   F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(
-                       s["start"], s["start"] + s["len"] - 1)))).alias("_hit")))
-    # one element per word with the separators after it, in the numbering of word_pieces
-    parts = F.regexp_extract_all(text, F.lit(r"([\x00-\x2F\x3A-\x60\x7B-\x7F]+|[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-                                             r"[\x00-\x2F\x3A-\x60\x7B-\x7F]*)"), 1)
-    kept = F.concat_ws("", F.filter(F.transform(parts, lambda p, i: F.when(
-        ~F.array_contains("_hit", i), p)), lambda p: p.isNotNull()))
-    at = fresh(text, [])
-    joined = docs.alias("d").join(bad, F.col(f"d.{doc_id}").eqNullSafe(F.col("_bad_id"))
-                                  & (F.xxhash64(F.col(f"d.{text}")) == F.col("_bad_hash")), "left")
-    return joined.withColumn(at, F.when(F.col("_hit").isNull(), F.col(text)).otherwise(kept)).select(*docs.columns)
+    """``docs`` with the hit words, and what follows each up to the next word, cut out of the text."""
+    covered = F.array_distinct(F.flatten(F.transform(
+        "spans", lambda s: F.sequence(s["start"], s["start"] + s["len"] - 1))))
+    joined, hit = _marked(docs, benchmark, n, text, doc_id, "left", covered, **names)
+    # a word with the separators after it, or those before the first: numbered like the pieces
+    parts = F.regexp_extract_all(text, F.lit(f"(^{_RAW_SEPARATORS}|{_RAW_WORD}(?:{_RAW_SEPARATORS})?)"), 1)
+    kept = F.filter(F.transform(parts, lambda p, i: F.when(~F.array_contains(hit, i), p)), lambda p: p.isNotNull())
+    return joined.withColumn(text, F.when(F.col(hit).isNull(), F.col(text)).otherwise(F.concat_ws("", kept))
+                             ).select(*docs.columns)

@@ -82,15 +82,16 @@ def mix(docs: DataFrame, weights: Mapping | None = None, alpha: float = 0.5,
     """
     taken = list(docs.columns)
     copy, copies, key = (fresh(c, taken) for c in ("copy", "n_copies", "shuffle_key"))
+    name, certain, chances = (fresh(c, taken) for c in ("rate_source", "sure", "steps"))
     rates = source_rates(docs, weights, alpha, total_chars, source, text)
     sure = F.when(F.col("rate") > 500, F.floor(F.col("rate")) - 500).otherwise(0).cast("long")
-    table = rates.select(F.col("source").alias("_rate_source"), sure.alias("_sure"),
-                         poisson_steps(F.col("rate") - sure).alias("_steps"))
+    table = rates.select(F.col("source").alias(name), sure.alias(certain),
+                         poisson_steps(F.col("rate") - sure).alias(chances))
     uniform = hash_long(F.lit(f"draw{seed}"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))) / F.lit(2.0 ** 52)
     if rates.count() <= BROADCAST_SOURCES:
         table = F.broadcast(table)
-    drawn = (docs.join(table, F.col(source).eqNullSafe(F.col("_rate_source")))
-             .withColumn(copies, F.col("_sure") + F.size(F.filter("_steps", lambda c: c <= uniform)))
+    drawn = (docs.join(table, F.col(source).eqNullSafe(F.col(name)))
+             .withColumn(copies, F.col(certain) + F.size(F.filter(chances, lambda c: c <= uniform)))
              .where(F.col(copies) > 0))
     out = drawn.select(*taken, F.col(copies).cast("long").alias(copies),
                        F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies).cast("long"))).alias(copy))

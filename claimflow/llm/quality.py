@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vocab
-from .common import materialize
+from .common import fresh, materialize
 from .textnum import mix, ngram_hashes, text_bytes, word_hashes, word_spans
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -201,6 +201,7 @@ def judge(docs: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_id"
 def keep_good(docs: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_id", text: str = "text",
               lang: str = "lang") -> DataFrame:
     """The rows of ``docs`` that are kept; all columns stay."""
+    id_, tie = (fresh(c, docs.columns) for c in ("good_id", "good_tie"))
     good = judge(docs, vocabulary, doc_id, text, lang).where("kept").select(
-        F.col("doc_id").alias("_good"), F.col("tie").alias("_tie")).distinct()
-    return docs.join(good, F.col(doc_id).eqNullSafe(F.col("_good")) & (F.xxhash64(text) == F.col("_tie")), "left_semi")
+        F.col("doc_id").alias(id_), F.col("tie").alias(tie)).distinct()
+    return docs.join(good, F.col(doc_id).eqNullSafe(F.col(id_)) & (F.xxhash64(text) == F.col(tie)), "left_semi")

@@ -91,7 +91,22 @@ def _kept_digest(cut):
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@register("op6_suffix_dedup")
+@register("op6_suffix_dedup", """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS s
+    FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS p FROM d)),
+r AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM w)
+    WHERE k > 1),
+g AS (SELECT doc_id, p, sum(gap) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM (SELECT doc_id, p,
+    CAST(p - lag(p, 1, -101) OVER (PARTITION BY doc_id ORDER BY p) > 100 AS INTEGER) AS gap FROM r)),
+c AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM g GROUP BY doc_id, g),
+k AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM (SELECT c.*, d.h,
+    lag(b, 1, 0) OVER (PARTITION BY c.doc_id ORDER BY a) AS before FROM c JOIN d USING (doc_id)) GROUP BY doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+    coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)""")
 def op6_suffix_dedup(spark, sf_dir):
     return _kept_digest(suffix.remove_repeats(read(spark, sf_dir, "documents")))
 
