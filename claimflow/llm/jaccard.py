@@ -25,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import fresh, materialize
 from .textnum import mix, ngram_hashes, numbers, runs, signed, text_bytes, word_hashes, word_spans
 
 NULL_KEY = (1 << 63) - 1
@@ -47,7 +47,7 @@ def banding(threshold: float = 0.8, recall: float = 0.999, far: float = 0.5, mos
 def grams_of(column: pa.Array, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, after the last, n-gram hashes, bounds) for some texts at a time."""
     data, bounds = text_bytes(column)
-    for i, j in runs(bounds, 1 << 22):
+    for i, j in runs(bounds, 1 << 21):
         part, inner = data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i]
         starts, ends, of = word_spans(part, inner)
         yield i, j, *ngram_hashes(word_hashes(part, starts, ends), of, n)
@@ -107,43 +107,42 @@ def _sets(n: int):
                 ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [node.slice(i, j - i),
+                     pa.array(np.diff(ends)),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(np.concatenate(sets))))],
-                    names=["node", "grams"])
+                    names=["node", "n", "grams"])
     return run
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
-    left = sets.select(F.col("node").alias("a"), F.col("grams").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("grams").alias("y"))
-    both = pairs.join(left, "a").join(right, "b")
-    small, large = F.least(F.size("x"), F.size("y")), F.greatest(F.size("x"), F.size("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    # sizes first: sets of too different sizes can't be near
-    near = F.when(small < threshold * large, False).otherwise(
-        common / (F.size("x") + F.size("y") - common) >= threshold)
-    return both.where(near).select("a", "b").distinct()
+    """The pairs (a, b) whose full sets reach the threshold. Sets of too different
+    sizes can't; they are found by their sizes, before any set is moved."""
+    size = {c: sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab"}
+    pairs = pairs.join(size["a"], "a").join(size["b"], "b").where(
+        F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
+    grams = {c: sets.select(F.col("node").alias(c), F.col("grams").alias(f"grams_{c}")) for c in "ab"}
+    both = pairs.join(grams["a"], "a").join(grams["b"], "b")
+    common = F.size(F.array_intersect("grams_a", "grams_b"))
+    return both.where(common / (F.col("n_a") + F.col("n_b") - common) >= threshold).select("a", "b").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, comp): for all nodes of the links, the least node of their component.
 
-    Each pass takes the least label of node and neighbours, then that label's
-    own; every pass is written, so none recomputes the ones before."""
+    Each pass takes the least of the labels of a node, its neighbours, and the
+    node that its label names; every pass is written, and counts what it changed."""
     both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
         links.select(F.col("b").alias("node"), F.col("a").alias("other")))
-    both = materialize(both, "links")
     labels = materialize(both.groupBy("node").agg(F.min("other").alias("comp"))
                          .select("node", F.least("node", "comp").alias("comp")), "labels")
     while True:
         near = (both.join(labels.withColumnRenamed("node", "other"), "other")
                 .groupBy("node").agg(F.min("comp").alias("near")))
-        step = materialize(labels.join(near, "node").select(
-            "node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp")), "labels")
-        jump = step.select(F.col("node").alias("comp"), F.col("comp").alias("far"))
-        step = materialize(step.join(jump, "comp").select("node", "old", F.col("far").alias("comp")), "labels")
-        labels = step.select("node", "comp")
-        if step.where("comp <> old").isEmpty():
+        named = labels.select(F.col("node").alias("comp"), F.col("comp").alias("far"))
+        step = labels.join(near, "node").join(named, "comp").select(
+            "node", F.least("comp", "near", "far").alias("comp"), (F.least("near", "far") < F.col("comp")).alias("moved"))
+        seen = Observation()
+        labels = materialize(step.observe(seen, F.count_if("moved").alias("moved")).drop("moved"), "labels")
+        if not seen.get["moved"]:
             return labels
 
 
@@ -153,32 +152,42 @@ def _hubs(members: DataFrame) -> DataFrame:
     return materialize(best.select("bucket", (-F.col("best.least")).alias("hub")), "hubs")
 
 
+def _unlinked(members: DataFrame, hubs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The buckets' members, with their hub, that are not in the hub's component."""
+    of_hub = hubs.join(comps.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), "hub", "left")
+    return (members.join(comps, "node", "left").join(of_hub, "bucket")
+            .where((F.col("node") != F.col("hub")) & ~F.coalesce(F.col("comp") == F.col("hub_comp"), F.lit(False))))
+
+
+def _pairs(compared: DataFrame) -> DataFrame:
+    return compared.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+
+
 def links(members: DataFrame, sets: DataFrame, threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b) and the components of their nodes, from the buckets'
-    members (bucket, node, company) and the n-gram sets (node, grams)."""
-    spark = members.sparkSession
-    found = spark.createDataFrame([], "a bigint, b bigint")
-    comps = spark.createDataFrame([], "node bigint, comp bigint")
-    # what no hub of its bucket could be linked with; a hub is done when compared
+    members (bucket, node, company) and the n-gram sets (node, n, grams)."""
+    hubs = _hubs(members)
+    # each node first meets the hub with most company of those of its buckets; that settles most others
+    company = members.select(F.col("node").alias("hub"), F.col("company").alias("hub_company")).distinct()
+    best = (members.select("bucket", "node").join(hubs, "bucket").join(company, "hub")
+            .groupBy("node").agg(F.max(F.struct("hub_company", (-F.col("hub")).alias("least"))).alias("best"))
+            .select("node", (-F.col("best.least")).alias("hub")).where("node <> hub"))
+    tried = materialize(_pairs(best), "pairs")
+    found = materialize(_verified(tried, sets, threshold), "links")
+    comps = components(found)
     open_ = members
     while True:
-        hubs = _hubs(open_)
-        hub_comps = hubs.join(comps.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), "hub", "left")
-        pairs = (members.join(comps, "node", "left").join(hub_comps, "bucket")
-                 .where((F.col("node") != F.col("hub"))
-                        & ~F.coalesce(F.col("comp") == F.col("hub_comp"), F.lit(False)))
-                 .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
-        new = materialize(_verified(pairs, sets, threshold), "new-links")
-        if new.isEmpty():
+        pairs = materialize(_pairs(_unlinked(members, hubs, comps)).join(tried, ["a", "b"], "left_anti"), "pairs")
+        new = materialize(_verified(pairs, sets, threshold), "links")
+        if not new.isEmpty():
+            found = found.unionByName(new)   # of written tables, one for each round
+            comps = components(found)
+        elif open_ is not members:
             return found, comps
-        found = materialize(found.unionByName(new).distinct(), "all-links")
-        comps = components(found)
-        hub_comps = materialize(hubs.join(comps.withColumnRenamed("node", "hub"), "hub", "left")
-                                .select("bucket", "hub", F.col("comp").alias("hub_comp")), "hub-comps")
-        open_ = materialize(open_.join(hub_comps, "bucket").join(comps, "node", "left")
-                            .where((F.col("node") != F.col("hub"))
-                                   & ~F.coalesce(F.col("comp") == F.col("hub_comp"), F.lit(False)))
-                            .select("bucket", "node", "company"), "open")
+        tried = tried.unionByName(pairs)
+        # what a bucket holds outside its hubs' components gets a hub of its own
+        open_ = materialize(_unlinked(open_, hubs, comps).select("bucket", "node", "company"), "open")
+        hubs = _hubs(open_)
 
 
 def near_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999,
@@ -200,12 +209,12 @@ def near_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: fl
     placed = (of.where("bands IS NOT NULL").select("node", F.explode("bands").alias("bucket")).distinct())
     placed = materialize(placed, "buckets")
     shared = materialize(placed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "shared")
-    members = materialize(placed.join(shared, "bucket"), "members")
+    members = placed.join(shared, "bucket")
     company = materialize(members.groupBy("node").agg(F.sum(F.col("size") - 1).alias("company")), "company")
     members = materialize(members.join(company, "node").select("bucket", "node", "company"), "members")
     wanted = company.select("node")
     sets = materialize(keyed.join(wanted, keyed["key"] == wanted["node"]).select("node", "text")
-                       .mapInArrow(_sets(n), "node bigint, grams array<bigint>"), "sets")
+                       .mapInArrow(_sets(n), "node bigint, n int, grams array<bigint>"), "sets")
 
     found, comps = links(members, sets, threshold)
     degree = (found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node")
@@ -224,6 +233,7 @@ def near_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: fl
 def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, doc_id: str = "doc_id",
              text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is the least of its class, one row for each id; all columns kept."""
+    first = fresh("first_id", docs.columns)
     kept = near_classes(docs, n, threshold, doc_id=doc_id, text=text).where(
-        F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([doc_id])
+        F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(first)).distinct()
+    return docs.join(kept, F.col(doc_id).eqNullSafe(F.col(first)), "left_semi").dropDuplicates([doc_id])
