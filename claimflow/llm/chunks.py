@@ -30,7 +30,7 @@ WINDOW = 32
 #: Chunks end on average after 2**BITS candidates.
 BITS = 4
 LEAST, MOST = 20, 96
-SPAN = 128
+SPAN = 96
 
 _GEAR = (numbers(256, 5) >> np.uint64(32)).astype(np.uint32)
 

@@ -1,7 +1,8 @@
 """N-gram Jaccard join by MinHash banding (operator 2).
 
-Texts are sets of word n-grams (words are separated by ASCII white space).
-Documents with equal sets are one node, known by its smallest document id.
+Texts are sets of word n-grams. They are lower-cased, and their words are runs
+of digits, ASCII letters and non-ASCII characters: copies that differ in
+marks, capitals or line breaks only are equal. Documents with equal sets are one node, known by its smallest document id.
 The MinHash signature of a node is cut into bands; nodes that agree on a whole
 band share a bucket, met by a shuffle on the band's hash. The numbers of bands
 and rows follow from the target recall at the threshold (:func:`banding`).
@@ -25,11 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import fresh, materialize
-from .textnum import mix, ngram_hashes, numbers, runs, signed, text_bytes, word_hashes, word_spans
+from .textnum import IS_MARK, mix, ngram_hashes, numbers, runs, signed, text_bytes, word_hashes, word_spans
 
 NULL_KEY = (1 << 63) - 1
 
@@ -46,10 +48,10 @@ def banding(threshold: float = 0.8, recall: float = 0.999, far: float = 0.5, mos
 
 def grams_of(column: pa.Array, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, after the last, n-gram hashes, bounds) for some texts at a time."""
-    data, bounds = text_bytes(column)
+    data, bounds = text_bytes(pc.utf8_lower(column.fill_null("")))
     for i, j in runs(bounds, 1 << 21):
         part, inner = data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i]
-        starts, ends, of = word_spans(part, inner)
+        starts, ends, of = word_spans(part, inner, IS_MARK)
         yield i, j, *ngram_hashes(word_hashes(part, starts, ends), of, n)
 
 

@@ -19,6 +19,8 @@ _GOLD = 0x9E3779B97F4A7C15
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: ASCII other than letters and digits.
+IS_MARK = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -97,10 +99,11 @@ def pieces(bounds: np.ndarray, overlap: int) -> Iterator[tuple[int, int, int, in
             start = stop - overlap
 
 
-def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end bytes of the words (runs of bytes that are no ASCII white
-    space), and the bounds of the documents among them."""
-    inside = ~IS_SPACE[data]
+def word_spans(data: np.ndarray, bounds: np.ndarray,
+               outside: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end bytes of the words (runs of bytes that are not ``outside``, as a
+    rule ASCII white space), and the bounds of the documents among them."""
+    inside = ~outside[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[bounds] = True
     open_, close = inside.copy(), inside.copy()

@@ -128,7 +128,7 @@ def test_chunks_resist_shifts_and_catch_passages(llm_spark):
 def exact_classes(texts, n=5, threshold=0.8):
     sets = {}
     for d, t in texts.items():
-        w = WORD.findall(t)
+        w = re.findall("[0-9a-z\x80-\U0010ffff]+", t.lower())
         sets[d] = frozenset(tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset()
     up = {d: d for d in sets}
 
