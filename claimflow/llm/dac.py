@@ -16,19 +16,15 @@ A data set of segments is a folder of Parquet files: rows (part, before,
 doc_ids, lengths, n_tokens, codes), ``before`` being the ids of the part's
 earlier segments. Parts follow each other in the order of document ids.
 
-Texts are cut before a space that follows other than white space, where the
-tokenizer's own pattern cuts, and equal pieces encoded once. Null and empty
+Null and empty
 texts have the end id alone. A null document id comes first; rows that repeat
 an id follow each other in the order of a hash of their texts.
 """
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -115,34 +111,13 @@ class Codes:
 
 # ---- tokens ----------------------------------------------------------------------------
 
-_CUT = re.compile(r"(?<=\S)(?= )")
-#: White space before a space, in ASCII: its run must not be cut.
-_RUNS = tuple(c + " " for c in " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f")
-
-
-def cut(text: str) -> list[str]:
-    """Pieces whose ids, one after the other, are the text's ids."""
-    if not text.isascii() or text.startswith(" ") or any(r in text for r in _RUNS):
-        return _CUT.split(text)
-    first, *rest = text.split(" ")
-    return [first, *[" " + p for p in rest]]
-
-
-@lru_cache(maxsize=2)
-def _encoder(file: str) -> vocab.Remembered:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"   # tasks share the machine's cores already
-    from tokenizers import Tokenizer
-    model = Tokenizer.from_file(file)
-    return vocab.Remembered(lambda pieces: [e.ids for e in model.encode_batch_fast(pieces, add_special_tokens=False)])
-
-
 def _segments(file: str, size: int):
     schema = pa.schema([("part", pa.int32()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                         ("lengths", pa.list_(pa.int64())), ("n_tokens", pa.int64()), ("codes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
-        encode_lists = _encoder(file)
+        encode_texts = vocab.byte_level(file)
         docs, parts, total = [], [], 0
 
         def segment():
@@ -154,9 +129,8 @@ def _segments(file: str, size: int):
 
         for batch in batches:
             ids, texts = (batch.column(n).to_pylist() for n in ("doc_id", "text"))
-            for lo in range(0, len(ids), 64):
-                lists = encode_lists([cut(t) if t else [] for t in texts[lo:lo + 64]])
-                for doc, tokens in zip(ids[lo:lo + 64], lists):
+            for lo in range(0, len(ids), 128):
+                for doc, tokens in zip(ids[lo:lo + 128], encode_texts([t or "" for t in texts[lo:lo + 128]])):
                     docs.append(doc)
                     parts.append(np.append(tokens, np.uint32(END)))
                     total += len(parts[-1])

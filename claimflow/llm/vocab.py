@@ -8,13 +8,14 @@ words; they are encoded once per worker and looked up from then on.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Sequence
 from functools import lru_cache
 
 import numpy as np
 
 #: Pieces that a worker remembers, and the longest of them in characters or bytes.
-MEMORY, LONGEST = 250_000, 64
+MEMORY, LONGEST = 1_000_000, 48
 
 
 def path(name: str, folder: str | None = None) -> str:
@@ -27,21 +28,33 @@ def path(name: str, folder: str | None = None) -> str:
 
 
 class Remembered:
-    """Ids of lists of pieces as little-endian 32-bit numbers, by a memory of pieces."""
+    """Ids of lists of pieces as little-endian 32-bit numbers, by a memory of pieces.
 
-    def __init__(self, encode: Callable[[list], Sequence[Sequence[int]]]):
+    ``encode`` takes distinct pieces and the memory, and gives the bytes of the
+    ids of each, and of other pieces if it likes.
+    """
+
+    def __init__(self, encode: Callable[[list, dict], dict]):
         self._encode, self._known = encode, {}
 
     def __call__(self, lists: list[list]) -> list[np.ndarray]:
         if len(self._known) > MEMORY:
             self._known = {}
         known = self._known
-        new = list({p for pieces in lists for p in set(pieces).difference(known)})
-        passing = {}
-        for piece, ids in zip(new, self._encode(new) if new else ()):
-            (known if len(piece) <= LONGEST else passing)[piece] = np.array(ids, "<u4").tobytes()
-        get = known.__getitem__ if not passing else (lambda p: known[p] if p in known else passing[p])
-        return [np.frombuffer(b"".join(map(get, pieces)), "<u4") for pieces in lists]
+        found = [list(map(known.get, pieces)) for pieces in lists]
+        gaps = [[i for i, ids in enumerate(ids_of) if ids is None] if None in ids_of else () for ids_of in found]
+        new = list({pieces[i] for pieces, gap in zip(lists, gaps) for i in gap})
+        if new:
+            fresh = self._encode(new, known)
+            for pieces, ids_of, gap in zip(lists, found, gaps):
+                for i in gap:
+                    ids_of[i] = fresh[pieces[i]]
+            known.update((p, ids) for p, ids in fresh.items() if len(p) <= LONGEST)
+        return [np.frombuffer(b"".join(ids_of), "<u4") for ids_of in found]
+
+
+def id_bytes(ids: Sequence[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -50,4 +63,84 @@ def piece_model(file: str) -> tuple[Remembered, np.ndarray]:
     import sentencepiece
     model = sentencepiece.SentencePieceProcessor(model_file=file)
     is_byte = np.array([model.is_byte(i) for i in range(model.vocab_size())])
-    return Remembered(lambda words: model.encode([w.decode() for w in words], num_threads=1)), is_byte
+
+    def encode(words: list[bytes], known: dict) -> dict[bytes, bytes]:
+        return dict(zip(words, map(id_bytes, model.encode([w.decode() for w in words], num_threads=1))))
+
+    return Remembered(encode), is_byte
+
+
+# ---- byte-level BPE --------------------------------------------------------------------
+
+_CUT = re.compile(r"(?<=[^\s\x1c-\x1f\x85])(?=[ \n])")
+#: Runs of white space, and white space other than spaces and line feeds.
+_RUNS = ("  ", " \n", "\n ", "\n\n")
+_ASCII_SPACES = tuple("\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x00")
+_SPACES = tuple(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+_MARKS = ".,;:!?"
+_JOINED = 128
+
+
+def cut(text: str) -> list[str]:
+    """A text cut before each space or line feed that follows other than white
+    space: the tokenizer's pattern cuts there too, whatever stands around."""
+    if (any(r in text for r in _RUNS) or any(c in text for c in _ASCII_SPACES)
+            or not text.isascii() and any(c in text for c in _SPACES)):
+        return _CUT.split(text)
+    return text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
+
+
+class ByteLevel:
+    """Ids of whole texts by a byte-level BPE file of the tokenizers library."""
+
+    def __init__(self, file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"   # tasks share the machine's cores already
+        from tokenizers import Tokenizer
+        self._model = Tokenizer.from_file(file)
+        self._bytes = np.zeros(self._model.get_vocab_size(with_added_tokens=True), np.int64)
+        for token, i in self._model.get_vocab(with_added_tokens=True).items():
+            self._bytes[i] = len(token)      # a character of the vocabulary is a byte of the text
+        self._pieces = Remembered(self._encode_new)
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [id_bytes(e.ids) for e in self._model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_new(self, pieces: list[str], known: dict[str, bytes]) -> dict[str, bytes]:
+        """Marks after a letter are pieces of their own to the tokenizer's pattern,
+        so a word is encoded once, whatever marks follow it."""
+        parts, new, words = {}, [], set()
+        for p in pieces:
+            if p[-1:] in _MARKS and (word := p.rstrip(_MARKS))[-1:].isalpha() and word[-1].isascii():
+                parts[p] = word, p[len(word):]
+                words.update(parts[p])
+            else:
+                new.append(p)
+        out = self._encode(new + [w for w in words.difference(new) if w not in known])
+        get = lambda p: out[p] if p in out else known[p]
+        out.update([(p, get(word) + get(marks)) for p, (word, marks) in parts.items()])
+        return out
+
+    def _encode(self, pieces: list[str]) -> dict[str, bytes]:
+        """Pieces that begin with white space and don't end with it are encoded many
+        at a time, as one text; the bytes that ids stand for tell where each ends."""
+        out: dict[str, bytes] = {}
+        plain = [p for p in pieces if p and p[0] in " \n" and not p[-1].isspace()]
+        for lo in range(0, len(plain), _JOINED):
+            part = plain[lo:lo + _JOINED]
+            ids = self._ids(["".join(part)])[0]
+            ends = np.cumsum([len(p.encode()) for p in part])
+            at = 4 * np.searchsorted(np.cumsum(self._bytes[np.frombuffer(ids, "<u4")]), ends, "right")
+            starts = [0, *at[:-1].tolist()]
+            out.update((p, ids[a:b]) for p, a, b in zip(part, starts, at.tolist()))
+        others = [p for p in pieces if p not in out]
+        if others:
+            out.update(zip(others, self._ids(others)))
+        return out
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        return self._pieces([cut(t) for t in texts])
+
+
+@lru_cache(maxsize=2)
+def byte_level(file: str) -> ByteLevel:
+    return ByteLevel(file)
