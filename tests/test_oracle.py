@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
+from claimflow.plans.catalog import ORACLE, QUERIES
 from tools.check_oracle import TABLES, digest
 
 from conftest import SF_SMALL
 
-NAMES = sorted(se.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +25,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(se.oracle_sql()) == set(se.queries())
+    assert set(ORACLE) == set(QUERIES) <= set(se.queries())
+    assert ORACLE.items() <= se.oracle_sql().items() and set(se.oracle_sql()) <= set(se.queries())
 
 
 def test_entry_smoke(spark):
@@ -36,9 +38,9 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
-    sdf = se.queries()[name](spark, SF_SMALL)
+    sdf = QUERIES[name](spark, SF_SMALL)
     srows = [tuple(r) for r in sdf.collect()]
-    res = duck.execute(se.oracle_sql()[name])
+    res = duck.execute(ORACLE[name])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
