@@ -181,3 +181,39 @@ CANONICAL_DOMAINS = {
 }
 
 DATA_SOURCE = "content_insurance_generator"
+
+# Ranges of the generated numbers and dates, both ends included. Fixed values.
+RANGES = {
+    "premium_rate": (0.008, 0.015),
+    "premium_shift": (-200, 500),
+    "start": ("2020-01-01", "2024-01-01"),
+    "end": ("2024-01-01", "2025-12-31"),
+    "renewal": ("2024-01-01", "2025-12-31"),
+    "zip": (10000, 99999),
+    "construction_year": (1950, 2023),
+    "square_footage": (800, 5000),
+    "agent": (1, 100),
+    "underwriter": (1, 50),
+    "risk": (200, 850),
+    "discount": (0, 25),
+    "created": ("2020-01-01", "2024-01-01"),
+    "updated": ("2023-01-01", "2024-01-01"),
+    "phone_a": (100, 999),
+    "phone_b": (100, 999),
+    "phone_c": (1000, 9999),
+    "house": (100, 9999),
+    "dob": ("1950-01-01", "2005-12-31"),
+    "years_at_address": (1, 20),
+    "since": ("2015-01-01", "2023-01-01"),
+    "contact": ("2023-01-01", "2024-01-01"),
+    "settle": (0.3, 0.95),
+    "comment": (1, 5),
+    "incident": ("2020-01-01", "2024-01-01"),
+    "police_no": (100000, 999999),
+    "adjuster": (1, 50),
+    "investigator": (1, 30),
+    "witness": (0, 5),
+    "photos": (0, 20),
+    "repair": (0.8, 1.2),
+    "fraud": (0, 100),
+}

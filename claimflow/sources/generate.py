@@ -223,8 +223,8 @@ def _txt(g, s: str):
 def policy_columns(g, n_customers: int) -> list[tuple[str, object]]:
     u = g.u
     coverage = g.weighted(u("coverage"), S.COVERAGE_AMOUNTS, S.COVERAGE_WEIGHTS)
-    premium = g.round2(g.add(g.mul(coverage, g.uniform(u("premium_rate"), 0.008, 0.015)),
-                             g.uniform(u("premium_shift"), -200, 500)))
+    premium = g.round2(g.add(g.mul(coverage, g.uniform(u("premium_rate"), *S.RANGES["premium_rate"])),
+                             g.uniform(u("premium_shift"), *S.RANGES["premium_shift"])))
     return [
         ("policy_id", g.pad("POL_", g.row_id(), 6)),
         ("customer_id", g.pad("CUST_", g.key(u("customer"), 1, n_customers), 6)),
@@ -232,31 +232,31 @@ def policy_columns(g, n_customers: int) -> list[tuple[str, object]]:
         ("coverage_amount", g.cast(coverage, "int")),
         ("premium_amount", g.cast(premium, "double")),
         ("deductible", g.cast(g.choice(u("deductible"), S.DEDUCTIBLES), "int")),
-        ("policy_start_date", g.date_str(g.date(u("start"), "2020-01-01", "2024-01-01"))),
-        ("policy_end_date", g.date_str(g.date(u("end"), "2024-01-01", "2025-12-31"))),
-        ("renewal_date", g.date_str(g.date(u("renewal"), "2024-01-01", "2025-12-31"))),
+        ("policy_start_date", g.date_str(g.date(u("start"), *S.RANGES["start"]))),
+        ("policy_end_date", g.date_str(g.date(u("end"), *S.RANGES["end"]))),
+        ("renewal_date", g.date_str(g.date(u("renewal"), *S.RANGES["renewal"]))),
         ("region", g.weighted(u("region"), S.REGIONS, S.REGION_WEIGHTS)),
-        ("zip_code", g.cast(g.int_(u("zip"), 10000, 99999), "string")),
+        ("zip_code", g.cast(g.int_(u("zip"), *S.RANGES["zip"]), "string")),
         ("property_type", g.choice(u("property_type"), S.PROPERTY_TYPES)),
-        ("construction_year", g.int_(u("construction_year"), 1950, 2023)),
-        ("square_footage", g.int_(u("square_footage"), 800, 5000)),
+        ("construction_year", g.int_(u("construction_year"), *S.RANGES["construction_year"])),
+        ("square_footage", g.int_(u("square_footage"), *S.RANGES["square_footage"])),
         ("policy_status", g.weighted(u("policy_status"), S.POLICY_STATUSES,
                                      S.POLICY_STATUS_WEIGHTS)),
-        ("agent_id", g.concat(_txt(g, "AGENT_"), g.pad("", g.int_(u("agent"), 1, 100), 3))),
-        ("underwriter_id", g.concat(_txt(g, "UW_"), g.pad("", g.int_(u("underwriter"), 1, 50), 3))),
-        ("risk_score", g.cast(g.round2(g.uniform(u("risk"), 200, 850)), "double")),
-        ("discount_percentage", g.cast(g.round2(g.uniform(u("discount"), 0, 25)), "double")),
+        ("agent_id", g.concat(_txt(g, "AGENT_"), g.pad("", g.int_(u("agent"), *S.RANGES["agent"]), 3))),
+        ("underwriter_id", g.concat(_txt(g, "UW_"), g.pad("", g.int_(u("underwriter"), *S.RANGES["underwriter"]), 3))),
+        ("risk_score", g.cast(g.round2(g.uniform(u("risk"), *S.RANGES["risk"])), "double")),
+        ("discount_percentage", g.cast(g.round2(g.uniform(u("discount"), *S.RANGES["discount"])), "double")),
         ("payment_frequency", g.choice(u("payment_frequency"), S.PAYMENT_FREQUENCIES)),
-        ("created_date", g.date_str(g.date(u("created"), "2020-01-01", "2024-01-01"))),
-        ("last_updated", g.date_str(g.date(u("updated"), "2023-01-01", "2024-01-01"))),
+        ("created_date", g.date_str(g.date(u("created"), *S.RANGES["created"]))),
+        ("last_updated", g.date_str(g.date(u("updated"), *S.RANGES["updated"]))),
     ]
 
 
 def customer_columns(g) -> list[tuple[str, object]]:
     u = g.u
-    phone = g.concat(g.int_(u("phone_a"), 100, 999), _txt(g, "-"), g.int_(u("phone_b"), 100, 999),
-                     _txt(g, "-"), g.int_(u("phone_c"), 1000, 9999))
-    address = g.concat(g.int_(u("house"), 100, 9999), _txt(g, " "), g.choice(u("street"), S.STREETS),
+    phone = g.concat(g.int_(u("phone_a"), *S.RANGES["phone_a"]), _txt(g, "-"), g.int_(u("phone_b"), *S.RANGES["phone_b"]),
+                     _txt(g, "-"), g.int_(u("phone_c"), *S.RANGES["phone_c"]))
+    address = g.concat(g.int_(u("house"), *S.RANGES["house"]), _txt(g, " "), g.choice(u("street"), S.STREETS),
                        _txt(g, " St"))
     return [
         ("customer_id", g.pad("CUST_", g.row_id(), 6)),
@@ -264,7 +264,7 @@ def customer_columns(g) -> list[tuple[str, object]]:
         ("last_name", g.choice(u("last_name"), S.LAST_NAMES)),
         ("email", g.concat(_txt(g, "customer"), g.row_id(), _txt(g, "@email.com"))),
         ("phone", phone),
-        ("date_of_birth", g.date_str(g.date(u("dob"), "1950-01-01", "2005-12-31"))),
+        ("date_of_birth", g.date_str(g.date(u("dob"), *S.RANGES["dob"]))),
         ("age_group", g.weighted(u("age_group"), S.AGE_GROUPS, S.AGE_WEIGHTS)),
         ("gender", g.choice(u("gender"), S.GENDERS)),
         ("marital_status", g.weighted(u("marital"), S.MARITAL_STATUSES, S.MARITAL_WEIGHTS)),
@@ -275,14 +275,14 @@ def customer_columns(g) -> list[tuple[str, object]]:
         ("address_line1", address),
         ("city", g.choice(u("city"), S.CITIES)),
         ("state", g.choice(u("state"), S.CUSTOMER_STATES)),
-        ("zip_code", g.cast(g.int_(u("zip"), 10000, 99999), "string")),
+        ("zip_code", g.cast(g.int_(u("zip"), *S.RANGES["zip"]), "string")),
         ("country", g.lit("USA")),
         ("occupation", g.choice(u("occupation"), S.OCCUPATIONS)),
-        ("years_at_address", g.int_(u("years_at_address"), 1, 20)),
+        ("years_at_address", g.int_(u("years_at_address"), *S.RANGES["years_at_address"])),
         ("previous_claims_count", g.cast(g.weighted(u("previous_claims"), S.PREVIOUS_CLAIMS,
                                                     S.PREVIOUS_CLAIMS_WEIGHTS), "int")),
-        ("customer_since", g.date_str(g.date(u("since"), "2015-01-01", "2023-01-01"))),
-        ("last_contact_date", g.date_str(g.date(u("contact"), "2023-01-01", "2024-01-01"))),
+        ("customer_since", g.date_str(g.date(u("since"), *S.RANGES["since"]))),
+        ("last_contact_date", g.date_str(g.date(u("contact"), *S.RANGES["contact"]))),
     ]
 
 
@@ -307,17 +307,17 @@ def claim_columns(g, n_policies: int, n_customers: int) -> list[tuple[str, objec
                     g.lit(float(list(S.SEVERITY_AMOUNT_FACTOR.values())[-1])))
     amount = g.round2(g.mul(base, factor))
     settlement = g.when([(g.isin(status, ["Approved", "Closed"]),
-                          g.round2(g.mul(amount, g.uniform(u("settle"), 0.3, 0.95))))],
+                          g.round2(g.mul(amount, g.uniform(u("settle"), *S.RANGES["settle"]))))],
                         g.lit(0.0))
-    pick = g.int_(u("comment"), 1, 5)
+    pick = g.int_(u("comment"), *S.RANGES["comment"])
     comment = g.when([(g.eq(ctype, g.lit(t)), g.choice_at(S.CLAIM_COMMENTS[t], pick))
                       for t in S.CLAIM_TYPES[:-1]],
                      g.choice_at(S.CLAIM_COMMENTS[S.CLAIM_TYPES[-1]], pick))
-    incident = g.date(u("incident"), "2020-01-01", "2024-01-01")
+    incident = g.date(u("incident"), *S.RANGES["incident"])
     claim_d = g.date_plus(incident, g.int_(u("claim_lag"), 0, CLAIM_LAG_DAYS))
     report_d = g.date_plus(claim_d, g.int_(u("report_lag"), 0, REPORT_LAG_DAYS))
     police = g.when([(g.lt(u("police"), g.lit(0.3)),
-                      g.concat(_txt(g, "PR"), g.int_(u("police_no"), 100000, 999999)))],
+                      g.concat(_txt(g, "PR"), g.int_(u("police_no"), *S.RANGES["police_no"])))],
                     g.lit(None))
     return [
         ("claim_id", g.pad("CLM_", g.row_id(), 6)),
@@ -332,18 +332,18 @@ def claim_columns(g, n_policies: int, n_customers: int) -> list[tuple[str, objec
         ("settlement_amount", g.cast(settlement, "double")),
         ("deductible_applied", g.cast(g.choice(u("deductible"), S.DEDUCTIBLES), "int")),
         ("severity_level", severity),
-        ("adjuster_id", g.concat(_txt(g, "ADJ_"), g.pad("", g.int_(u("adjuster"), 1, 50), 3))),
+        ("adjuster_id", g.concat(_txt(g, "ADJ_"), g.pad("", g.int_(u("adjuster"), *S.RANGES["adjuster"]), 3))),
         ("investigator_id", g.concat(_txt(g, "INV_"),
-                                     g.pad("", g.int_(u("investigator"), 1, 30), 3))),
+                                     g.pad("", g.int_(u("investigator"), *S.RANGES["investigator"]), 3))),
         ("police_report_number", g.cast(police, "string")),
-        ("witness_count", g.int_(u("witness"), 0, 5)),
-        ("photos_taken", g.int_(u("photos"), 0, 20)),
-        ("repair_estimate", g.cast(g.round2(g.mul(amount, g.uniform(u("repair"), 0.8, 1.2))),
+        ("witness_count", g.int_(u("witness"), *S.RANGES["witness"])),
+        ("photos_taken", g.int_(u("photos"), *S.RANGES["photos"])),
+        ("repair_estimate", g.cast(g.round2(g.mul(amount, g.uniform(u("repair"), *S.RANGES["repair"]))),
                                    "double")),
-        ("fraud_score", g.cast(g.round2(g.uniform(u("fraud"), 0, 100)), "double")),
+        ("fraud_score", g.cast(g.round2(g.uniform(u("fraud"), *S.RANGES["fraud"])), "double")),
         ("comments", comment),
-        ("created_date", g.date_str(g.date(u("created"), "2020-01-01", "2024-01-01"))),
-        ("last_updated", g.date_str(g.date(u("updated"), "2023-01-01", "2024-01-01"))),
+        ("created_date", g.date_str(g.date(u("created"), *S.RANGES["created"]))),
+        ("last_updated", g.date_str(g.date(u("updated"), *S.RANGES["updated"]))),
     ]
 
 
