@@ -60,10 +60,6 @@ def _tokens(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
                        word_pieces(F.col(text)).alias("pieces"))
 
 
-def _small(df: DataFrame, broadcast: bool) -> DataFrame:
-    return F.broadcast(df) if broadcast else df
-
-
 def hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text",
          doc_id: str = "doc_id", item: str = "item_id",
          broadcast_limit: int = BROADCAST_NGRAMS) -> DataFrame:
@@ -76,37 +72,61 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text",
     grams = materialize(benchmark_ngrams(benchmark, n, text, item), "ngrams")
     small = grams.count() <= broadcast_limit
     tokens = _tokens(docs, text, doc_id)
-
+    anchors = _anchors(grams, tokens, small)
+    counted = tokens.select("*", word_count(F.col("pieces")).alias("n_words"))
+    start = (F.col("pos") - F.col("off")).alias("start")
+    if small:
+        # a row for each word that anchors an n-gram, and for each document's first piece
+        found = (counted.select("*", F.posexplode("pieces").alias("pos", "word"))
+                 .join(F.broadcast(anchors), "word", "left")
+                 .select("*", start)
+                 .withColumn("hit", F.coalesce(_equal("start", "gram_words"), F.lit(False)))
+                 .where(F.col("hit") | (F.col("pos") == 0)))
+        when = lambda c: F.when(F.col("hit"), c)
+        return (found.groupBy("doc_id", "text_hash")
+                .agg(F.max("n_words").alias("n_words"),
+                     F.collect_set(when(F.struct("start", F.size("gram_words").alias("len")))).alias("spans"),
+                     F.array_distinct(F.flatten(F.collect_set(when(F.col("items"))))).alias("items")))
+    # words travel alone; the candidates of a document, as many as its anchors, come back to it
+    candidates = (tokens.select("doc_id", "text_hash", F.posexplode("pieces").alias("pos", "word"))
+                  .join(anchors, "word").select("doc_id", "text_hash", start, "gram_words", "items").distinct()
+                  .groupBy("doc_id", "text_hash")
+                  .agg(F.collect_list(F.struct("start", "gram_words", "items")).alias("candidates"))
+                  .withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    hit = F.filter(F.coalesce("candidates", F.array()), lambda c: _equal(c["start"], c["gram_words"]))
+    found = counted.join(candidates, same, "left").select("doc_id", "text_hash", "n_words", hit.alias("hits"))
+    return found.dropDuplicates(["doc_id", "text_hash"]).select(
+        "doc_id", "text_hash", "n_words",
+        F.array_distinct(F.transform("hits", lambda h: F.struct(h["start"].alias("start"),
+                                                                F.size(h["gram_words"]).alias("len")))).alias("spans"),
+        F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"]))).alias("items"))
+
+
+def _equal(start, words) -> Column:
+    """Whether the pieces from ``start`` on are these words."""
+    start, words = (F.col(c) if isinstance(c, str) else c for c in (start, words))
+    return (start >= 0) & (F.slice("pieces", F.greatest(start + 1, F.lit(1)), F.size(words)) == words)
+
+
+def _anchors(grams: DataFrame, tokens: DataFrame, small: bool) -> DataFrame:
+    """(word, off, gram_words, items): each n-gram with its rarest word in the corpus
+    and that word's place in it. One with a word that the corpus lacks can't occur."""
     vocabulary = grams.select(F.explode("words").alias("word")).distinct()
-    frequency = (tokens.select(F.explode("pieces").alias("word"))
-                 .join(_small(vocabulary, small), "word").groupBy("word").agg(F.count("*").alias("df")))
-    # n-grams with a word that the corpus lacks can't occur
+    words = tokens.select(F.explode("pieces").alias("word"))
+    if small:
+        frequency = words.join(F.broadcast(vocabulary), "word").groupBy("word").agg(F.count("*").alias("df"))
+    else:   # counted first: a frequent word is a row per task
+        frequency = words.groupBy("word").agg(F.count("*").alias("df")).join(vocabulary, "word")
     known = (grams.select("*", F.monotonically_increasing_id().alias("gram"))
              .select("gram", "words", "items", F.posexplode("words").alias("off", "word"))
-             .join(_small(frequency, small), "word", "left")
-             .groupBy("gram").agg(F.min("words").alias("words"), F.min("items").alias("items"),
+             .join(frequency, "word", "left")
+             .groupBy("gram").agg(F.min("words").alias("gram_words"), F.min("items").alias("items"),
                                   F.count("df").alias("known"),
                                   F.min(F.struct("df", "off", "word")).alias("rarest"))
-             .where(F.col("known") == F.size("words")))
-    anchors = materialize(known.select(F.col("rarest.word").alias("word"), F.col("rarest.off").alias("off"),
-                                       F.col("words").alias("gram_words"), "items"), "anchors")
-
-    start = F.col("pos") - F.col("off")
-    hit = (F.col("gram_words").isNotNull() & (start >= 0)
-           & (F.slice("pieces", F.greatest(start + 1, F.lit(1)), F.size("gram_words"))
-              == F.col("gram_words")))
-    scanned = (tokens.select("doc_id", "text_hash", "pieces", word_count(F.col("pieces")).alias("n_words"),
-                             F.posexplode("pieces").alias("pos", "word"))
-               .join(_small(anchors, small), "word", "left")
-               .withColumn("hit", F.coalesce(hit, F.lit(False)))
-               .where(F.col("hit") | (F.col("pos") == 0))
-               .select("doc_id", "text_hash", "n_words",
-                       F.when(F.col("hit"), F.struct(start.alias("start"), F.size("gram_words").alias("len")))
-                       .alias("span"),
-                       F.when(F.col("hit"), F.col("items")).alias("items")))
-    return (scanned.groupBy("doc_id", "text_hash")
-            .agg(F.max("n_words").alias("n_words"), F.collect_set("span").alias("spans"),
-                 F.array_distinct(F.flatten(F.collect_set("items"))).alias("items")))
+             .where(F.col("known") == F.size("gram_words")))
+    return materialize(known.select(F.col("rarest.word").alias("word"), F.col("rarest.off").alias("off"),
+                                    "gram_words", "items"), "anchors")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, n: int = 10, **names) -> DataFrame:
