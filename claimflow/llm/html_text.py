@@ -40,7 +40,7 @@ DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo di
                           "search toolbar".split())
 DROPPED_WORDS = frozenset(
     "ad ads adsense advert advertisement advertising adverts banner breadcrumb breadcrumbs captcha comment comments "
-    "consent cookie cookies copyright disclaimer disqus footer form gdpr login masthead menu menus modal nav navbar "
+    "consent cookie cookies copyright disclaimer disqus footer gdpr login masthead menu menus modal nav navbar "
     "navigation newsletter notice notices notification overlay pager pagination paywall popup promo promoted promotion "
     "recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored "
     "subscribe subscription toolbar topbar widget".split())
@@ -50,7 +50,9 @@ ARTICLE_DROPPED = frozenset("ad ads advert advertisement card comment comments p
                             "reply sponsored teaser".split())
 MAIN_WORDS = frozenset("article-body article-content article-text content entry-content main main-content "
                        "post-body post-content story-body".split())
-_WORD = re.compile(r"[a-z]+|[0-9]+")
+#: Beginnings of names that tell of a layout, not of what an element is.
+LAYOUT = ("has-", "with-", "no-", "without-")
+_WORD = re.compile(r"[a-z]+")
 
 
 class Element:
@@ -73,7 +75,7 @@ def _names(attributes: dict[str, str]) -> list[str]:
 
 
 def _dropped(tag: str, attributes: dict[str, str], inside: bool) -> bool:
-    words = {w for n in _names(attributes) for w in _WORD.findall(n)}
+    words = {w for n in _names(attributes) if not n.startswith(LAYOUT) for w in _WORD.findall(n)}
     if tag in ("html", "body", "main"):
         return False
     if tag == "article":

@@ -347,6 +347,9 @@ def page_text(source, templates=()):
     ("<main><p>one</p><div class='cookie-notice'>eat</div></main><nav>n</nav>", "one"),
     ("<body><header>h</header><p>x&#8212;y&lt;z&eacute;</p><form><p>f</p></form><style>p{}</style></body>", "x—y<zé"),
     ("<p>a<!-- b <p> -->c</p><![CDATA[d<e]]>", "ac\nd<e"), ("<table><tr><td>1<td>2<tr><td>3</table>", "1\n2\n3"),
+    ("<div class='page with-sidebar'><section class='long-form'><p>kept</p></section><div id=sidebar>s</div></div>", "kept"),
+    ("<header>Site</header><div id='cookie-notice'>c</div><p>body</p><div class='ad-box'>b</div><ul class='menu'><li>m</ul>"
+     "<div id=comments><p>r</p></div><section role=search>q</section><p style='display: none'>h</p>", "body"),
     ("<article><p>text <a href='/'>link</a>, more</p><div hidden>no</div></article>", "text link, more"),
 ])
 def test_main_text_of_a_page(source, text):
