@@ -150,19 +150,21 @@ def measures(docs: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_
 
 def bands(measured: DataFrame) -> DataFrame:
     """(of, class, entropy_low, variety_low, byte_high): ``of`` is the language
-    as an array, or an empty one for all languages. Exact quartiles of rounded
-    measures: the same in any order of the rows."""
-    quartiles = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    groups = (measured.where("NOT base_failed")
+    as an array, or an empty one for all languages. Each text counts once, as
+    copies would narrow its group's band. Exact quantiles of rounded measures:
+    the same in any order of the rows. Junk stands on the low side, so the
+    spread is the greater of that between the quartiles and of the upper part."""
+    quantiles = F.array(*map(F.lit, (0.25, 0.5, 0.75, 0.9)))
+    groups = (measured.where("NOT base_failed").dropDuplicates(["lang", "tie"])
               .select(F.explode(F.array(F.array("lang"), F.array().cast("array<string>"))).alias("of"), "class",
                       F.round("entropy", 2).alias("e"), F.round("variety", 2).alias("v"),
                       F.round("byte_share", 3).alias("b"))
               .groupBy("of", "class")
-              .agg(F.count("*").alias("n"), *(F.percentile(c, quartiles).alias(c) for c in "evb"))
+              .agg(F.count("*").alias("n"), *(F.percentile(c, quantiles).alias(c) for c in "evb"))
               .where(F.col("n") >= GROUP))
 
     def low(c: str, width: float, least) -> F.Column:
-        spread = (F.col(c)[2] - F.col(c)[0]) / 1.349
+        spread = F.greatest((F.col(c)[2] - F.col(c)[0]) / 1.349, (F.col(c)[3] - F.col(c)[1]) / 1.2816)
         return F.col(c)[1] - width * F.greatest(spread, least)
 
     return groups.select("of", "class", low("e", ENTROPY_BAND, F.lit(LEAST_ENTROPY)).alias("entropy_low"),
