@@ -11,6 +11,8 @@ use the written copy, which cuts the lineage at every table boundary.
 
 from __future__ import annotations
 
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -22,6 +24,10 @@ from ..operators.expectations import (ALL_OR_DROP, DROP, EXPECT, OR_DROP, WARN,
 from ..sources.io import read_table, write_table
 
 
+#: Tables that a run writes at a time.
+WRITERS = 4
+
+
 @dataclass
 class DatasetDef:
     name: str
@@ -105,27 +111,35 @@ class Context:
         self._materialize_to: str | None = None
         self._format = "parquet"
         self._schema: str | None = None
-        self._reading: list[str] = []
+        self._reading = threading.local()      # what this thread is building, outermost first
+        self._deps: dict[str, set[str]] = {}    # what each dataset's function has read
         self._observations: dict = {}
         self._kept: dict = {}
 
     def param(self, name: str, default=None):
         return self._params.get(name, default)
 
+    def _note(self, name: str) -> list[str]:
+        chain = self._reading.__dict__.setdefault("chain", [])
+        if chain:
+            self._deps.setdefault(chain[-1], set()).add(name)
+        return chain
+
     def unchecked(self, name: str) -> DataFrame:
         """The dataset before its drop rules (for metrics and failed rows)."""
+        chain = self._note(name)
         if name not in self._unchecked:
-            if name in self._reading:
-                chain = " -> ".join([*self._reading[self._reading.index(name):], name])
-                raise ValueError(f"datasets read each other: {chain}")
-            self._reading.append(name)
+            if name in chain:
+                raise ValueError(f"datasets read each other: {' -> '.join([*chain[chain.index(name):], name])}")
+            chain.append(name)
             try:
                 self._unchecked[name] = self.registry.datasets[name].fn(self)
             finally:
-                self._reading.pop()
+                chain.pop()
         return self._unchecked[name]
 
     def read(self, name: str) -> DataFrame:
+        self._note(name)
         if name in self._built:
             return self._built[name]
         if name in self._sources:
@@ -190,13 +204,38 @@ class Context:
         into that table's plan.
         """
         self._materialize_to, self._format, self._schema = out_dir, fmt, schema
-        # anything built lazily before the run is rebuilt so that tables are
-        # written and their readers use the written copies
-        self._built = {n: df for n, df in self._built.items() if n in self._sources}
-        self._unchecked = {}
         try:
-            for t in targets or self.registry.tables():
-                self.read(t)
+            self._materialize_to, out_dir = None, self._materialize_to
+            levels = self._levels(targets or self.registry.tables())
+            self._materialize_to = out_dir
+            for level in levels:
+                # tables that don't read each other are written side by side
+                with ThreadPoolExecutor(max_workers=WRITERS) as pool:
+                    list(pool.map(self.read, level))
         finally:
             self._materialize_to = self._schema = None
         return dict(self._written)
+
+    def _levels(self, targets: list[str]) -> list[list[str]]:
+        """The targets and the tables they read, each after what it reads. All are
+        built lazily once to learn that, and forgotten, so that they are
+        written and their readers use the written copies."""
+        forget = lambda: ({n: df for n, df in self._built.items() if n in self._sources}, {})
+        self._built, self._unchecked = forget()
+        for t in targets:
+            self.read(t)
+        self._built, self._unchecked = forget()
+
+        def depth(name: str) -> int:
+            below = max([depth(d) for d in self._deps.get(name, ()) if d != name], default=0)
+            return below + (name in self.registry.datasets and self.registry.datasets[name].kind == "table")
+
+        def reached(name: str) -> set[str]:
+            return {name}.union(*(reached(d) for d in self._deps.get(name, ()) if d != name))
+
+        levels: dict[int, list[str]] = {}
+        wanted = set().union(*map(reached, targets))
+        for t in self.registry.tables():
+            if t in wanted:
+                levels.setdefault(depth(t), []).append(t)
+        return [levels[k] for k in sorted(levels)]
