@@ -18,7 +18,7 @@ earlier segments. Parts follow each other in the order of document ids.
 
 Null and empty
 texts have the end id alone. A null document id comes first; rows that repeat
-an id follow each other in the order of a hash of their texts.
+an id follow each other in the order of their texts.
 """
 
 from __future__ import annotations
@@ -128,12 +128,12 @@ def _segments(file: str, size: int):
             return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, schema)], schema=schema)
 
         for batch in batches:
-            ids, texts = (batch.column(n).to_pylist() for n in ("doc_id", "text"))
-            for lo in range(0, len(ids), 128):
-                for doc, tokens in zip(ids[lo:lo + 128], encode_texts([t or "" for t in texts[lo:lo + 128]])):
+            for lo in range(0, len(batch), 128):
+                ids, texts = (batch.column(n).slice(lo, 128).to_pylist() for n in ("doc_id", "text"))
+                for doc, tokens in zip(ids, encode_texts([t or "" for t in texts], END)):
                     docs.append(doc)
-                    parts.append(np.append(tokens, np.uint32(END)))
-                    total += len(parts[-1])
+                    parts.append(tokens)
+                    total += len(tokens)
                     if total >= size:
                         yield segment()
         if docs:
@@ -145,9 +145,8 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None, doc_id: str
           segment: int = SEGMENT) -> None:
     """Encode the texts in the order of ids and write the segments to the folder ``path``."""
     file = vocabulary or vocab.path(VOCABULARY)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
-                       F.xxhash64(text).alias("tie"))
-    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(_segments(file, segment), SEGMENTS).write.parquet(path)
 
 

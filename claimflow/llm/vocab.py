@@ -14,8 +14,10 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Pieces that a worker remembers, and the longest of them in characters or bytes.
-MEMORY, LONGEST = 1_000_000, 48
+#: The longest piece that a worker remembers, in characters or bytes.
+LONGEST = 48
+#: How many words or pieces it remembers: about 0.3 KB each.
+WORDS, PIECES = 100_000, 1_000_000
 
 
 def path(name: str, folder: str | None = None) -> str:
@@ -31,14 +33,16 @@ class Remembered:
     """Ids of lists of pieces as little-endian 32-bit numbers, by a memory of pieces.
 
     ``encode`` takes distinct pieces and the memory, and gives the bytes of the
-    ids of each, and of other pieces if it likes.
+    ids of each, and of other pieces if it likes. With more than ``most`` pieces
+    the memory starts anew.
     """
 
-    def __init__(self, encode: Callable[[list, dict], dict]):
-        self._encode, self._known = encode, {}
+    def __init__(self, encode: Callable[[list, dict], dict], most: int):
+        self._encode, self._known, self._most = encode, {}, most
 
-    def __call__(self, lists: list[list]) -> list[np.ndarray]:
-        if len(self._known) > MEMORY:
+    def __call__(self, lists: list[list], end: bytes = b"") -> list[np.ndarray]:
+        """The ids of each list, with those of ``end`` after them."""
+        if len(self._known) > self._most:
             self._known = {}
         known = self._known
         found = [list(map(known.get, pieces)) for pieces in lists]
@@ -49,8 +53,10 @@ class Remembered:
             for pieces, ids_of, gap in zip(lists, found, gaps):
                 for i in gap:
                     ids_of[i] = fresh[pieces[i]]
-            known.update((p, ids) for p, ids in fresh.items() if len(p) <= LONGEST)
-        return [np.frombuffer(b"".join(ids_of), "<u4") for ids_of in found]
+            if max(map(len, fresh)) > LONGEST:
+                fresh = {p: ids for p, ids in fresh.items() if len(p) <= LONGEST}
+            known.update(fresh)
+        return [np.frombuffer(b"".join(ids_of) + end, "<u4") for ids_of in found]
 
 
 def id_bytes(ids: Sequence[int]) -> bytes:
@@ -67,7 +73,7 @@ def piece_model(file: str) -> tuple[Remembered, np.ndarray]:
     def encode(words: list[bytes], known: dict) -> dict[bytes, bytes]:
         return dict(zip(words, map(id_bytes, model.encode([w.decode() for w in words], num_threads=1))))
 
-    return Remembered(encode), is_byte
+    return Remembered(encode, WORDS), is_byte
 
 
 # ---- byte-level BPE --------------------------------------------------------------------
@@ -77,7 +83,8 @@ _CUT = re.compile(r"(?<=[^\s\x1c-\x1f\x85])(?=[ \n])")
 _RUNS = ("  ", " \n", "\n ", "\n\n")
 _ASCII_SPACES = tuple("\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x00")
 _SPACES = tuple(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
-_MARKS = ".,;:!?"
+_HEADS, _MARKS = frozenset(" \n"), frozenset(".,;:!?")
+_TAIL = "".join(sorted(_MARKS))
 _JOINED = 128
 
 
@@ -100,7 +107,7 @@ class ByteLevel:
         self._bytes = np.zeros(self._model.get_vocab_size(with_added_tokens=True), np.int64)
         for token, i in self._model.get_vocab(with_added_tokens=True).items():
             self._bytes[i] = len(token)      # a character of the vocabulary is a byte of the text
-        self._pieces = Remembered(self._encode_new)
+        self._pieces = Remembered(self._encode_new, PIECES)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [id_bytes(e.ids) for e in self._model.encode_batch_fast(texts, add_special_tokens=False)]
@@ -110,7 +117,7 @@ class ByteLevel:
         so a word is encoded once, whatever marks follow it."""
         parts, new, words = {}, [], set()
         for p in pieces:
-            if p[-1:] in _MARKS and (word := p.rstrip(_MARKS))[-1:].isalpha() and word[-1].isascii():
+            if p[-1:] in _MARKS and (word := p.rstrip(_TAIL))[-1:].isalpha() and word[-1].isascii():
                 parts[p] = word, p[len(word):]
                 words.update(parts[p])
             else:
@@ -124,21 +131,22 @@ class ByteLevel:
         """Pieces that begin with white space and don't end with it are encoded many
         at a time, as one text; the bytes that ids stand for tell where each ends."""
         out: dict[str, bytes] = {}
-        plain = [p for p in pieces if p and p[0] in " \n" and not p[-1].isspace()]
+        plain, others = [], []
+        for p in pieces:
+            (plain if p[:1] in _HEADS and not p[-1].isspace() else others).append(p)
         for lo in range(0, len(plain), _JOINED):
             part = plain[lo:lo + _JOINED]
             ids = self._ids(["".join(part)])[0]
-            ends = np.cumsum([len(p.encode()) for p in part])
-            at = 4 * np.searchsorted(np.cumsum(self._bytes[np.frombuffer(ids, "<u4")]), ends, "right")
-            starts = [0, *at[:-1].tolist()]
-            out.update((p, ids[a:b]) for p, a, b in zip(part, starts, at.tolist()))
-        others = [p for p in pieces if p not in out]
+            ends = np.cumsum(list(map(len, map(str.encode, part))))
+            at = (4 * np.searchsorted(np.cumsum(self._bytes[np.frombuffer(ids, "<u4")]), ends, "right")).tolist()
+            out.update(zip(part, map(ids.__getitem__, map(slice, [0, *at[:-1]], at))))
         if others:
             out.update(zip(others, self._ids(others)))
         return out
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        return self._pieces([cut(t) for t in texts])
+    def __call__(self, texts: list[str], end: int | None = None) -> list[np.ndarray]:
+        """The ids of each text, with the id ``end`` after them."""
+        return self._pieces(list(map(cut, texts)), b"" if end is None else id_bytes([end]))
 
 
 @lru_cache(maxsize=2)
