@@ -48,11 +48,10 @@ def banding(threshold: float = 0.8, recall: float = 0.999, far: float = 0.5, mos
 
 def grams_of(column: pa.Array, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, after the last, n-gram hashes, bounds) for some texts at a time."""
-    data, bounds = text_bytes(pc.utf8_lower(column.fill_null("")))
-    for i, j in runs(bounds, 1 << 21):
-        part, inner = data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i]
-        starts, ends, of = word_spans(part, inner, IS_MARK)
-        yield i, j, *ngram_hashes(word_hashes(part, starts, ends), of, n)
+    for i, j in runs(text_bytes(column)[1], 1 << 21):
+        data, bounds = text_bytes(pc.utf8_lower(column.slice(i, j - i).fill_null("")))
+        starts, ends, of = word_spans(data, bounds, IS_MARK)
+        yield i, j, *ngram_hashes(word_hashes(data, starts, ends), of, n)
 
 
 def _band_hashes(grams: np.ndarray, bounds: np.ndarray, bands: int, rows: int) -> np.ndarray:

@@ -130,7 +130,7 @@ def _measured(file: str, columns: list[str]):
             own = [batch.column(c) for c in columns]
             if not len(batch):
                 continue
-            size = max(1, min(len(batch), int(len(batch) * (4 << 20) / max(1, text.nbytes))))
+            size = max(1, min(len(batch), int(len(batch) * (1 << 20) / max(1, text.nbytes))))
             for lo in range(0, len(batch), size):
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(lo, size) for c in own), *measure(text.slice(lo, size), file)], names=names)
