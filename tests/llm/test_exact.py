@@ -189,6 +189,24 @@ def test_classes_of_near_copies_against_all_pairs(llm_spark, seed):
     assert all(got[d].n_copies == copies[t] for d, t in texts.items())
 
 
+def test_near_copies_in_a_crowd_of_distant_texts(llm_spark):
+    """Texts of one template lie far apart but share buckets; near copies of some of them stand in crowded buckets only."""
+    rng = random.Random(8)
+    parts = [[[f"{rng.choice(PROSE)}{rng.randint(0, 10 ** 6)}" for _ in range(10)] for _ in range(2)] for _ in range(20)]
+    texts = [[w for p in parts for w in p[rng.random() < 0.2]] for _ in range(300)]
+    for text in texts[100:140]:   # copies at a little over 0.8
+        copy = list(text)
+        for k in range(20, 200, 45):
+            copy[k] = f"new{rng.randint(0, 10 ** 6)}"
+        texts.append(copy)
+    texts = dict(enumerate(map(" ".join, texts)))
+    df = llm_spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
+    classes, links = exact_classes(texts)
+    got = {r.doc_id: r for r in jaccard.near_classes(df).collect()}
+    assert sum(got[d].class_id != c for d, c in classes.items()) <= 1   # up to recall
+    assert sum(got[d].n_links for d in texts) >= 0.99 * sum(links.values()) > 0
+
+
 def test_classes_on_the_small_table(small):
     texts = texts_of(small)
     assert {r.doc_id: r.class_id for r in jaccard.near_classes(small).collect()} == exact_classes(texts)[0]
