@@ -207,6 +207,17 @@ def test_near_copies_in_a_crowd_of_distant_texts(llm_spark):
     assert sum(got[d].n_links for d in texts) >= 0.99 * sum(links.values()) > 0
 
 
+@pytest.mark.parametrize("members, grams", [(7, 1 << 21), (1024, 300)])
+def test_blocks_of_crowded_buckets_lose_no_pair(llm_spark, monkeypatch, members, grams):
+    monkeypatch.setattr(jaccard, "MEMBERS", members)
+    monkeypatch.setattr(jaccard, "GRAMS", grams)
+    texts = near_copies(5, groups=3, size=30)
+    df = llm_spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.near_classes(df).collect()}
+    classes, links = exact_classes(texts)
+    assert got == {d: (classes[d], links[d]) for d in texts}
+
+
 def test_classes_on_the_small_table(small):
     texts = texts_of(small)
     assert {r.doc_id: r.class_id for r in jaccard.near_classes(small).collect()} == exact_classes(texts)[0]
