@@ -12,7 +12,7 @@ Training takes all documents of the corpus, in NumPy within Spark's tasks:
 
 1. Token counts over all tokens, summed by Spark, give the softmax biases: the
    network starts as the unigram model.
-2. Each task trains the network on every eighth position of its documents, by
+2. Each task trains the network on every position of its documents, by
    minibatches with Adagrad, all tasks from the same start.
 3. The tasks' parameters, weighted by their numbers of positions, are averaged
    by Spark in blocks, in two levels and in a fixed order of the parts.
@@ -41,7 +41,7 @@ CLASSES = 64
 TOKENS = CLASSES * CLASSES
 PAD = TOKENS
 SIDE, EMBEDDING, HIDDEN = 2, 8, 32
-STRIDE, BATCH, RATE = 8, 4096, 0.05
+BATCH, RATE = 4096, 0.05
 _SHAPES = {"embedding": (TOKENS + 1, EMBEDDING), "w_in": (2 * SIDE * EMBEDDING, HIDDEN), "b_in": (HIDDEN,),
            "w_class": (HIDDEN, CLASSES), "b_class": (CLASSES,), "w_token": (CLASSES, HIDDEN, CLASSES),
            "b_token": (CLASSES, CLASSES)}
@@ -87,12 +87,18 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
-def _by_class(target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(target, kind="stable")
-    edges = np.searchsorted(target[order], np.arange(CLASSES + 1) * CLASSES)
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x = np.exp(x - x.max(1, keepdims=True))
+    x /= x.sum(1, keepdims=True)
+    return x
+
+
+def _by_class(target: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """The places of each class among sorted targets."""
+    edges = np.searchsorted(target, np.arange(CLASSES + 1) * CLASSES).tolist()
     for c in range(CLASSES):
         if edges[c] < edges[c + 1]:
-            yield c, order[edges[c]:edges[c + 1]]
+            yield c, slice(edges[c], edges[c + 1])
 
 
 def _hidden(p: Params, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +110,8 @@ def log_probabilities(p: Params, line: np.ndarray, places: np.ndarray, block: in
     """Of the tokens at the places, given their neighbours."""
     out = np.zeros(len(places), np.float64)
     for at in range(0, len(places), block):
-        here = places[at:at + block]
+        order = np.argsort(line[places[at:at + block]], kind="stable")
+        here = places[at:at + block][order]
         target = line[here]
         _, h = _hidden(p, _context(line, here))
         rows = np.arange(len(here))
@@ -112,25 +119,26 @@ def log_probabilities(p: Params, line: np.ndarray, places: np.ndarray, block: in
         two = np.zeros(len(here), np.float32)
         for c, which in _by_class(target):
             logs = _log_softmax(h[which] @ p["w_token"][c] + p["b_token"][c])
-            two[which] = logs[np.arange(len(which)), target[which] % CLASSES]
-        out[at:at + block] = one.astype(np.float64) + two
+            two[which] = logs[np.arange(len(logs)), target[which] % CLASSES]
+        out[at + order] = one.astype(np.float64) + two
     return out
 
 
 def train_step(p: Params, squares: Params, line: np.ndarray, places: np.ndarray) -> None:
     """One minibatch of Adagrad."""
+    places = places[np.argsort(line[places], kind="stable")]
     target, context = line[places], _context(line, places)
     n = len(places)
     x, h = _hidden(p, context)
-    d = np.exp(_log_softmax(h @ p["w_class"] + p["b_class"]))
+    d = _softmax(h @ p["w_class"] + p["b_class"])
     d[np.arange(n), target // CLASSES] -= 1
     d /= n
     g = {"w_class": h.T @ d, "b_class": d.sum(0)}
     dh = d @ p["w_class"].T
     for c, which in _by_class(target):
         hc = h[which]
-        d = np.exp(_log_softmax(hc @ p["w_token"][c] + p["b_token"][c]))
-        d[np.arange(len(which)), target[which] % CLASSES] -= 1
+        d = _softmax(hc @ p["w_token"][c] + p["b_token"][c])
+        d[np.arange(len(d)), target[which] % CLASSES] -= 1
         d /= n
         dh[which] += d @ p["w_token"][c].T
         _adagrad(p["w_token"][c], squares["w_token"][c], hc.T @ d)
@@ -138,8 +146,8 @@ def train_step(p: Params, squares: Params, line: np.ndarray, places: np.ndarray)
     dh *= 1 - h * h
     g["w_in"], g["b_in"] = x.T @ dh, dh.sum(0)
     dx = (dh @ p["w_in"].T).reshape(-1, EMBEDDING)
-    de = np.zeros_like(p["embedding"])
-    np.add.at(de, context.reshape(-1), dx)
+    at = context.reshape(-1)
+    de = np.stack([np.bincount(at, x, TOKENS + 1) for x in np.ascontiguousarray(dx.T)], 1).astype(dx.dtype)
     de[PAD] = 0
     g["embedding"] = de
     for k, v in g.items():
@@ -168,12 +176,11 @@ def _trained(first: Params):
         squares = {k: np.zeros_like(v) for k, v in p.items()}
         seen = 0
         for batch in batches:
-            for i, _, line, places, _ in tokens_of(batch.column("text")):
-                chosen = places[i % STRIDE::STRIDE]
-                if len(chosen):
-                    for here in np.array_split(chosen, -(-len(chosen) // BATCH)):
+            for _, _, line, places, _ in tokens_of(batch.column("text")):
+                if len(places):
+                    for here in np.array_split(places, -(-len(places) // BATCH)):
                         train_step(p, squares, line, here)
-                    seen += len(chosen)
+                    seen += len(places)
         if not seen:
             return
         flat = np.concatenate([p[k].ravel() for k in _SHAPES]).astype(np.float64) * seen

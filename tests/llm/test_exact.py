@@ -521,6 +521,19 @@ def test_gradients_against_differences():
         assert math.isclose((up - down) / 2e-2, gradient[at], rel_tol=2e-2), k
 
 
+def test_every_position_trains(llm_spark, monkeypatch):
+    import pyarrow as pa
+    texts = ["one", "two words", " ".join(PROSE), "", " ".join(PROSE * 9)]
+    trained = []
+    monkeypatch.setattr(lm, "train_step", lambda p, squares, line, places: trained.extend(line[places].tolist()))
+    monkeypatch.setattr(lm, "TaskContext", type("Task", (), {"get": staticmethod(
+        lambda: type("Part", (), {"partitionId": lambda self: 0})())}))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    (weight,) = {r.column("weight")[0].as_py() for r in lm._trained(lm.start(np.ones(lm.TOKENS)))([batch])}
+    (_, _, line, places, _), = lm.tokens_of(batch.column("text"))
+    assert weight == len(trained) == len(places) and Counter(trained) == Counter(line[places].tolist())
+
+
 def test_training_beats_unigrams_on_held_out_text(llm_spark):
     docs = llm_spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     train, test = docs.where("doc_id % 10 <> 0"), docs.where("doc_id % 10 = 0")
