@@ -7,7 +7,8 @@ more, or at ``most``. An insertion shifts the ends near it and no others.
 
 A chunk whose digest stands earlier, in the order of document id and place,
 is a repeat. Neighbouring repeats that together have ``span`` bytes or more
-are removed; shorter ones, common phrases, stay.
+are removed, with ``whole`` also those of any length that make up their whole
+document; other short ones, common phrases, stay.
 
 Null and empty texts have no chunks. Documents that share an id are ordered
 by a hash of their texts; identical rows are one document, and each comes out
@@ -112,7 +113,7 @@ def repeated_chunks(docs: DataFrame, least: int = LEAST, most: int = MOST, bits:
 
 
 def remove_repeats(docs: DataFrame, least: int = LEAST, most: int = MOST, bits: int = BITS, span: int = SPAN,
-                   doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+                   doc_id: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, spans, kept (the remaining bytes)."""
     d = spans.keyed(docs, doc_id, text)
-    return spans.cut(d, repeated_chunks(d, least, most, bits), lambda size: size, least=span)
+    return spans.cut(d, repeated_chunks(d, least, most, bits), lambda size: size, least=span, whole=whole)

@@ -113,7 +113,7 @@ def op6_suffix_dedup(spark, sf_dir):
 
 @register("op10_chunk_dedup")
 def op10_chunk_dedup(spark, sf_dir):
-    return _kept_digest(chunks.remove_repeats(read(spark, sf_dir, "documents")))
+    return _kept_digest(chunks.remove_repeats(read(spark, sf_dir, "documents"), whole=True))
 
 
 # ---- 2: n-gram Jaccard join --------------------------------------------------------------

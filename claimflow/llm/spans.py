@@ -107,7 +107,7 @@ def by_document(places: DataFrame) -> DataFrame:
     return places.groupBy("key", tie.alias("tie")).agg(F.collect_list("place").alias("places"))
 
 
-def _cut(lengths: Callable[[np.ndarray], np.ndarray], least: int, join_gap: int):
+def _cut(lengths: Callable[[np.ndarray], np.ndarray], least: int, join_gap: int, whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, bounds = text_bytes(batch.column("text"))
@@ -129,7 +129,7 @@ def _cut(lengths: Callable[[np.ndarray], np.ndarray], least: int, join_gap: int)
                 new = np.ones(len(start), bool)
                 new[1:] = start[1:] > end[:-1] + join_gap
                 s, e = start[new], end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)]
-                long = e - s >= least
+                long = (e - s >= least) | (whole & (e - s == len(text)))
                 s, e = s[long], e[long]
                 mask = np.zeros(len(text) + 1, np.int32)
                 np.add.at(mask, s, 1)
@@ -148,12 +148,12 @@ def _cut(lengths: Callable[[np.ndarray], np.ndarray], least: int, join_gap: int)
 
 
 def cut(docs: DataFrame, repeats: DataFrame, lengths: Callable[[np.ndarray], np.ndarray],
-        least: int = 0) -> DataFrame:
+        least: int = 0, whole: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, spans and ``kept``, the remaining bytes:
     of each keyed document less the unions of its repeats that have ``least``
-    bytes. ``lengths`` gives a span's bytes from its place's extra number."""
+    bytes or, with ``whole``, are all of it. ``lengths`` gives a span's bytes from its place's extra number."""
     kind = dict(docs.dtypes)["doc_id"]
     joined = docs.join(by_document(repeats), ["key", "tie"], "left")
-    return joined.mapInArrow(_cut(lengths, least, 0),
+    return joined.mapInArrow(_cut(lengths, least, 0, whole),
                              f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, "
                              "spans array<struct<start: bigint, end: bigint>>, kept binary")

@@ -123,6 +123,23 @@ def test_chunks_resist_shifts_and_catch_passages(llm_spark):
     assert not any(cut[2 * i] for i in range(40))                # the first, and clean text, stay
 
 
+def test_short_exact_copies_go_whole(llm_spark):
+    phrase = "By be in tothedouou and, oninly."
+    long = " ".join(PROSE)
+    texts = [(1, phrase), (2, phrase), (3, long + " " + phrase), (4, "x"), (5, "x"), (6, phrase + " " + long[::-1])]
+    cut = {r.doc_id: (r.n_removed, bytes(r.kept)) for r in chunks.remove_repeats(
+        llm_spark.createDataFrame(texts, "doc_id bigint, text string"), whole=True).collect()}
+    assert cut[2] == (len(phrase), b"") and cut[5] == (1, b"")
+    assert all(cut[d][0] == 0 for d in (1, 3, 4, 6))   # first ones, and phrases in longer texts, stay
+
+
+def test_the_chunk_query_leaves_no_exact_copy(llm_spark, small):
+    seen, got = set(), {r.doc_id: r for r in queries.QUERIES["op10_chunk_dedup"](llm_spark, SF).collect()}
+    for doc, text in sorted(texts_of(small).items()):
+        assert text not in seen or got[doc].n_removed == got[doc].n_bytes, doc
+        seen.add(text)
+
+
 # ---- 2: near copies --------------------------------------------------------------------
 
 def exact_classes(texts, n=5, threshold=0.8):
