@@ -12,7 +12,7 @@ from functools import wraps
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from . import chunks, dac, decontaminate, jaccard, lm, mixing, pages, quality, suffix, urls
+from . import chunks, dac, decontaminate, divergence, jaccard, lm, mixing, pages, quality, suffix, urls
 from .common import read, ship
 
 QUERIES: dict = {}
@@ -164,6 +164,37 @@ def op1_pseudo_likelihood(spark, sf_dir):
     return lm.score(docs, lm.fit(docs))
 
 
+# ---- 11: source divergence audit ---------------------------------------------------------
+
+_SHARE = "1 + (1000000000::HUGEINT * ({} + 1)) // ({} + v.v)"
+
+
+@register("op11_source_divergence", rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY 1, 2 HAVING count(DISTINCT r) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM k GROUP BY 1),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+n AS (SELECT g.lang, g.source, coalesce(sum(c), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY 1, 2),
+p AS (SELECT n.lang, n.source, k.term, coalesce(c.c, 0) AS c, {_SHARE.format("coalesce(c.c, 0)", "n.n")} AS p,
+    {_SHARE.format("k.total", "v.n")} AS q FROM n JOIN k ON k.lang = n.lang JOIN v ON v.lang = n.lang
+    LEFT JOIN c ON c.lang = n.lang AND c.source = n.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+    UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM (SELECT *,
+    row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM o)
+WHERE part = 'pair' OR rank <= 200""")
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 # ---- the pipeline ------------------------------------------------------------------------
 
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
