@@ -12,7 +12,7 @@ from functools import wraps
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from . import chunks, dac, decontaminate, divergence, jaccard, lm, mixing, pages, quality, suffix, urls
+from . import chunks, dac, decontaminate, divergence, jaccard, lm, mixing, pages, quality, repair, secrets, suffix, urls
 from .common import read, ship
 
 QUERIES: dict = {}
@@ -195,6 +195,116 @@ def op11_source_divergence(spark, sf_dir):
     return divergence.audit(read(spark, sf_dir, "documents"))
 
 
+# ---- 12: secret scans --------------------------------------------------------------------
+
+def _text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+_KIND_ORDER = "list_position([" + ", ".join(f"'{k}'" for k in secrets.KINDS) + "], kind)"
+
+
+def _parts_sql(kind: str, pattern: str) -> str:
+    p = _text(pattern)
+    return (f"SELECT r, '{kind}' AS kind, unnest(range(len(m))) AS i, unnest(m) AS m, unnest(g) AS g, unnest(v) AS v "
+            f"FROM (SELECT r, regexp_extract_all(text, {p}) AS m, regexp_split_to_array(text, {p})[:-2] AS g, "
+            f"regexp_extract_all(text, {p}, {2 if kind == 'assign' else 0}) AS v FROM d)")
+
+
+def _near_sql(kinds: str) -> str:
+    return (f"EXISTS (SELECT 1 FROM f o WHERE o.r = f.r AND o.scope = f.scope AND o.kind IN ({kinds}) AND "
+            f"(o.a <> f.a OR o.kind <> f.kind) AND greatest(o.a - f.b, f.a - o.b) <= {secrets.REACH})")
+
+
+@register("op12_credential_links", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({' UNION ALL '.join(_parts_sql(k, p) for k, p in [*secrets.KINDS.items(), ('blank', secrets.BLANK_LINE)])}),
+s AS (SELECT *, CAST(sum(length(g) + length(m)) OVER (PARTITION BY r, kind ORDER BY i) AS BIGINT) AS b FROM m),
+p AS (SELECT r, kind, b - length(m) AS a, b FROM s WHERE CASE kind WHEN 'assign' THEN length(v) >= 6
+    WHEN 'access' THEN length(m) >= 20 WHEN 'value' THEN regexp_matches(m, {_text(secrets.KEYED)})
+        OR regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') ELSE true END),
+f AS (SELECT r, kind, a, b, (SELECT count(*) FROM p x WHERE x.r = p.r AND x.kind = 'blank' AND x.a < p.a) AS scope
+    FROM p WHERE kind <> 'blank' AND NOT EXISTS (SELECT 1 FROM p o WHERE o.r = p.r AND o.a < p.b AND p.a < o.b
+        AND (p.kind IN ('ident', 'endpoint', 'value') AND o.kind IN ('assign', 'access', 'hex')
+            OR p.kind IN ('endpoint', 'value') AND o.kind = 'ident' OR p.kind = 'value' AND o.kind = 'endpoint'))),
+n AS (SELECT r, kind, a, b, {_near_sql("'assign', 'hex', 'value'")} AS secret, {_near_sql("'access', 'ident'")} AS id,
+    {_near_sql("'endpoint'")} AS endpoint FROM f),
+k AS (SELECT r, kind, kind || ':' || a || ':' || b AS span, a, {_KIND_ORDER} AS o, kind IN ('assign', 'access', 'hex') AS base
+    FROM n WHERE CASE kind WHEN 'ident' THEN secret WHEN 'value' THEN id OR endpoint WHEN 'endpoint' THEN secret AND id
+        ELSE true END)
+SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+    count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+    sha256(coalesce(string_agg(span, ',' ORDER BY a, o) FILTER (WHERE base), '')) AS base_sha256,
+    coalesce(string_agg(span, ',' ORDER BY a, o), '') AS spans, count(*) FILTER (WHERE NOT base) AS n_weak
+FROM d LEFT JOIN k USING (r) GROUP BY r, doc_id""")
+def op12_credential_links(spark, sf_dir):
+    return secrets.scan(read(spark, sf_dir, "documents"))
+
+
+# ---- 13: conversation structure repair ---------------------------------------------------
+
+_TABLE = ("(SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: "
+          "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)))")
+_SPACE = r"\x09-\x0D\x20"
+
+
+@register("op13_conversation_repair", rf"""
+WITH RECURSIVE z AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+crc_table AS (SELECT {_TABLE} AS t),
+f AS (SELECT z.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS fault FROM z, crc_table),
+d AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM f),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role,
+        sha256(length(role) || ':' || role || text)) AS i FROM d),
+m AS (SELECT *, substr(role, 1, 1) AS ini, NOT regexp_matches(text, '[^{_SPACE}]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][{_SPACE}]*$') AS cut,
+    lead(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS follows FROM o),
+h AS (SELECT *, CASE WHEN blank THEN 'blank' WHEN again THEN 'duplicate' WHEN cut THEN 'truncated' ELSE '' END AS fault
+    FROM m),
+st AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE follows IS NOT NULL AND ini || follows NOT IN ('su', 'ua', 'au')) AS illegal,
+    max(i) AS n FROM h GROUP BY conv_id),
+moves(a, b, role) AS (VALUES (0, 2, 'u'), (1, 2, 'u'), (3, 2, 'u'), (2, 3, 'a')),
+e AS (SELECT conv_id, i, q AS a, q AS b, 'D' AS letter, 3 AS c FROM h, (VALUES (0), (1), (2), (3)) s(q)
+    UNION ALL SELECT conv_id, i, a, b, 'R', 2 + CAST(fault = 'truncated' AS INTEGER) FROM h, moves
+        WHERE fault NOT IN ('blank', 'duplicate')
+    UNION ALL SELECT conv_id, i, a, b, 'K', CAST(fault = 'truncated' AS INTEGER) FROM h JOIN moves ON ini = moves.role
+        WHERE fault NOT IN ('blank', 'duplicate')
+    UNION ALL SELECT conv_id, i, 0, 1, 'K', CAST(fault = 'truncated' AS INTEGER) FROM h
+        WHERE ini = 's' AND fault NOT IN ('blank', 'duplicate')),
+ins(a, b, letters, c) AS (VALUES (0, 0, '', 0), (1, 1, '', 0), (2, 2, '', 0), (3, 3, '', 0), (0, 2, 'I', 2), (1, 2, 'I', 2),
+    (3, 2, 'I', 2), (2, 3, 'I', 2), (0, 3, 'II', 4), (1, 3, 'II', 4), (2, 2, 'II', 4), (3, 3, 'II', 4)),
+x AS (SELECT e.conv_id, e.i, ins.a, e.b, ins.letters || e.letter AS letters, ins.c + e.c AS c FROM e JOIN ins ON ins.b = e.a),
+w AS (SELECT conv_id, n + 1 AS i, q, CAST(c AS BIGINT) AS cost, audit FROM st,
+        (VALUES (0, 0, ''), (1, 4, 'II'), (2, 2, 'I'), (3, 0, '')) t(q, c, audit)
+    UNION ALL SELECT conv_id, i, q, v.cost, v.audit FROM (SELECT x.conv_id, x.i, x.a AS q,
+        min(struct_pack(cost := CAST(x.c + w.cost AS BIGINT), audit := x.letters || w.audit)) AS v
+        FROM w JOIN x ON x.conv_id IS NOT DISTINCT FROM w.conv_id AND x.i = w.i - 1 AND x.b = w.q GROUP BY 1, 2, 3)),
+best AS (SELECT conv_id, cost, audit FROM w WHERE i = 1 AND q = 0),
+l AS (SELECT conv_id, audit, k, audit[k] AS letter,
+    len(replace(audit[1:k], 'I', '')) AS i, len(replace(audit[1:k], 'D', '')) AS p
+    FROM (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS k FROM best)),
+r AS (SELECT l.*, h.role, h.text, max(CASE WHEN p = 1 AND letter = 'K' AND ini = 's' THEN 1 ELSE 0 END)
+        OVER (PARTITION BY l.conv_id) AS s FROM l LEFT JOIN h ON h.conv_id IS NOT DISTINCT FROM l.conv_id
+        AND h.i = l.i AND l.letter <> 'I' WHERE l.letter <> 'D'),
+y AS (SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (p - s) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS repaired FROM r GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+    coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN st ON st.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN y ON y.conv_id IS NOT DISTINCT FROM c.conv_id""")
+def op13_conversation_repair(spark, sf_dir):
+    return repair.repair_damaged(read(spark, sf_dir, "conversations"))
+
+
 # ---- the pipeline ------------------------------------------------------------------------
 
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
