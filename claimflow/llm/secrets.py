@@ -69,20 +69,29 @@ SECRET, IDENTIFIER = ("assign", "hex", "value"), ("access", "ident")
 
 
 def _matches(text: Column, kind: str, pattern: str) -> Column:
-    """(kind, at, gap, len, ok) of each match, ``gap`` being the length of the text before it from the last one."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if kind == "assign" else None
+    """(kind, at, gap, len, ok) of each match, ``gap`` being the length of the text before it from the last one.
 
-    def one(m: Column, i: Column) -> Column:
-        ok = {"assign": lambda: F.char_length(F.get(values, i)) >= LEAST_VALUE,
-              "access": lambda: F.char_length(m) >= LEAST_ACCESS,
+    The arrays are zipped, as an array named inside a lambda is built anew for each element.
+    """
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    if kind == "assign":
+        values = F.regexp_extract_all(text, F.lit(pattern), F.lit(2))
+        found = F.zip_with(found, values, lambda m, v: F.struct(m.alias("m"), v.alias("v")))
+    else:
+        found = F.transform(found, lambda m: F.struct(m.alias("m"), m.alias("v")))
+    # one piece more than matches: what stands after the last
+    paired = F.filter(F.zip_with(found, F.split(text, pattern, -1), lambda f, g: F.struct(f.alias("f"), g.alias("g"))),
+                      lambda x: x["f"].isNotNull())
+
+    def one(x: Column, i: Column) -> Column:
+        m, v = x["f"]["m"], x["f"]["v"]
+        ok = {"assign": lambda: F.char_length(v) >= LEAST_VALUE, "access": lambda: F.char_length(m) >= LEAST_ACCESS,
               "value": lambda: m.rlike(KEYED) | (m.rlike(DIGIT) & m.rlike(LETTER))}.get(kind, lambda: F.lit(True))()
-        return F.struct(F.lit(kind).alias("kind"), i.alias("at"), F.char_length(F.get(between, i)).alias("gap"),
+        return F.struct(F.lit(kind).alias("kind"), i.alias("at"), F.char_length(x["g"]).alias("gap"),
                         F.char_length(m).alias("len"), ok.alias("ok"))
 
     none = F.array().cast("array<struct<kind:string,at:int,gap:int,len:int,ok:boolean>>")
-    return F.when(F.regexp_like(text, F.lit(pattern)), F.transform(found, one)).otherwise(none)
+    return F.when(F.regexp_like(text, F.lit(pattern)), F.transform(paired, one)).otherwise(none)
 
 
 def _parts(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -99,6 +108,13 @@ def _parts(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
         "doc_id", "digest", "n_rows", "part.*")
 
 
+def _sides(*key: str):
+    """Windows over the parts before and after a part, both as growing frames, which are linear
+    (a frame that ends at the last row is gone through anew for each row)."""
+    return tuple(Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+                 for order in (("start", "rank"), (F.desc("start"), F.desc("rank"))))
+
+
 def spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", reach: int = REACH) -> DataFrame:
     """(doc_id, digest, n_rows, kind, start, end, base): every reported span, and a row with a null kind
     for a text without a candidate. Places are code points, ends exclusive."""
@@ -110,7 +126,7 @@ def spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", reach: in
     level = F.when(F.col("kind").isin(*BASE), 0).otherwise(rank - len(BASE))
 
     by = Window.partitionBy(*key).orderBy("start", "rank")
-    before, after = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(1, Window.unboundedFollowing)
+    before, after = _sides(*key)
     ranked = placed.withColumns({"rank": rank, "level": level})
     covered = F.lit(False)
     for k, kind in enumerate(WEAK):      # by what stands before its own kind
@@ -121,8 +137,7 @@ def spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", reach: in
     free = ranked.select("*", F.sum((F.col("kind") == "blank").cast("int")).over(by).alias("scope"),
                          covered.alias("covered")).where(F.col("kind").isNull() | ~F.col("covered"))
 
-    inside = Window.partitionBy(*key, "scope").orderBy("start", "rank")
-    before, after = inside.rowsBetween(Window.unboundedPreceding, -1), inside.rowsBetween(1, Window.unboundedFollowing)
+    before, after = _sides(*key, "scope")
 
     def near(kinds: tuple) -> Column:
         own = F.col("kind").isin(*kinds)
