@@ -26,14 +26,25 @@ DRAW_DIGITS, DRAWS = 13, float(2 ** 52)
 
 
 class SparkGen:
-    """Builds Spark Columns."""
+    """Builds Spark Columns in stages: the draws, then what is picked by them and used again
+    (``keep``), then the table's columns. A later stage names the earlier one's columns several
+    times, which keeps Catalyst from folding the stages into one, so a draw is a hash once a row."""
 
     def __init__(self, id_col: str, seed: int):
         self.id, self.seed = F.col(id_col), seed
+        self.stages: list[dict[str, Column]] = [{}]
 
     def u(self, salt: str) -> Column:
         h = F.md5(F.concat(self.id.cast("string"), F.lit(f":{self.seed}:{salt}")))
-        return F.conv(F.substring(h, 1, DRAW_DIGITS), 16, 10).cast("long") / F.lit(DRAWS)
+        return self._put(0, f"u_{salt}", F.conv(F.substring(h, 1, DRAW_DIGITS), 16, 10).cast("long") / F.lit(DRAWS))
+
+    def keep(self, name: str, expr: Column, stage: int = 1) -> Column:
+        return self._put(stage, f"p_{name}", expr)
+
+    def _put(self, stage: int, name: str, expr: Column) -> Column:
+        self.stages += [{} for _ in range(stage + 1 - len(self.stages))]
+        self.stages[stage][name] = expr
+        return F.col(name)
 
     def lit(self, v):
         return F.lit(v)
@@ -121,6 +132,9 @@ class SqlGen:
         h = f"md5(CAST({self.id} AS VARCHAR) || ':{self.seed}:{salt}')"
         return f"(CAST('0x' || substr({h}, 1, {DRAW_DIGITS}) AS BIGINT) / CAST({DRAWS!r} AS DOUBLE))"
 
+    def keep(self, name: str, expr: str, stage: int = 1) -> str:
+        return expr
+
     def lit(self, v):
         return _sql_lit(v)
 
@@ -222,7 +236,7 @@ def _txt(g, s: str):
 
 def policy_columns(g, n_customers: int) -> list[tuple[str, object]]:
     u = g.u
-    coverage = g.weighted(u("coverage"), S.COVERAGE_AMOUNTS, S.COVERAGE_WEIGHTS)
+    coverage = g.keep("coverage", g.weighted(u("coverage"), S.COVERAGE_AMOUNTS, S.COVERAGE_WEIGHTS))
     premium = g.round2(g.add(g.mul(coverage, g.uniform(u("premium_rate"), *S.RANGES["premium_rate"])),
                              g.uniform(u("premium_shift"), *S.RANGES["premium_shift"])))
     return [
@@ -293,11 +307,11 @@ CLAIM_LAG_DAYS, REPORT_LAG_DAYS = 60, 30
 
 def claim_columns(g, n_policies: int, n_customers: int) -> list[tuple[str, object]]:
     u = g.u
-    ctype = g.weighted(u("claim_type"), S.CLAIM_TYPES, S.CLAIM_TYPE_WEIGHTS)
-    status = g.weighted(u("claim_status"), S.CLAIM_STATUSES, S.CLAIM_STATUS_WEIGHTS)
-    severity = g.weighted(u("severity"), S.SEVERITY_LEVELS, S.SEVERITY_WEIGHTS)
-    band = g.weighted(u("amount_band"), list(range(len(S.CLAIM_AMOUNT_RANGES))),
-                      S.CLAIM_AMOUNT_WEIGHTS)
+    ctype = g.keep("claim_type", g.weighted(u("claim_type"), S.CLAIM_TYPES, S.CLAIM_TYPE_WEIGHTS))
+    status = g.keep("claim_status", g.weighted(u("claim_status"), S.CLAIM_STATUSES, S.CLAIM_STATUS_WEIGHTS))
+    severity = g.keep("severity", g.weighted(u("severity"), S.SEVERITY_LEVELS, S.SEVERITY_WEIGHTS))
+    band = g.keep("amount_band", g.weighted(u("amount_band"), list(range(len(S.CLAIM_AMOUNT_RANGES))),
+                                            S.CLAIM_AMOUNT_WEIGHTS))
     ua = u("amount")
     base = g.when([(g.eq(band, i), g.uniform(ua, lo, hi))
                    for i, (lo, hi) in enumerate(S.CLAIM_AMOUNT_RANGES[:-1])],
@@ -305,16 +319,16 @@ def claim_columns(g, n_policies: int, n_customers: int) -> list[tuple[str, objec
     factor = g.when([(g.eq(severity, g.lit(k)), g.lit(float(v)))
                      for k, v in list(S.SEVERITY_AMOUNT_FACTOR.items())[:-1]],
                     g.lit(float(list(S.SEVERITY_AMOUNT_FACTOR.values())[-1])))
-    amount = g.round2(g.mul(base, factor))
+    amount = g.keep("amount", g.round2(g.mul(base, factor)), stage=2)
     settlement = g.when([(g.isin(status, ["Approved", "Closed"]),
                           g.round2(g.mul(amount, g.uniform(u("settle"), *S.RANGES["settle"]))))],
                         g.lit(0.0))
-    pick = g.int_(u("comment"), *S.RANGES["comment"])
+    pick = g.keep("comment", g.int_(u("comment"), *S.RANGES["comment"]))
     comment = g.when([(g.eq(ctype, g.lit(t)), g.choice_at(S.CLAIM_COMMENTS[t], pick))
                       for t in S.CLAIM_TYPES[:-1]],
                      g.choice_at(S.CLAIM_COMMENTS[S.CLAIM_TYPES[-1]], pick))
-    incident = g.date(u("incident"), *S.RANGES["incident"])
-    claim_d = g.date_plus(incident, g.int_(u("claim_lag"), 0, CLAIM_LAG_DAYS))
+    incident = g.keep("incident", g.date(u("incident"), *S.RANGES["incident"]))
+    claim_d = g.keep("claim_date", g.date_plus(incident, g.int_(u("claim_lag"), 0, CLAIM_LAG_DAYS)), stage=2)
     report_d = g.date_plus(claim_d, g.int_(u("report_lag"), 0, REPORT_LAG_DAYS))
     police = g.when([(g.lt(u("police"), g.lit(0.3)),
                       g.concat(_txt(g, "PR"), g.int_(u("police_no"), *S.RANGES["police_no"])))],
@@ -360,27 +374,29 @@ def _ids(spark: SparkSession, ids, id_col: str) -> DataFrame:
     return ids
 
 
-def _build(ids: DataFrame, id_col: str, cols) -> DataFrame:
-    return ids.select(*[c.alias(n) for n, c in cols])
+def _build(ids: DataFrame, id_col: str, seed: int, columns) -> DataFrame:
+    g = SparkGen(id_col, seed)
+    cols = columns(g)
+    df = ids.select(id_col)
+    for stage in g.stages:
+        df = df.select("*", *[c.alias(n) for n, c in stage.items()])
+    return df.select(*[c.alias(n) for n, c in cols])
 
 
 def generate_policies(spark: SparkSession, ids=10000, n_customers: int = 8000,
                       seed: int = 42, id_col: str = "id") -> DataFrame:
     """Policies over ``ids`` (a count, or a DataFrame with column ``id_col``)."""
-    df = _ids(spark, ids, id_col)
-    return _build(df, id_col, policy_columns(SparkGen(id_col, seed), n_customers))
+    return _build(_ids(spark, ids, id_col), id_col, seed, lambda g: policy_columns(g, n_customers))
 
 
 def generate_customers(spark: SparkSession, ids=8000, seed: int = 42,
                        id_col: str = "id") -> DataFrame:
-    df = _ids(spark, ids, id_col)
-    return _build(df, id_col, customer_columns(SparkGen(id_col, seed)))
+    return _build(_ids(spark, ids, id_col), id_col, seed, customer_columns)
 
 
 def generate_claims(spark: SparkSession, ids=5000, n_policies: int = 10000,
                     n_customers: int = 8000, seed: int = 42, id_col: str = "id") -> DataFrame:
-    df = _ids(spark, ids, id_col)
-    return _build(df, id_col, claim_columns(SparkGen(id_col, seed), n_policies, n_customers))
+    return _build(_ids(spark, ids, id_col), id_col, seed, lambda g: claim_columns(g, n_policies, n_customers))
 
 
 def generated_sql(table: str, source: str, id_expr: str, seed: int = 42, **n) -> str:
