@@ -227,49 +227,91 @@ def score_all(base: DataFrame) -> DataFrame:
 
 # ---- record form -----------------------------------------------------------------
 
-def _field(df: DataFrame, name: str, default, kind: str) -> Column:
-    """Record field with its default when absent, NULL or NaN."""
+#: Types of the record fields.
+RECORD_KINDS = {"claim_amount": "double", "severity_level": "string", "claim_status": "string",
+                "lifetime_claims_count": "int", "witness_count": "int", "photos_taken": "int",
+                "days_to_report": "int", "premium_coverage_ratio": "double", "state": "string"}
+FRAUD_FIELDS = ("fraud_score", "fraud_risk_score")          # the first one present counts
+#: Fields that each scorer reads: one that doesn't parse fails this scorer's outputs only.
+SCORER_FIELDS = {
+    "triage": ("claim_amount", "severity_level", "claim_status"),
+    "fraud": ("lifetime_claims_count", "claim_amount", "witness_count", "photos_taken", "days_to_report",
+              "premium_coverage_ratio", "state"),
+    "settlement": ("claim_amount", "severity_level", *FRAUD_FIELDS),
+    "routing": ("claim_amount", "severity_level"),
+}
+
+
+def _parsed(df: DataFrame, name: str, kind: str) -> Column:
+    """A field as its type, NULL where it is absent, NULL, NaN or does not parse."""
+    if name not in df.columns:
+        return F.lit(None).cast(kind)
+    c = F.col(name).try_cast(kind)
+    return F.when(~F.isnan(c), c) if kind == "double" else c
+
+
+def _unparsed(df: DataFrame, name: str, kind: str) -> Column:
+    """Whether a field holds something that is not of its type."""
     if name not in df.columns:
-        return F.lit(default).cast(kind)
-    c = F.col(name).cast(kind)
-    if kind == "double":
-        c = F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
-    return F.coalesce(c, F.lit(default).cast(kind))
-
-
-def record_inputs(df: DataFrame) -> DataFrame:
-    """Normalise a records table: every scorer input present, defaults applied."""
-    kinds = {"claim_amount": "double", "severity_level": "string", "claim_status": "string",
-             "lifetime_claims_count": "int", "witness_count": "int", "photos_taken": "int",
-             "days_to_report": "int", "premium_coverage_ratio": "double", "state": "string"}
-    cols = {n: _field(df, n, RECORD_DEFAULTS[n], k) for n, k in kinds.items()}
-    fs = _field(df, "fraud_score", None, "double") if "fraud_score" in df.columns else None
-    frs = (_field(df, "fraud_risk_score", None, "double")
-           if "fraud_risk_score" in df.columns else None)
-    fallback = [c for c in (fs, frs) if c is not None] + [F.lit(0.0)]
-    cols["__fraud_in"] = F.coalesce(*fallback)
-    return df.select([F.col(c) for c in df.columns if c not in cols]
-                     + [c.alias(n) for n, c in cols.items()])
-
-
-def score_records(df: DataFrame, scorer: str) -> DataFrame:
+        return F.lit(False)
+    return F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
+
+
+def _kinds() -> dict[str, str]:
+    return RECORD_KINDS | {f: "double" for f in FRAUD_FIELDS}
+
+
+def record_inputs(df: DataFrame, errors: str | None = None) -> DataFrame:
+    """Normalise a records table: every scorer input present, defaults applied.
+
+    A field that does not parse as its type ends the job, unless ``errors`` names a
+    column to hold the names of such fields (sorted, empty where all is well).
+    """
+    default = lambda n, k: F.coalesce(_parsed(df, n, k), F.lit(RECORD_DEFAULTS[n]).cast(k))
+    bad = {n: _unparsed(df, n, k) for n, k in sorted(_kinds().items())}
+    cols = {n: default(n, k) for n, k in RECORD_KINDS.items()}
+    cols["__fraud_in"] = F.coalesce(*(_parsed(df, f, "double") for f in FRAUD_FIELDS), F.lit(0.0))
+    if errors is None:
+        for n in (n for n in cols if n in df.columns):
+            cols[n] = F.when(bad[n], F.raise_error(F.concat(
+                F.lit(f"{n} does not parse: "), F.col(n).cast("string"))).cast(RECORD_KINDS[n])).otherwise(cols[n])
+        for f in FRAUD_FIELDS:
+            cols["__fraud_in"] = F.when(bad[f], F.raise_error(F.lit(f"{f} does not parse")).cast("double")
+                                        ).otherwise(cols["__fraud_in"])
+    else:
+        cols[errors] = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in bad.items()])).cast("array<string>")
+    return df.select([F.col(c) for c in df.columns if c not in cols] + [c.alias(n) for n, c in cols.items()])
+
+
+def _record_outputs(scorer: str, errors: str | None) -> dict[str, Column]:
+    """A scorer's outputs; NULL where one of its fields did not parse."""
+    out = SCORERS[scorer]("record")
+    if errors is None:
+        return out
+    wrong = F.arrays_overlap(F.col(errors), F.array(*map(F.lit, SCORER_FIELDS[scorer])))
+    return {n: F.when(~wrong, c) for n, c in out.items()}
+
+
+def score_records(df: DataFrame, scorer: str, errors: str | None = None) -> DataFrame:
     """Score a table of records with one scorer (record form).
 
     Returns the records with every scorer input present (defaults filled in)
     followed by the scorer's outputs. An unknown scorer name raises
-    ``ValueError``.
+    ``ValueError``. With ``errors`` the names of fields that do not parse stand in
+    a column of that name; a record with one of the scorer's own among them has NULL
+    outputs, and all others are scored. Without it such a record ends the job.
     """
     if scorer not in SCORERS:
         raise ValueError(f"Unknown agent: {scorer}")
-    return record_inputs(df).withColumns(SCORERS[scorer]("record")).drop("__fraud_in")
+    return record_inputs(df, errors).withColumns(_record_outputs(scorer, errors)).drop("__fraud_in")
 
 
-def score_records_all(df: DataFrame) -> DataFrame:
+def score_records_all(df: DataFrame, errors: str | None = None) -> DataFrame:
     """All four record-form outputs in one projection."""
     out: dict[str, Column] = {}
     for name in ("triage", "fraud", "settlement", "routing"):
-        out.update(SCORERS[name]("record"))
-    return record_inputs(df).withColumns(out).drop("__fraud_in")
+        out.update(_record_outputs(name, errors))
+    return record_inputs(df, errors).withColumns(out).drop("__fraud_in")
 
 
 def band_counts(scored: DataFrame) -> DataFrame:
