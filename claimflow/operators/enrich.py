@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import days_between, ratio_or_zero
+from .star import DIM_CUSTOMER_ORDER, DIM_POLICY_ORDER, dedupe
 
 AUDIT = ("ingestion_timestamp", "data_source")
 
@@ -38,13 +39,19 @@ def enrich_columns(df: DataFrame) -> DataFrame:
     })
 
 
-def enriched_claims(claims: DataFrame, policies: DataFrame, customers: DataFrame) -> DataFrame:
+def enriched_claims(claims: DataFrame, policies: DataFrame, customers: DataFrame,
+                    once: bool = False) -> DataFrame:
     """claims ⟕ policies on policy_id ⟕ customers on the claim's customer_id.
 
-    Each side is projected before the join; a policy or customer column whose
+    A claim comes as often as its policy and customer stand in their tables; with
+    ``once`` each side is first reduced to the newest row of each key, as in the
+    star schema, so the result has a row for each claim. Each side is projected before the join; a policy or customer column whose
     name is already used elsewhere gets a ``policy_`` / ``customer_`` prefix
     (the claim keeps its own ``customer_id``, ``last_updated`` ...).
     """
+    if once:
+        policies = dedupe(policies, ["policy_id"], DIM_POLICY_ORDER)
+        customers = dedupe(customers, ["customer_id"], DIM_CUSTOMER_ORDER)
     claim_cols = set(claims.columns)
     pol = _prefixed(policies, "policy_id", "policy_",
                     claim_cols | set(customers.columns))

@@ -213,6 +213,21 @@ def failed_records(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.filter(~all_pass(rs)).withColumn("failed_rules", names)
 
 
+#: Columns that :func:`split_by_rules` adds.
+STATE, FAILED_RULES = "row_state", "failed_rules"
+KEPT, FAILED = "kept", "failed"
+
+
+def split_by_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Every row with its ``row_state`` (kept or failed) and the names of the drop rules it failed
+    (NULL where kept): written partitioned by the state, one pass keeps both apart."""
+    rs = drop_rules(rules)
+    names = F.array_compact(F.array(*[F.when(~r.passed(), F.lit(r.name)) for r in rs])) if rs else F.array()
+    good = all_pass(rs)
+    return df.withColumns({FAILED_RULES: F.when(~good, names.cast("array<string>")),
+                           STATE: F.when(good, KEPT).otherwise(FAILED)})
+
+
 def rule_form_counts(rules: list[Rule]) -> str:
     """'10 expect_all_or_drop, 1 expect_or_drop[, 1 expect]' from a rule set."""
     out = []
@@ -228,23 +243,17 @@ def observe_rules(df: DataFrame, rules: list[Rule], name: str):
 
     The counts are computed by the job that consumes ``df`` (typically the
     write of the cleaned table), so they cost no extra scan. Returns
-    ``(observed_df, observation)``; after the action ``observation.get``
-    holds ``{"__rows": rows in, rule name: rows passing that rule, ...}``.
+    ``(observed_df, observation)``; after the action ``observation.get`` holds
+    ``{"__rows": rows in, "__kept": rows that pass every drop rule, rule name: rows
+    passing that rule, ...}``.
     """
     from pyspark.sql import Observation
     obs = Observation(f"rules_{name}")
-    aggs = [F.count(F.lit(1)).alias("__rows")]
+    aggs = [F.count(F.lit(1)).alias("__rows"), F.count_if(all_pass(rules)).alias("__kept")]
     aggs += [F.count_if(r.passed()).alias(r.name) for r in rules]
     return df.observe(obs, *aggs), obs
 
 
-def observe_count(df: DataFrame, name: str):
-    """``(df, observation)`` counting the rows of ``df`` as ``__kept`` during its action."""
-    from pyspark.sql import Observation
-    obs = Observation(f"kept_{name}")
-    return df.observe(obs, F.count(F.lit(1)).alias("__kept")), obs
-
-
 def observed_metrics(values: dict, rules: list[Rule], dataset: str) -> list[tuple]:
     """(dataset, rule, action, passed, failed) rows from an observation's values."""
     n = values["__rows"]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from ..functions import round_half_up
-from ..operators import enrich, expectations as E, scoring, star, summaries
+from ..operators import enrich, expectations as E, scoring, star, summaries, table_checks
 from ..schemas import PARTITION_COLUMNS
 from ..session import scratch_path
 from ..sources import generate, io
@@ -380,6 +380,56 @@ def sparse_records(spark, sf_dir):
                          "fraud_risk_band", "reserve_amount", "suggested_settlement", "channel", "recommended_action")
 
 
+# Records as text, as a service gets them, some of which do not parse: those are named, the others scored.
+# The defaults, ranges and thresholds stand in the SQL as plain numbers and words.
+
+_TEXT_FIELDS = {
+    "claim_amount": ("photos_taken % 5 = 1", "n/a"), "lifetime_claims_count": ("photos_taken % 7 = 2", "two"),
+    "photos_taken": ("photos_taken = 3", "99999999999"), "days_to_report": ("photos_taken % 6 = 4", ""),
+    "premium_coverage_ratio": ("photos_taken % 9 = 5", "1,5"), "fraud_score": ("photos_taken % 8 = 6", "high"),
+    "witness_count": ("photos_taken % 10 = 7", " 2 "),
+}
+_TEXT_SQL = ", ".join(f"CASE WHEN {cond} THEN '{text}' ELSE CAST({c} AS VARCHAR) END AS {c}"
+                      for c, (cond, text) in _TEXT_FIELDS.items())
+
+
+def _bad_sql() -> str:
+    kinds = {"claim_amount": "DOUBLE", "days_to_report": "INTEGER", "fraud_score": "DOUBLE",
+             "lifetime_claims_count": "INTEGER", "photos_taken": "INTEGER", "premium_coverage_ratio": "DOUBLE",
+             "witness_count": "INTEGER"}
+    # DuckDB reads an empty text as no number too, and trims spaces
+    wrong = {c: f"({c} IS NOT NULL AND try_cast({c} AS {k}) IS NULL)" for c, k in kinds.items()}
+    names = ", ".join(f"CASE WHEN {w} THEN '{c}' END" for c, w in wrong.items())
+    inner = ", ".join(f"coalesce(try_cast({c} AS {k}), 0) AS {c}" for c, k in kinds.items())
+    any_of = lambda *cs: " OR ".join(f"bad LIKE '%{c}%'" for c in cs)
+    unless = lambda cs, x: f"CASE WHEN {any_of(*cs)} THEN NULL ELSE {x} END"
+    triage, settle = ("claim_amount",), ("claim_amount", "fraud_score")
+    fraud = ("lifetime_claims_count", "claim_amount", "witness_count", "photos_taken", "days_to_report",
+             "premium_coverage_ratio")
+    points = O.fraud_score_sql("days_to_report")
+    return f"""SELECT claim_id, bad AS errors, {unless(triage, O.cents(O.PRIORITY_SCORE))} AS priority_score,
+  {unless(triage, O.band_priority('(' + O.PRIORITY_SCORE + ')'))} AS priority_band,
+  {unless(fraud, points)} AS fraud_risk_score, {unless(fraud, O.band_fraud('(' + points + ')'))} AS fraud_risk_band,
+  {unless(settle, O.cents(O.reserve_sql('fraud_score')))} AS reserve_amount,
+  {unless(settle, O.cents(O.cents(O.reserve_sql('fraud_score')) + ' * 0.85::DOUBLE'))} AS suggested_settlement,
+  {unless(triage, O.CHANNEL)} AS channel, {unless(triage, O.ACTION)} AS recommended_action
+FROM (SELECT claim_id, coalesce(severity_level, 'Low') AS severity_level, coalesce(claim_status, 'Open') AS claim_status,
+    coalesce(state, '') AS state, concat_ws(',', {names}) AS bad, {inner}
+  FROM (SELECT claim_id, severity_level, claim_status, state, {_TEXT_SQL} FROM scoring_records))"""
+
+
+@register("bad_records", O.query(_bad_sql(), "scoring_records"))
+def bad_records(spark, sf_dir):
+    """Text records, some of which do not parse, scored by all four scorers with their errors named."""
+    records = scoring_records(spark, sf_dir)
+    texts = records.select("claim_id", "severity_level", "claim_status", "state", *(
+        F.when(F.expr(cond), text).otherwise(F.col(c).cast("string")).alias(c) for c, (cond, text) in _TEXT_FIELDS.items()))
+    scored = scoring.score_records_all(texts, errors="errors")
+    return scored.select("claim_id", F.concat_ws(",", "errors").alias("errors"), "priority_score", "priority_band",
+                         "fraud_risk_score", "fraud_risk_band", "reserve_amount", "suggested_settlement", "channel",
+                         "recommended_action")
+
+
 @register("bands_summary", O.query(
     """SELECT scorer, band, count(*) AS claims FROM (
   SELECT 'triage' AS scorer, priority_band AS band FROM scores
@@ -465,7 +515,7 @@ def roundtrip_table(spark, sf_dir):
     io.write_table(_ctx(spark, sf_dir).read("dim_policy"), name, path=path)
     try:
         # the name leaves the catalog; the files stay for whoever reads the result
-        return spark.read.schema(io.read_table(spark, name).schema).parquet(path)
+        return spark.read.schema(io.read_table(spark, name).schema).parquet(io.table_location(spark, name))
     finally:
         spark.sql(f"DROP TABLE {name}")
 
@@ -497,7 +547,9 @@ _COUNTED_CTE = {t: "valid_" + t for t in ("policies", "customers", "claims")} |
     "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {_COUNTED_CTE.get(t, t)}"
                          for t in _COUNTED), *dict.fromkeys(_COUNTED_CTE.get(t, t) for t in _COUNTED)))
 def row_counts_q(spark, sf_dir):
+    """The model's tables written, then counted: the plan of the counts reads no column and joins nothing."""
     ctx = _ctx(spark, sf_dir)
+    ctx.run(scratch_path(spark, "row-counts"), targets=list(_COUNTED))
     return io.row_counts({t: ctx.read(t) for t in _COUNTED})
 
 
@@ -533,11 +585,170 @@ def model_tables(spark, sf_dir):
         spark.sql(f"DROP SCHEMA {schema} CASCADE")
 
 
+# ---- what a run leaves: failed rows, rule counts, counts of tables ------------------------------
+
+_CHECKED = {"policies": ("policy_id", "clean_policies"), "customers": ("customer_id", "clean_customers"),
+            "claims": ("claim_id", "clean_claims"), "dim_customer": ("customer_id", "dimc_dedup"),
+            "dim_policy": ("policy_id", "dimp_dedup"), "fact_claim": ("claim_id", "fact_pre")}
+
+
+def _quarantine_sql() -> str:
+    parts = []
+    for t, (key, src) in _CHECKED.items():
+        cond, names = O.failed_rules_sql(E.RULES[t])
+        parts.append(f"SELECT '{t}' AS dataset, {key} AS record_id, {names} AS failed_rules FROM {src} WHERE {cond}")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("quarantine", O.query(_quarantine_sql(), *(src for _, src in _CHECKED.values())))
+def quarantine(spark, sf_dir):
+    """The rows that the drop rules of a run failed, as its writes kept them apart."""
+    ctx = _ctx(spark, sf_dir)
+    ctx.run(scratch_path(spark, "quarantine"), targets=list(_CHECKED))
+    return summaries.union_all(*[
+        _failed_string(ctx.failed(t)).select(F.lit(t).alias("dataset"), F.col(key).alias("record_id"), "failed_rules")
+        for t, (key, _) in _CHECKED.items()])
+
+
+def _passed_failed(dataset: str, rule: str, failed: str, src: str) -> str:
+    return (f"SELECT '{dataset}' AS dataset, '{rule}' AS rule, 'warn' AS action, count(*) - {failed} AS passed, "
+            f"{failed} AS failed FROM {src}")
+
+
+def _unique_sql(dataset: str, key: str, src: str) -> str:
+    return _passed_failed(dataset, f"unique_{key}", f"(count(*) - (SELECT count(*) FROM (SELECT DISTINCT {key} FROM {src})))",
+                          src)
+
+
+def _reference_sql(dataset: str, rule: str, key: str, src: str, parent: str) -> str:
+    return _passed_failed(dataset, rule, f"count(*) FILTER (WHERE {key} IS NULL OR {key} NOT IN "
+                          f"(SELECT {key} FROM {parent} WHERE {key} IS NOT NULL))", src)
+
+
+_TABLE_RULES_SQL = [
+    _unique_sql("policies", "policy_id", "valid_policies"), _unique_sql("customers", "customer_id", "valid_customers"),
+    _unique_sql("claims", "claim_id", "valid_claims"),
+    _reference_sql("policies", "policy_customer_exists", "customer_id", "valid_policies", "valid_customers"),
+    _reference_sql("claims", "claim_policy_exists", "policy_id", "valid_claims", "valid_policies"),
+    _reference_sql("claims", "claim_customer_exists", "customer_id", "valid_claims", "valid_customers")]
+_VALID = ("valid_policies", "valid_customers", "valid_claims")
+
+
+@register("run_metrics", O.query("\nUNION ALL\n".join(
+    [O.rule_metrics_sql(t, src, E.RULES[t]) for t, (_, src) in _CHECKED.items()] + _TABLE_RULES_SQL),
+    *(src for _, src in _CHECKED.values()), *_VALID))
+def run_metrics(spark, sf_dir):
+    """The rule counts of the second of two runs into one catalog schema, read back by name and run id."""
+    path = scratch_path(spark, "run-metrics")
+    schema = f"claimflow_run_{path.rsplit('-', 1)[-1]}"
+    spark.sql(f"CREATE SCHEMA {schema}")
+    try:
+        ctx = _ctx(spark, sf_dir)
+        for run_id in ("first", "second"):
+            ctx.run(path, targets=list(_CHECKED), schema=schema, run_id=run_id)
+        kept = ctx.counts("rule_metrics", schema=schema).where("run_id = 'second'").drop("run_id")
+        return io.rows_to_df(spark, [tuple(r) for r in kept.collect()], kept.schema)   # a row for each rule
+    finally:
+        spark.sql(f"DROP SCHEMA {schema} CASCADE")
+
+
+@register("run_tables", O.query("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS dataset, count(*) AS rows_read, count(*) FILTER (WHERE {good}) AS rows_kept, "
+    f"count(*) FILTER (WHERE NOT ({good})) AS rows_failed, count(*) FILTER (WHERE NOT ({good})) AS rows_apart FROM {src}"
+    for t, (_, src) in _CHECKED.items()
+    for good in [" AND ".join(O.passed(r) for r in E.drop_rules(E.RULES[t]))]),
+    *(src for _, src in _CHECKED.values())))
+def run_tables(spark, sf_dir):
+    """Rows read, kept and failed of each checked table of a run, and the rows that stand in quarantine."""
+    path = scratch_path(spark, "run-tables")
+    ctx = _ctx(spark, sf_dir)
+    ctx.run(path, targets=list(_CHECKED))
+    apart = io.row_counts({t: ctx.failed(t) for t in _CHECKED}).withColumnsRenamed(
+        {"table_name": "dataset", "row_count": "rows_apart"})
+    return ctx.counts("run_tables", path).select("dataset", "rows_read", "rows_kept", "rows_failed").join(apart, "dataset")
+
+
+# ---- keys across tables ----------------------------------------------------------------------
+
+_REFERENCES = {("claims", "policy_id"): "policies", ("claims", "customer_id"): "customers",
+               ("policies", "customer_id"): "customers"}
+
+
+@register("orphan_key_counts", O.query("\nUNION ALL\n".join(
+    f"SELECT '{child}' AS child, '{parent}' AS parent, {key} AS key, count(*) AS n_rows FROM valid_{child} WHERE {key} IS NULL "
+    f"OR {key} NOT IN (SELECT {key} FROM valid_{parent} WHERE {key} IS NOT NULL) GROUP BY {key}"
+    for (child, key), parent in _REFERENCES.items()), *_VALID))
+def orphan_key_counts(spark, sf_dir):
+    """Keys without a parent row, with the rows that hold them, of the model's three references."""
+    ctx = _ctx(spark, sf_dir)
+    return summaries.union_all(*[
+        table_checks.orphan_counts(ctx.read(child), ctx.read(parent), [key]).select(
+            F.lit(child).alias("child"), F.lit(parent).alias("parent"), F.col(key).alias("key"), "n_rows")
+        for (child, key), parent in _REFERENCES.items()])
+
+
+@register("orphan_keys_filtered", O.query(
+    "SELECT customer_id, count(*) AS n_rows FROM valid_claims WHERE customer_id IS NULL OR customer_id NOT IN "
+    "(SELECT customer_id FROM valid_customers WHERE customer_id IS NOT NULL) GROUP BY customer_id", *_VALID))
+def orphan_keys_filtered(spark, sf_dir):
+    """Claims' customers without a customer row, the customers' keys as a Bloom filter before the join."""
+    ctx = _ctx(spark, sf_dir)
+    customers = ctx.read("customers")
+    return table_checks.orphan_counts(ctx.read("claims"), customers, ["customer_id"],
+                                      bloom_keys=max(1, customers.count()))
+
+
+@register("duplicate_policy_keys", O.query(
+    "SELECT policy_id, count(*) AS n_rows FROM (SELECT policy_id FROM valid_policies UNION ALL SELECT policy_id FROM "
+    "valid_policies WHERE construction_year % 3 = 0) GROUP BY policy_id HAVING count(*) > 1", "valid_policies"))
+def duplicate_policy_keys(spark, sf_dir):
+    """A policies table that holds some policies twice: the keys that break its uniqueness."""
+    policies = _ctx(spark, sf_dir).read("policies")
+    twice = policies.unionByName(policies.where("construction_year % 3 = 0"))
+    return table_checks.duplicate_keys(twice, ["policy_id"])
+
+
+@register("enriched_once", O.query(_enriched_sql(), "valid_claims", "valid_policies", "valid_customers"))
+def enriched_once(spark, sf_dir):
+    """Claims enriched from sides that hold older versions of some rows: a row for each claim, from the newest."""
+    ctx = _ctx(spark, sf_dir)
+    policies, customers = ctx.read("policies"), ctx.read("customers")
+    older = lambda df, *dates: df.withColumns({d: F.date_add(d, -400) for d in dates})
+    return no_ts(enrich.enriched_claims(
+        ctx.read("claims"),
+        policies.unionByName(older(policies.where("construction_year % 3 = 0"), "last_updated", "created_date")),
+        customers.unionByName(older(customers.where("previous_claims_count >= 1"), "last_contact_date")), once=True))
+
+
+@register("views_by_name", O.query(
+    f"""SELECT e.claim_type, e.claim_complexity, count(*) AS claims, {O.rnd('sum(e.coverage_utilization)')} AS utilization,
+  count(d.claim_date) AS in_summary
+FROM ({_enriched_sql()}) e LEFT JOIN (SELECT DISTINCT claim_date, claim_type, severity_level FROM fact_claim) d
+  ON d.claim_date = e.claim_date AND d.claim_type = e.claim_type AND d.severity_level = e.severity_level
+GROUP BY 1, 2""", "valid_claims", "valid_policies", "valid_customers", "fact_claim"))
+def views_by_name(spark, sf_dir):
+    """The declared views, read by name in SQL."""
+    path = scratch_path(spark, "views")
+    prefix = f"run_{path.rsplit('-', 1)[-1]}_"
+    names = _ctx(spark, sf_dir).register_views(prefix)
+    try:
+        return rounded(spark.sql(
+            f"""SELECT e.claim_type, e.claim_complexity, count(*) AS claims, sum(e.coverage_utilization) AS utilization,
+  count(d.claim_date) AS in_summary
+FROM {prefix}enriched_claims e LEFT JOIN {prefix}claim_daily_summary d
+  ON d.claim_date = e.claim_date AND d.claim_type = e.claim_type AND d.severity_level = e.severity_level
+GROUP BY e.claim_type, e.claim_complexity"""), ["utilization"])
+    finally:
+        for name in names:
+            spark.catalog.dropTempView(name)
+
+
 # ---- generated tables over the ids of the given tables ------------------------------------
 
 def _ids(spark, sf_dir, table, expr):
-    """Generator ids taken from a given table."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").select(expr.alias("id"))
+    """Generator ids taken from a given table, dealt out to all cores: its file may be one row group."""
+    ids = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").select(expr.alias("id"))
+    return ids.repartition(spark.sparkContext.defaultParallelism)
 
 
 def _count(spark, sf_dir, table) -> int:

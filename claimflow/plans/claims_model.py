@@ -32,6 +32,8 @@ DEFAULT_SCHEMA = "claims_schema"
 @registry.table(name="policies", comment="Insurance policies with data quality constraints",
                 properties={"quality": "bronze"})
 @registry.expectations(POLICY_RULES)
+@registry.expect_unique("unique_policy_id", "policy_id")
+@registry.expect_reference("policy_customer_exists", "customer_id", "customers")
 def policies(ctx: Context):
     return clean_policies(ctx.read("raw_policies"), ctx.param("run_ts"))
 
@@ -39,6 +41,7 @@ def policies(ctx: Context):
 @registry.table(name="customers", comment="Customers with data quality constraints",
                 properties={"quality": "bronze"})
 @registry.expectations(CUSTOMER_RULES)
+@registry.expect_unique("unique_customer_id", "customer_id")
 def customers(ctx: Context):
     return clean_customers(ctx.read("raw_customers"), ctx.param("run_ts"))
 
@@ -46,6 +49,9 @@ def customers(ctx: Context):
 @registry.table(name="claims", comment="Insurance claims with data quality constraints",
                 properties={"quality": "bronze"})
 @registry.expectations(CLAIM_RULES)
+@registry.expect_unique("unique_claim_id", "claim_id")
+@registry.expect_reference("claim_policy_exists", "policy_id", "policies")
+@registry.expect_reference("claim_customer_exists", "customer_id", "customers")
 def claims(ctx: Context):
     return clean_claims(ctx.read("raw_claims"), ctx.param("run_ts"))
 

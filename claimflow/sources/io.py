@@ -5,11 +5,20 @@ Spark deals them out by those columns, measures the parts, joins small ones
 and splits large ones. So a hot partition value (say a third of all rows on
 one claim type) is written by as many tasks as its size needs, and a small
 one is a single file. The sizes come from the shuffle itself, at any scale;
-nothing is sampled beforehand.
+nothing is sampled beforehand. Unpartitioned tables are rebalanced alike, so
+their files have the advisory size whatever the splits of their inputs.
+
+A table is published, not overwritten: its rows go to a fresh folder, and only
+when they are all there does the name (or the folder's path) switch to it. A
+write that fails leaves the old rows in place.
 """
 
 from __future__ import annotations
 
+import re
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -49,16 +58,99 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def write_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None,
-                comment: str = "", properties: dict | None = None) -> str:
-    """Overwrite a catalog table, with its comment and properties. With ``path``
-    the table's files live there (an external table in the shared folder)
-    instead of the warehouse."""
-    spark = df.sparkSession
-    writer = df.write.mode("overwrite").format(fmt)
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+# ---- publishing -------------------------------------------------------------------
+
+#: Versions of a table's files that stay: the current one, and the one that readers may still hold.
+KEEP_VERSIONS = 2
+_VERSION = re.compile(r"v-\d{14,}-[0-9a-f]{8}")
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def stage(df: DataFrame, base: str, fmt: str = "parquet", partition_by: str | None = None) -> str:
+    """Write ``df`` to a new version folder below ``base``, in files of the advisory size.
+
+    Rows are dealt out by the partition column, or the first one: a hash needs no sort, as dealing
+    them out in turn would, and Spark splits what a hot value makes large.
+    """
+    path = f"{base.rstrip('/')}/v-{time.time_ns():019d}-{uuid.uuid4().hex[:8]}"
+    writer = df.hint("rebalance", F.col(partition_by or f"`{df.columns[0]}`")).write.format(fmt)
+    (writer.partitionBy(partition_by) if partition_by else writer).save(path)
+    return path
+
+
+def empty_like(spark: SparkSession, schema: StructType, path: str, fmt: str = "parquet") -> str:
+    """A dataset of that schema without rows at ``path``."""
+    spark.createDataFrame([], schema).write.format(fmt).mode("overwrite").save(path)
+    return path
+
+
+def drop_old_versions(spark: SparkSession, base: str, keep: int = KEEP_VERSIONS) -> list[str]:
+    """Delete all but the newest ``keep`` version folders below ``base``; other files stay."""
+    fs, p = _fs(spark, base)
+    if not fs.exists(p):
+        return []
+    names = sorted((x.getPath().getName() for x in fs.listStatus(p) if _VERSION.fullmatch(x.getPath().getName())),
+                   reverse=True)
+    for name in names[keep:]:
+        fs.delete(_fs(spark, f"{base.rstrip('/')}/{name}")[1], True)
+    return names[keep:]
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def swap_folder(spark: SparkSession, staged: str, path: str) -> str:
+    """Put the finished folder ``staged`` at ``path``; what stood there goes only when it has arrived."""
+    fs, new = _fs(spark, staged)
+    target = _fs(spark, path)[1]
+    old = None
+    if fs.exists(target):
+        old = _fs(spark, f"{path.rstrip('/')}.old-{uuid.uuid4().hex[:8]}")[1]
+        if not fs.rename(target, old):
+            raise OSError(f"can't move {path}")
+    try:
+        if not (fs.mkdirs(target.getParent()) and fs.rename(new, target)):
+            raise OSError(f"can't move {staged} to {path}")
+    except Exception:
+        if old is not None:
+            fs.rename(old, target)
+        raise
+    if old is not None:
+        fs.delete(old, True)
+    return path
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {name}").collect()
+    return next(r.data_type for r in rows if r.col_name == "Location")
+
+
+def switch_table(spark: SparkSession, name: str, location: str, schema: StructType, fmt: str = "parquet",
+                 comment: str = "", properties: dict | None = None) -> str:
+    """Let the catalog table ``name`` be the files at ``location``: one change of the catalog where the
+    schema stays. A table with another schema is made beside the old one and takes its name."""
+    kinds = lambda s: [(f.name, f.dataType) for f in s.fields]
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=location, source=fmt, schema=schema)
+    elif kinds(spark.table(name).schema) == kinds(schema):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(location)}")
+        spark.catalog.refreshTable(name)
+    else:
+        beside = f"{name}_{uuid.uuid4().hex[:8]}"
+        spark.catalog.createTable(beside, path=location, source=fmt, schema=schema)
+        spark.sql(f"DROP TABLE {name}")           # its files stay: the table is external
+        spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
     if comment:
         spark.sql(f"COMMENT ON TABLE {name} IS {_quoted(comment)}")
     if properties:
@@ -67,6 +159,38 @@ def write_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None
     return name
 
 
+def table_base(spark: SparkSession, name: str) -> str:
+    """The folder for the versions of a table that is given no path: below its schema's location."""
+    schema, _, table = name.rpartition(".")
+    database = spark.catalog.getDatabase(schema or spark.catalog.currentDatabase())
+    return f"{database.locationUri.rstrip('/')}/{table}"
+
+
+def write_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None,
+                comment: str = "", properties: dict | None = None) -> str:
+    """Publish ``df`` as a catalog table, with its comment and properties.
+
+    The rows go to a new version folder below ``path`` (or the schema's location);
+    then the table switches to it. Old versions go, but for the last.
+    """
+    spark = df.sparkSession
+    base = path or table_base(spark, name)
+    switch_table(spark, name, stage(df, base, fmt), df.schema, fmt, comment, properties)
+    drop_old_versions(spark, base)
+    return name
+
+
+def add_partition(spark: SparkSession, name: str, path: str, schema: StructType, column: str, value: str) -> None:
+    """Make the folder ``path/column=value`` a partition of the catalog table ``name``, whose files are below ``path``."""
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE {name} ({columns}, `{column}` STRING) USING parquet PARTITIONED BY (`{column}`) "
+                  f"LOCATION {_quoted(path)}")
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (`{column}` = {_quoted(value)}) "
+              f"LOCATION {_quoted(f'{path}/{column}={value}')}")
+    spark.catalog.refreshTable(name)
+
+
 def rows_to_df(spark: SparkSession, rows: list, schema: StructType | str) -> DataFrame:
     """Small driver-side constants only (lineage rows, counts of tables, golden records)."""
     return spark.createDataFrame(rows, schema)
@@ -91,7 +215,11 @@ def verify_written(spark: SparkSession, path: str, n: int = 5, order: list[str]
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, row_count) for several tables, one action for all."""
+    """(table_name, row_count) for several tables, one action for all.
+
+    Of a written Parquet table no column is read (``ReadSchema: struct<>``): the
+    counts come from the files' footers. Give it written tables, not recipes.
+    """
     parts = [df.agg(F.count(F.lit(1)).alias("row_count"))
                .select(F.lit(name).alias("table_name"), "row_count")
              for name, df in tables.items()]
