@@ -44,6 +44,12 @@ DROPPED_WORDS = frozenset(
     "navigation newsletter notice notices notification overlay pager pagination paywall popup promo promoted promotion "
     "recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored "
     "subscribe subscription toolbar topbar widget".split())
+#: Within an article only a whole class or id tells: a compound may name a part of its text ("related-work").
+#: These compounds don't.
+DROPPED_NAMES = DROPPED_WORDS | frozenset(
+    "comment-form comment-list comment-respond comments-area comments-list comments-section newsletter-signup "
+    "related-articles related-posts related-stories share-bar share-buttons site-footer site-header social-share "
+    "user-comments".split())
 #: Dropped outside the article only, which may have a header of its own.
 DROPPED_OUTSIDE = frozenset(["header"])
 ARTICLE_DROPPED = frozenset("ad ads advert advertisement card comment comments promo promoted recommended related replies "
@@ -56,11 +62,13 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class Element:
-    __slots__ = ("tag", "main", "dropped", "hash", "children", "start", "key")
+    __slots__ = ("tag", "main", "dropped", "hash", "path", "start")
 
-    def __init__(self, tag, main, dropped, key, start):
-        self.tag, self.main, self.dropped, self.key, self.start = tag, main, dropped, key, start
-        self.hash = blake2b(key.encode(errors="replace"), digest_size=8)
+    def __init__(self, tag, main, dropped, key, start, above=b""):
+        self.tag, self.main, self.dropped, self.start = tag, main, dropped, start
+        key = key.encode(errors="replace")
+        self.hash = blake2b(key, digest_size=8)
+        self.path = blake2b(key, digest_size=8, key=above).digest()     # of all elements down to here
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -74,8 +82,11 @@ def _names(attributes: dict[str, str]) -> list[str]:
     return f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()
 
 
-def _dropped(tag: str, attributes: dict[str, str], inside: bool) -> bool:
-    words = {w for n in _names(attributes) if not n.startswith(LAYOUT) for w in _WORD.findall(n)}
+def _dropped(tag: str, attributes: dict[str, str], claim: int) -> bool:
+    """``claim`` is that of the element around it (:func:`_main`)."""
+    inside = claim >= 2
+    names = [n for n in _names(attributes) if not n.startswith(LAYOUT)]
+    words = set(names) if claim == 3 else {w for n in names for w in _WORD.findall(n)}
     if tag in ("html", "body", "main"):
         return False
     if tag == "article":
@@ -89,7 +100,7 @@ def _dropped(tag: str, attributes: dict[str, str], inside: bool) -> bool:
         return True
     if inside and role == "banner":
         return False
-    return role in DROPPED_ROLES or bool(words & DROPPED_WORDS)
+    return role in DROPPED_ROLES or bool(words & (DROPPED_NAMES if claim == 3 else DROPPED_WORDS))
 
 
 def _main(tag: str, attributes: dict[str, str]) -> int:
@@ -102,12 +113,13 @@ def _main(tag: str, attributes: dict[str, str]) -> int:
 
 
 class Page:
-    """``blocks``: (text, claim, dropped) in page order; ``subtrees``: (digest,
-    first block, after the last block) of the element subtrees with text."""
+    """``blocks``: (text, claim, dropped) in page order; ``subtrees``: (digest, path, in the
+    article, first block, after the last block) of the element subtrees with text. A path
+    is a hash of the kinds and names of the elements from the root down to the subtree's."""
 
     def __init__(self, source: str):
         self.blocks: list[tuple[str, int, bool]] = []
-        self.subtrees: list[tuple[int, int, int]] = []
+        self.subtrees: list[tuple[int, int, bool, int, int]] = []
         self._stack = [Element("", 0, False, "", 0)]
         self._count: Counter = Counter()     # of the open elements by tag
         self._text: list[str] = []
@@ -130,9 +142,9 @@ class Page:
     def _open(self, tag: str, attributes: dict[str, str]) -> None:
         top = self._stack[-1]
         main = max(top.main, _main(tag, attributes))
-        dropped = top.dropped or _dropped(tag, attributes, top.main >= 2)
+        dropped = top.dropped or _dropped(tag, attributes, top.main)
         key = f"{tag} {' '.join(sorted(_names(attributes)))}"
-        self._stack.append(Element(tag, main, dropped, key, len(self.blocks)))
+        self._stack.append(Element(tag, main, dropped, key, len(self.blocks), top.path))
         self._count[tag] += 1
 
     def _close(self) -> None:
@@ -144,7 +156,8 @@ class Page:
         digest = e.hash.digest()
         self._stack[-1].hash.update(digest)
         if len(self.blocks) > e.start and e.tag not in ("html", "body"):
-            self.subtrees.append((int.from_bytes(digest, "little", signed=True), e.start, len(self.blocks)))
+            number = lambda x: int.from_bytes(x, "little", signed=True)
+            self.subtrees.append((number(digest), number(e.path), self._stack[-1].main >= 2, e.start, len(self.blocks)))
         if self._held and self._held[-1][0] == len(self._stack):
             self._text = self._held.pop()[1] + self._text
 
@@ -172,7 +185,7 @@ class Page:
             return
         if tag in INLINE:
             # only one that is dropped matters: its text is not its block's
-            if tag not in VOID and _dropped(tag, attributes, self._stack[-1].main >= 2):
+            if tag not in VOID and _dropped(tag, attributes, self._stack[-1].main):
                 self._flush_part()
                 self._open(tag, attributes)
             return

@@ -1,18 +1,22 @@
 """Main text of web pages by site template removal (operator 5).
 
-Each page is read into blocks and element subtrees. Elements that by kind,
-role, class or id are no part of an article go first, and where a page marks
-its article or main part, what lies outside goes too. The digests of the
-subtrees that are left are counted per host, over its distinct pages; a
-subtree on at least 80 % of a host's pages, and on ten at least, is the
-site's template and is deleted from every page of that host. So a notice that
-no name gives away goes, while a passage that only some pages share stays.
+Each page is read into blocks and element subtrees. All subtrees are counted
+per host, over its distinct pages, by digest and by *path*, the kinds and names
+of the elements from the root down to them. Those that recur on ``MIN_PAGES`` pages
+or more are the site's templates, if their place allows: outside of the article or
+main part that a page marks, always, so each of a site's menus, footers and notices
+goes although other pages of the site have others; on pages that mark none, if they
+are ``MIN_SHARE`` of the host's pages that have anything at their path; within an
+article, where pages may well quote the same passage, if they are ``MIN_SHARE`` of
+all the host's pages. Templates are deleted from every page of their host. Then
+elements go that by kind, role, class or id are no part of an article, and where a
+page marks its article or main part, what lies outside of it.
 
 A page's text is its blocks in order, character references decoded, white
 space within a block turned into one space, joined by line feeds. Null and
 empty pages have an empty text. A null url, or one without ``://``, has the
 empty host. Rows that repeat come out as often; identical pages of a host
-count once.
+count once. Null page ids are kept; columns other than the three are ignored.
 """
 
 from __future__ import annotations
@@ -29,32 +33,48 @@ from .common import materialize
 from .html_text import Page
 from .urls import url_parts
 
-MIN_PAGES, MIN_SHARE = 10, 0.8
+MIN_PAGES, MIN_SHARE = 5, 0.8
+#: Where a subtree stands: on a page that marks no article, outside of it, within it.
+UNMARKED, OUTSIDE, INSIDE = range(3)
 #: Template digests that are broadcast; more are joined by a shuffle, each host dealt out to SALTS parts.
 BROADCAST_DIGESTS, SALTS = 200_000, 64
 
 
-def chosen(page: Page) -> np.ndarray:
-    """Which blocks are left by the structure of the page alone."""
+def _place(digest: int, path: int) -> int:
+    """A subtree at a path, in one number."""
+    return digest ^ path
+
+
+def main_text(page: Page, templates: set[int]) -> str:
     if not page.blocks:
-        return np.zeros(0, bool)
-    claim = np.array([b[1] for b in page.blocks])
+        return ""
     stay = ~np.array([b[2] for b in page.blocks])
-    return stay & (claim >= claim[stay].max(initial=0))
+    for digest, path, _, start, end in page.subtrees:
+        if _place(digest, path) in templates:
+            stay[start:end] = False
+    claim = np.array([b[1] for b in page.blocks])
+    stay &= claim >= claim[stay].max(initial=0)
+    return "\n".join(b[0] for b, keep in zip(page.blocks, stay) if keep)
 
 
-def subtree_digests(page: Page) -> list[int]:
-    """Of the subtrees with a block that is left."""
-    before = np.concatenate(([0], np.cumsum(chosen(page))))
-    return sorted({digest for digest, start, end in page.subtrees if before[end] > before[start]})
+def template_blocks(page: Page, templates: set[int]) -> int:
+    """How many of the page's blocks are its site's template."""
+    gone = np.zeros(len(page.blocks), bool)
+    for digest, path, _, start, end in page.subtrees:
+        gone[start:end] |= _place(digest, path) in templates
+    return int(gone.sum())
 
 
-def main_text(page: Page, templates: set[int]) -> str:
-    stay = chosen(page)
-    for digest, start, end in page.subtrees:
-        if digest in templates:
-            stay[start:end] = False
-    return "\n".join(b[0] for b, keep in zip(page.blocks, stay) if keep)
+_PLACES = "array<struct<place:bigint,path:bigint,area:int>>"
+_PLACE_TYPE = pa.list_(pa.struct([("place", pa.int64()), ("path", pa.int64()), ("area", pa.int32())]))
+
+
+def places(page: Page) -> list[dict]:
+    """The page's subtrees, each once, with their paths and areas."""
+    marked = any(claim >= 2 for _, claim, _ in page.blocks)
+    found = {(_place(digest, path), path, (INSIDE if inside else OUTSIDE) if marked else UNMARKED)
+             for digest, path, inside, _, _ in page.subtrees}
+    return [dict(zip(("place", "path", "area"), x)) for x in sorted(found)]
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,10 +82,9 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sources = batch.column("html").to_pylist()
         content = [int.from_bytes(blake2b((s or "").encode(), digest_size=8).digest(), "little", signed=True)
                    for s in sources]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("host"), pa.array(content, pa.int64()),
-             pa.array([subtree_digests(Page(s or "")) for s in sources], pa.list_(pa.int64()))],
-            names=["host", "content", "digests"])
+        found = pa.array([places(Page(s or "")) for s in sources], _PLACE_TYPE)
+        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(content, pa.int64()), found],
+                                         names=["host", "content", "places"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,17 +96,23 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def site_templates(pages: DataFrame) -> DataFrame:
-    """(host, templates): the digests of the subtrees to delete from each host. A
-    host has few: each stands on most of its pages."""
+    """(host, templates): the subtrees (with their paths) to delete from each host. A
+    host has few: each stands on most of the pages of a layout."""
     seen = materialize(pages.select("host", "html").mapInArrow(
-        _subtrees, "host string, content bigint, digests array<bigint>"), "subtrees")
-    distinct = seen.groupBy("host", "content").agg(F.first("digests").alias("digests"))
+        _subtrees, f"host string, content bigint, places {_PLACES}"), "subtrees")
+    distinct = seen.groupBy("host", "content").agg(F.first("places").alias("places"))
     sizes = seen.groupBy("host").agg(F.count_distinct("content").alias("pages"))
-    counted = distinct.select("host", F.explode("digests").alias("digest")).groupBy("host", "digest").agg(
-        F.count("*").alias("n"))
-    often = (counted.where(F.col("n") >= MIN_PAGES).join(sizes, "host")
-             .where(F.col("n") >= MIN_SHARE * F.col("pages")))
-    return materialize(often.groupBy("host").agg(F.collect_list("digest").alias("templates")), "templates")
+    # a page's paths and its subtrees at them, counted side by side: (path, null) and (path, place)
+    paths = F.transform(F.array_distinct(F.transform("places", lambda p: p["path"])), lambda p: F.struct(
+        F.lit(None).cast("bigint").alias("place"), p.alias("path"), F.lit(None).cast("int").alias("area")))
+    counted = distinct.select("host", F.explode(F.concat("places", paths)).alias("x")).groupBy(
+        "host", "x.path", "x.place", "x.area").agg(F.count("*").alias("n"))
+    counted = materialize(counted.where(F.col("n") >= MIN_PAGES), "places")
+    layouts = counted.where(F.col("place").isNull()).select("host", "path", F.col("n").alias("layout"))
+    of = F.when(F.col("area") == INSIDE, F.col("pages")).when(F.col("area") == UNMARKED, F.col("layout")).otherwise(0)
+    often = (counted.where(F.col("place").isNotNull()).join(layouts, ["host", "path"]).join(sizes, "host")
+             .where(F.col("n") >= MIN_SHARE * of).select("host", "place").distinct())
+    return materialize(often.groupBy("host").agg(F.collect_list("place").alias("templates")), "templates")
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
