@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, materialize
@@ -27,6 +27,9 @@ from .common import fresh, materialize
 #: Sources whose rates are broadcast; more are joined by a shuffle.
 BROADCAST_SOURCES = 20_000
 
+#: The largest rate of one draw: exp(-rate) must not vanish. A larger rate is the sum of draws.
+LARGEST_RATE = 500
+
 #: Hexadecimal digits of MD5 that make a number: 52 bits are exact in a double.
 HEX_DIGITS = 13
 
@@ -77,25 +80,42 @@ def mix(docs: DataFrame, weights: Mapping | None = None, alpha: float = 0.5,
         text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The mix: every document as often as drawn, in a global random order.
 
-    exp(-rate) is 0 for large rates: of a rate over 500, whole copies are sure
-    and a rate between 500 and 501 is drawn.
+    A sum of independent Poisson numbers is one of the sum of their rates: a rate over
+    ``LARGEST_RATE`` is cut into equal parts of at most that, each drawn by a hash of its own.
     """
     taken = list(docs.columns)
     copy, copies, key = (fresh(c, taken) for c in ("copy", "n_copies", "shuffle_key"))
-    name, certain, chances = (fresh(c, taken) for c in ("rate_source", "sure", "steps"))
+    name, draws, chances = (fresh(c, taken) for c in ("rate_source", "draws", "steps"))
     rates = source_rates(docs, weights, alpha, total_chars, source, text)
-    sure = F.when(F.col("rate") > 500, F.floor(F.col("rate")) - 500).otherwise(0).cast("long")
-    table = rates.select(F.col("source").alias(name), sure.alias(certain),
-                         poisson_steps(F.col("rate") - sure).alias(chances))
-    uniform = hash_long(F.lit(f"draw{seed}"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))) / F.lit(2.0 ** 52)
+    parts = F.greatest(F.ceil(F.col("rate") / LARGEST_RATE), F.lit(1)).cast("int")
+    table = rates.select(F.col("source").alias(name), parts.alias(draws), poisson_steps(F.col("rate") / parts).alias(chances))
+    identity = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
+
+    def drawn_with(salt: Column) -> Column:
+        uniform = hash_long(salt, identity) / F.lit(2.0 ** 52)
+        return F.size(F.filter(chances, lambda c: c <= uniform)).cast("long")
+
+    first = drawn_with(F.lit(f"draw{seed}"))
+    more = F.when(F.col(draws) > 1, F.aggregate(
+        F.sequence(F.lit(1), F.greatest(F.col(draws) - 1, F.lit(1))), F.lit(0).cast("long"),
+        lambda n, i: n + drawn_with(F.concat(F.lit(f"draw{seed}."), i.cast("string"))))).otherwise(0)
     if rates.count() <= BROADCAST_SOURCES:
         table = F.broadcast(table)
     drawn = (docs.join(table, F.col(source).eqNullSafe(F.col(name)))
-             .withColumn(copies, F.col(certain) + F.size(F.filter(chances, lambda c: c <= uniform)))
-             .where(F.col(copies) > 0))
-    out = drawn.select(*taken, F.col(copies).cast("long").alias(copies),
-                       F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies).cast("long"))).alias(copy))
-    out = out.withColumn(key, hash_long(F.lit(f"order{seed}"),
-                                        F.coalesce(F.col(doc_id).cast("string"), F.lit("null")),
-                                        F.col(copy).cast("string")))
+             .withColumn(copies, first + more).where(F.col(copies) > 0))
+    out = drawn.select(*taken, copies, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))).alias(copy))
+    out = out.withColumn(key, shuffle_key(seed, doc_id, F.col(copy)))
     return out.repartition(F.col(key)).sortWithinPartitions(key, copy)
+
+
+def shuffle_key(seed: int, doc_id: str, copy: Column) -> Column:
+    """A copy's place in the mix."""
+    return hash_long(F.lit(f"order{seed}"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), copy.cast("string"))
+
+
+def with_shuffle_keys(mixed: DataFrame, seed: int = 0, doc_id: str = "doc_id", text: str = "text",
+                      name: str = "shuffle_key") -> DataFrame:
+    """The rows of a mix that has lost its added columns, with their places in it: the copies
+    of an id are numbered again, and so get the keys they had."""
+    same = Window.partitionBy(doc_id).orderBy(F.xxhash64(text))
+    return mixed.withColumn(name, shuffle_key(seed, doc_id, F.row_number().over(same)))
