@@ -6,8 +6,9 @@ benchmark are grouped by their rarest word in the corpus, so the scan of the
 documents looks at a window only where that word stands; a window is a hit
 when all its words equal those of the n-gram. DataFrame functions only.
 
-Null and empty texts have no words; items without a word are ignored; an item
-of fewer than ``n`` words is one window of all its words. Rows that repeat a
+Null and empty texts have no words; items without a word are ignored; items with a
+null id hit like others, count together as one item, and have no name in a list of
+ids; documents with a null id are documents like others; an item of fewer than ``n`` words is one window of all its words. Rows that repeat a
 document id with the same text are one document. Other columns are ignored by
 :func:`overlaps` and kept by :func:`remove_documents` and :func:`remove_spans`.
 """
@@ -44,15 +45,15 @@ def word_count(pieces: Column) -> Column:
 
 def benchmark_ngrams(benchmark: DataFrame, n: int = 10, text: str = "text",
                      item: str = "item_id") -> DataFrame:
-    """(words, items): each distinct window of the items with the ids it comes from."""
+    """(words, items): each distinct window of the items with the ids, as structs, that it comes from."""
     words = F.filter(word_pieces(F.col(text)), lambda w: w != "")
     size = F.size("words")
     return (benchmark.select(F.col(item).cast("string").alias("item"), words.alias("words"))
-            .where((size > 0) & F.col("item").isNotNull())
+            .where(size > 0)
             .select("item", "words", F.explode(F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1))))
                     .alias("at"))
             .select("item", F.slice("words", F.col("at"), n).alias("words"))
-            .groupBy("words").agg(F.collect_set("item").alias("items")))
+            .groupBy("words").agg(F.collect_set(F.struct("item")).alias("items")))
 
 
 def _tokens(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -135,7 +136,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, n: int = 10, **names) -> Dat
     covered = F.array_distinct(F.flatten(F.transform(
         "spans", lambda s: F.sequence(s["start"], s["start"] + s["len"] - 1))))
     return found.select("doc_id", "text_hash", "n_words", F.size(covered).cast("long").alias("n_hit"),
-                        F.array_sort("items").alias("items"), "spans",
+                        F.array_sort(F.transform("items", lambda i: i["item"])).alias("items"), "spans",
                         (F.size("spans") > 0).alias("contaminated"))
 
 
