@@ -333,10 +333,26 @@ def near_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: fl
     return rows_.select(back("key").alias("doc_id"), back("class").alias("class_id"), "n_links", "n_copies")
 
 
+#: Keys of rows without an id of their own: above all ids that they could meet.
+_NO_ID, _NO_ID_BITS = 1 << 62, (1 << 61) - 1
+
+
 def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, doc_id: str = "doc_id",
              text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the least of its class, one row for each id; all columns kept."""
-    first = fresh("first_id", docs.columns)
-    kept = near_classes(docs, n, threshold, doc_id=doc_id, text=text).where(
-        F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(first)).distinct()
-    return docs.join(kept, F.col(doc_id).eqNullSafe(F.col(first)), "left_semi").dropDuplicates([doc_id])
+    """One row of each class of near copies, that with the least id; all columns kept.
+
+    A row is known by its id and text. Different texts that share an id, or have none, are
+    different documents: they get keys of their own, a hash, for the classes. Rows of the
+    same id and text are one.
+    """
+    key, shared = (fresh(c, docs.columns) for c in ("row_key", "shared_id"))
+    texts = docs.select(F.col(doc_id).alias(shared), F.xxhash64(text).alias("tie")).where(F.col(shared).isNotNull())
+    several = materialize(texts.groupBy(shared).agg(F.min("tie").alias("a"), F.max("tie").alias("b"))
+                          .where("a <> b").select(shared), "shared-ids")
+    no_id = F.lit(_NO_ID) + F.xxhash64(F.lit("row"), doc_id, text).bitwiseAND(F.lit(_NO_ID_BITS))
+    keyed = docs.join(several, F.col(doc_id) == F.col(shared), "left").withColumn(
+        key, F.when(F.col(doc_id).isNull() | F.col(shared).isNotNull(), no_id).otherwise(F.col(doc_id).cast("long")))
+    first = fresh("first_key", keyed.columns)
+    kept = near_classes(keyed, n, threshold, doc_id=key, text=text).where("doc_id = class_id").select(
+        F.col("doc_id").alias(first)).distinct()
+    return keyed.join(kept, F.col(key) == F.col(first), "left_semi").dropDuplicates([key]).select(*docs.columns)
