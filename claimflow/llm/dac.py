@@ -142,11 +142,15 @@ def _segments(file: str, size: int):
 
 
 def write(docs: DataFrame, path: str, vocabulary: str | None = None, doc_id: str = "doc_id", text: str = "text",
-          segment: int = SEGMENT) -> None:
-    """Encode the texts in the order of ids and write the segments to the folder ``path``."""
+          segment: int = SEGMENT, order: str | None = None) -> None:
+    """Encode the texts in the order of ids, or of the column ``order``, and write the segments to the folder ``path``."""
     file = vocabulary or vocab.path(VOCABULARY)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    columns = [F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")]
+    if order is None:
+        rows, by = docs.select(*columns), ["doc_id"]
+    else:
+        rows, by = docs.select(F.col(order).alias("order"), *columns), ["order", "doc_id"]
+    ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by, "text").select("doc_id", "text")
     ordered.mapInArrow(_segments(file, segment), SEGMENTS).write.parquet(path)
 
 
@@ -180,8 +184,8 @@ def documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_id",
-               text: str = "text") -> DataFrame:
+               text: str = "text", order: str | None = None) -> DataFrame:
     """Write the token files to the shared folder and list the documents in them."""
     path = scratch_path(docs.sparkSession, "tokens")
-    write(docs, path, vocabulary, doc_id, text)
+    write(docs, path, vocabulary, doc_id, text, order=order)
     return documents(docs.sparkSession, path)
