@@ -334,6 +334,7 @@ def test_large_rates_are_drawn(llm_spark):
     n = [r.n for r in mixing.mix(df, {"a": 1}, total_chars=200 * 2000.0).groupBy("doc_id").agg(
         F.max("n_copies").alias("n")).collect()]
     assert len(n) == 200 and abs(np.mean(n) - 2000) < 10
+    assert 1300 < np.var(n, ddof=1) < 2800          # a Poisson number's, 2000, give or take 200
 
 
 # ---- 8: codes --------------------------------------------------------------------------
@@ -397,6 +398,8 @@ def page_text(source, templates=()):
     ("<header>Site</header><div id='cookie-notice'>c</div><p>body</p><div class='ad-box'>b</div><ul class='menu'><li>m</ul>"
      "<div id=comments><p>r</p></div><section role=search>q</section><p style='display: none'>h</p>", "body"),
     ("<article><p>text <a href='/'>link</a>, more</p><div hidden>no</div></article>", "text link, more"),
+    ("<article><p class='notice-period'>A</p><p class='share-price-history'>B</p><div id='related-work'><p>C</p></div>"
+     "<div class='comment-list'><p>r</p></div><div class='x comments'>s</div><p>D</p></article>", "A\nB\nC\nD"),
 ])
 def test_main_text_of_a_page(source, text):
     assert page_text(source) == text
@@ -431,6 +434,30 @@ def test_site_templates_go_and_shared_passages_stay(llm_spark):
     assert "Our shop closes at six." in got[100]        # too few pages to tell
 
 
+def test_templates_of_a_layout(llm_spark):
+    """A notice, a menu without a telling name and a footer line on half of a host's pages."""
+    def page(i):
+        layout = ("<div class='x1'><p>Please renew your card by Friday.</p></div><div class='x2'><ul><li><a>Start</a><li><a>Help "
+                  "desk</a></ul></div>") if i % 2 else ""
+        quote = "<p>Quoted by a few.</p>" if i % 4 == 1 else ""
+        return i, f"https://lib.example/{i}", (f"<body>{layout}<div class='x3'><p>Own text {i}.</p>{quote}<p>More of {i}.</p></div>"
+                                               f"<div class='x4'>The library, since 1901</div></body>")
+    rows = llm_spark.createDataFrame([page(i) for i in range(40)] + [page(3), (None, None, None)],
+                                     "page_id bigint, url string, html string")
+    more = rows.withColumns({c: F.lit("own") for c in "host content places path place inside templates salt".split()})
+    # of a page that marks its article, what recurs outside of it; what recurs within it stays
+    marked = llm_spark.createDataFrame([(i, f"http://m.example/{i}", f"<div class=q>Menu of {i % 4}</div><article><p>Own {i}.</p>"
+                                        f"<p>Quote {i % 4}.</p></article>") for i in range(24)], rows.schema)
+    pages_of = pages.site_templates(marked.withColumn("host", F.lit("m.example"))).first().templates
+    assert len(pages_of) == 4
+    one = html_text.Page(marked.first().html)
+    assert pages.template_blocks(one, set(pages_of)) == 1 and pages.main_text(one, set(pages_of)) == "Own 0.\nQuote 0."
+    for df in (rows, more, rows.repartition(7)):
+        got = {r.page_id: r.text for r in pages.extract(df).collect()}
+        assert got == {None: ""} | {i: f"Own text {i}." + ("\nQuoted by a few." if i % 4 == 1 else "") + f"\nMore of {i}."
+                                    for i in range(40)}
+
+
 # ---- 9: URLs ---------------------------------------------------------------------------
 
 def test_viterbi_against_all_splits():

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimflow.llm import chunks, dac, decontaminate, jaccard, lm, mixing, pages, quality, suffix, urls
-from cases import CLASHING, WORD, clashing, empty, llm_spark, odd, odd_documents  # noqa: F401
+from cases import CLASHING, PROSE, WORD, clashing, empty, llm_spark, odd, odd_documents  # noqa: F401
 
 BENCHMARK = [(1, "Quick brown fox jumps over a lazy dog while SEVEN wise owls"), (2, "line one"), (3, None), (4, ""),
              (None, "one"), (5, "river and nobody"), (5, "river and nobody")]
@@ -113,8 +113,25 @@ def test_repeated_rows_in_the_pipeline_stages(odd, benchmark):
     kept = quality.keep_good(odd).collect()
     assert sum(r.doc_id == 5 for r in kept) == sum(r[0] == 5 for r in odd_documents() if r[1])
     one = jaccard.keep_one(odd).collect()
-    ids = [r.doc_id for r in one]
-    assert len(ids) == len(set(ids)) and {1, 2, 3, 5} <= set(ids) and not {6, 7} & set(ids)
+    rows_ = Counter((r.doc_id, r.text) for r in one)
+    assert max(rows_.values()) == 1         # of rows of one id and text a single one
+    ids = {r.doc_id for r in one}
+    prose = next(t for d, t, *_ in odd_documents() if d == 6)
+    # of the copies of the prose (ids 5, 6, 7 and none) one is left; id 5's other text stays
+    assert {1, 2, 3, 5} <= ids and sum(t in (prose, prose + " today") for _, t in rows_) == 1
+    assert any(d == 5 and t.startswith("another") for d, t in rows_)
+
+
+def test_null_items_and_documents_hit(llm_spark):
+    words = " ".join(PROSE[:12])
+    docs = llm_spark.createDataFrame([(None, words), (1, words), (2, "x")], "doc_id bigint, text string")
+    items = llm_spark.createDataFrame([(None, words), (3, words), (None, "y")], "item_id bigint, text string")
+    for limit in (10, 0):       # broadcast, and joined by a shuffle
+        found = {r.doc_id: r for r in decontaminate.hits(docs, items, broadcast_limit=limit).collect()}
+        assert len(found) == 3 and len(found[1].spans) == 3 and not found[2].spans
+    got = {r.doc_id: (r.n_hit, r.items, r.contaminated) for r in decontaminate.overlaps(docs, items).collect()}
+    assert got == {None: (12, ["3", None], True), 1: (12, ["3", None], True), 2: (0, [], False)}
+    assert [r.doc_id for r in decontaminate.remove_documents(docs, items).collect()] == [2]
 
 
 def test_words_agree_with_the_pattern(odd):

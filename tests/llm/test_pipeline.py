@@ -36,12 +36,13 @@ def test_pipeline_rows(llm_spark):
     # stage 5
     model = Tokenizer.from_file(vocab.path(dac.VOCABULARY))
     want, at = [], 0
-    for d in sorted(r.doc_id for r in mixed):
+    for d in (r.doc_id for r in sorted(mixed, key=lambda r: (r.shuffle_key, r.doc_id))):    # the files' order
         ids = np.array([*model.encode(clean[d], add_special_tokens=False).ids, 0], "<u4")
         want.append((d, at, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
-    got = sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in P.run(llm_spark, SF).collect())
+    got = sorted(((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in P.run(llm_spark, SF).collect()), key=lambda r: r[1])
     assert got == want and 100 < len(got)
+    assert [r[0] for r in got] != sorted(r[0] for r in got)
 
 
 def test_stages_keep_the_columns(llm_spark, odd):
@@ -54,6 +55,20 @@ def test_stages_keep_the_columns(llm_spark, odd):
     assert 4 <= len(P.STAGES) <= 5 and P.ORACLE_SQL is None
 
 
+def test_near_copies_loses_no_different_text(llm_spark):
+    one, two = (" ".join(f"{w}{i}" for i in range(40)) for w in "ab")
+    docs = llm_spark.createDataFrame([(None, one), (None, two), (5, one + " x"), (5, two[::-1]), (5, two[::-1]), (9, two + " y"),
+                                      (None, None), (None, ""), (7, None)], "doc_id bigint, text string")
+    stage = dict(P.STAGES)["near_duplicates"]
+    got = sorted((str(r.doc_id), r.text or "") for r in stage(llm_spark, docs, SF).collect())
+    # the classes of ``one`` and ``two`` keep a row each; copies under other ids go, different texts stay
+    kept = [t for _, t in got]
+    assert sum(t.startswith("a0 ") for t in kept) == sum(t.startswith("b0 ") for t in kept) == 1
+    assert kept.count(two[::-1]) == 1 and sum(not t for t in kept) >= 2
+    four = llm_spark.createDataFrame([(None, one), (None, two), (5, one[::-1]), (5, two[::-1])], "doc_id bigint, text string")
+    assert stage(llm_spark, four, SF).count() == 4
+
+
 def test_pipeline_of_an_empty_table(llm_spark, odd):
     docs = odd.limit(0)
     for _, stage in P.STAGES:
