@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from claimflow.llm import dac, decontaminate, jaccard, mixing, quality
-from claimflow.llm.common import materialize, read, ship
+from claimflow.llm.common import fresh, materialize, read, ship
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +38,10 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files in the shared folder; a row for each document in them."""
+    """Token files in the shared folder, in the order of the mix; a row for each document in them."""
     ship(spark)
-    return dac.round_trip(docs)
+    place = fresh("shuffle_key", docs.columns)
+    return dac.round_trip(mixing.with_shuffle_keys(docs, name=place), order=place)
 
 
 STAGES = [
