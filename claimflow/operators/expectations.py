@@ -249,8 +249,11 @@ def observe_rules(df: DataFrame, rules: list[Rule], name: str):
     """
     from pyspark.sql import Observation
     obs = Observation(f"rules_{name}")
-    aggs = [F.count(F.lit(1)).alias("__rows"), F.count_if(all_pass(rules)).alias("__kept")]
-    aggs += [F.count_if(r.passed()).alias(r.name) for r in rules]
+    # not count_if: it names its condition in a projection, and from such names of all rules and of their
+    # conjunction the optimizer would infer a filter's every variant
+    count = lambda c, n: F.count(F.when(c, F.lit(1))).alias(n)
+    aggs = [F.count(F.lit(1)).alias("__rows"), count(all_pass(rules), "__kept")]
+    aggs += [count(r.passed(), r.name) for r in rules]
     return df.observe(obs, *aggs), obs
 
 

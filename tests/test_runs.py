@@ -105,6 +105,16 @@ def test_counts_of_runs_are_kept_by_run_id(spark, schema, item_rows):
         reg.context(spark, {}).run(out, run_id="../x")
 
 
+def test_model_run_without_quarantine(spark):
+    ctx = claims_model.context(spark, SF_SMALL)
+    ctx.run(scratch_path(spark, "r-noq"), targets=["claims", "policies", "dim_policy"], quarantine=False)
+    fresh = claims_model.context(spark, SF_SMALL)
+    for t in ("claims", "policies", "dim_policy"):
+        assert ctx.row_counts()[t] == ctx.read(t).count() == fresh.read(t).count()
+        kept = ctx.observed(t)
+        assert kept["__rows"] == fresh.unchecked(t).count()
+
+
 def test_run_without_quarantine_and_empty_states(spark, item_rows):
     out = scratch_path(spark, "r-plain")
     ctx = small_model(item_rows).context(spark, {})
