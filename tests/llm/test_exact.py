@@ -279,6 +279,88 @@ def test_quality_verdicts_agree_with_labels(llm_spark):
     assert kept[1] > 0.995 and kept[0] < 0.15
 
 
+def brute_verdicts(rows):
+    """kept by id, of (doc_id, lang, text, measures): the bands in plain Python."""
+    from decimal import ROUND_HALF_UP, Decimal
+    half_up = lambda x, d: float(Decimal(repr(float(x))).quantize(Decimal(1).scaleb(-d), ROUND_HALF_UP))
+    script_of = {b: name for name, lead in quality.SCRIPTS.items() for b in lead}
+    facts, seen = {}, set()
+    for doc, lang, text, m in rows:
+        counts = Counter(script_of[b] for b in (text or "").encode() if b in script_of)
+        script = max(quality.SCRIPTS, key=lambda s: counts[s]) if counts else "none"
+        tokens = max(m.n_tokens, 1)
+        facts[doc] = (lang, script, min(max(int(math.floor(math.log2(tokens))), 6), 12), m.entropy,
+                      m.word_chars / tokens * m.entropy, m.n_byte_tokens / tokens, m.base_failed, (lang, text))
+    once = []
+    for f in facts.values():
+        if not f[6] and f[7] not in seen:
+            seen.add(f[7])
+            once.append(f)
+    mid = {c: tuple(np.percentile([half_up(f[k], 2) for f in once if f[2] == c], 50) for k in (3, 4))
+           for c in {f[2] for f in once}}
+    groups = defaultdict(list)
+    for lang, script, c, e, v, b, *_ in once:
+        b, raw = half_up(b, 3), (half_up(e, 2), half_up(v, 2))
+        part = tuple(half_up(x / max(m, 0.01), 4) for x, m in zip(raw, mid[c]))
+        groups["class", lang, c].append((*raw, b))
+        groups["lang", lang].append((*part, b))
+        groups["script", script].append((*part, b))
+
+    def band(rows, wide, least_e):
+        low = []
+        for k, width, least in ((0, 4.0, least_e), (1, 3.5, None)):
+            q = np.percentile([r[k] for r in rows], [25, 50, 75, 90])
+            spread = max((q[2] - q[0]) / 1.349, (q[3] - q[1]) / 1.2816, 0.01 * q[1] if least is None else least)
+            low.append(q[1] - wide * width * spread)
+        return (*low, np.percentile([r[2] for r in rows], 75) + wide * 0.1)
+
+    out = {}
+    for doc, (lang, script, c, e, v, b, failed, _) in facts.items():
+        for key, need, wide in ((("class", lang, c), 100, 1.0), (("lang", lang), 100, 1.5), (("script", script), 100, 1.5),
+                                (("script", script), 20, 2.0)):
+            if len(groups[key]) >= need:
+                times = (1, 1) if key[0] == "class" else mid[c] if c in mid else (None, None)
+                e_low, v_low, b_high = band(groups[key], wide, 0.03 if key[0] == "class" else 0.03 / 8)
+                out[doc] = not failed and not (e < e_low * times[0] or v < v_low * times[1] or b > b_high)
+                break
+        else:
+            out[doc] = not failed
+    return out
+
+
+GREEK = str.maketrans("abcdefghijklmnopqrstuvwxyzäöüßABCDEFGHIJKLMNOPQRSTUVWXYZÄÖÜ",
+                      "αβκδεφγηιξθλμνοπψρστυωχζςάέήίόύΑΒΚΔΕΦΓΗΙΞΘΛΜΝΟΠΨΡΣΤΥΩΧΖΆΈΉΊ"[:59])
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_bands_in_plain_python(llm_spark, seed):
+    """Four languages, a rare script of 60 texts and one of 10, a null language, copies."""
+    docs = [(r.doc_id, r.text, r.lang) for r in llm_spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    rng = random.Random(seed)
+    plain = [t for _, t, lang in docs if t and lang == "de" and len(t.split()) > 30]
+    docs += [(10_000 + i, t.translate(GREEK), "xx") for i, t in enumerate(rng.sample(plain, 60))]
+    docs += [(20_000 + i, t.translate({c: 0x5D0 + c % 27 for c in range(97, 123)}), None) for i, t in enumerate(plain[:10])]
+    docs += [(30_000 + i, t, "en") for i, (_, t, _) in enumerate(docs[:30])]
+    df = llm_spark.createDataFrame(docs, "doc_id bigint, text string, lang string").repartition(4)
+    got = {r.doc_id: r for r in quality.judge(df).collect()}
+    want = brute_verdicts([(d, lang, t, got[d]) for d, t, lang in docs])
+    assert {d: r.kept for d, r in got.items()} == want
+    greek = [r.kept for d, r in got.items() if 10_000 <= d < 20_000 and not r.base_failed]
+    assert len(greek) > 40 and sum(greek) >= 0.95 * len(greek)
+
+
+def test_a_rare_script_is_not_judged_by_others(llm_spark):
+    docs = llm_spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    good = llm_spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("quality = 1 AND toxic = 0")
+    texts = [r.text for r in docs.where("lang = 'de'").join(good, "doc_id").orderBy("doc_id").limit(60).collect()]
+    rare = llm_spark.createDataFrame([(10**7 + i, t.translate(GREEK), "xx", "s", 0) for i, t in enumerate(texts)], docs.schema)
+    judged = quality.judge(docs.unionByName(rare)).where("doc_id >= 10000000").collect()
+    clean = [r.kept for r in judged if not r.base_failed]
+    assert len(judged) == 60 and sum(clean) >= 0.95 * len(clean) > 50
+    few = quality.judge(rare.limit(15)).collect()               # no band at all: the base rules decide
+    assert all(r.kept != r.base_failed for r in few) and len(few) == 15
+
+
 # ---- 4: decontamination ----------------------------------------------------------------
 
 def ascii_words(text):
