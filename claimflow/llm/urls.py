@@ -31,25 +31,42 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LONGEST_NAME, LONGEST_WORD = 63, 20
 #: Rows (parts of names, or names) that are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
-#: What an occurrence in the training rows counts in the unigram model.
+#: What an occurrence in the training rows counts in the unigram model: host names use these words far
+#: more than prose does, in which many of them never stand.
 TRAINING_COUNT = 100
 
 Rule = tuple[str, str, str]
 
-# Training rows: words of host names, each row one host. Fixed values.
+# Training rows: words of host names, each row one host, by what such sites deal in. Fixed values.
 BLOCK_HOSTS = (
-    "casino win", "casino bonus online", "royal casino jackpot", "live casino slots", "poker bets blog", "free bets",
-    "sports bets odds", "bets tips win", "free slots casino", "lottery win jackpot", "roulette bonus",
-    "betting bookmaker odds", "gambling bonus casino", "bingo win prizes", "cheap pills", "pills pharmacy online",
-    "cheap viagra pills", "cialis pills discount", "diet pills weight loss", "cheap meds pharmacy", "drug discount pills",
-    "adult x", "adult video", "adult chat cams", "xxx video tube", "x rated adult x", "porn tube free", "sex cams live",
-    "sexy girls dating", "escort girls adult", "erotic adult blog", "nude cams xxx", "spam farm", "spam mail blast",
-    "link farm seo", "content farm spam", "bulk spam sender", "click farm traffic", "spam blog", "seo backlinks spam",
-    "ads track", "ads server click", "track click pixel", "ads banner popup", "ad server track", "popup ads network",
-    "click track affiliate", "pixel track ads", "affiliate ads bonus", "payday loans cash", "fast cash loans",
-    "cheap loans debt", "replica watches cheap", "cheap luxury replica", "free ringtones download", "crack warez keygen",
-    "warez torrent crack", "free iphone win prize", "win prize survey", "get rich quick cash", "crypto bonus win",
-    "phishing login verify",
+    # games of chance
+    "casino bonus online", "royal casino jackpot", "live casino slots", "poker tables online", "poker bets blog",
+    "sports bets odds", "bets tips today", "free slots casino", "lottery win jackpot", "roulette bonus spins",
+    "betting bookmaker odds", "gambling bonus casino", "bingo win prizes", "keno royale lottery", "blackjack bets win",
+    "slots spin win", "vegas casino royale", "online betting tips", "free spins bonus",
+    # medicines without a prescription
+    "pills pharmacy online", "buy cheap viagra", "cialis pills discount", "diet pills weight loss", "cheap meds pharmacy",
+    "drug discount pills", "buy xanax online", "order tramadol now", "generic viagra shop", "cheap steroids buy",
+    "meds without prescription", "pills for men",
+    # adult
+    "adult video", "adult chat cams", "xxx video tube", "x rated movies", "porn tube free", "sex cams live",
+    "hot singles dating", "sexy girls dating", "escort girls adult", "erotic adult blog", "nude cams xxx",
+    "hot girls cams", "meet singles now", "x rated cams", "milf tube xxx",
+    # unwanted mail and links
+    "spam mail blast", "link farm seo", "content farm network", "bulk mail sender", "spam sender bulk", "seo backlinks spam",
+    "spam blog", "buy backlinks cheap", "guest post seo links", "article spinner seo", "buy followers cheap",
+    # advertising
+    "ads server click", "track click pixel", "ads banner popup", "ad server track", "popup ads network",
+    "click track affiliate", "pixel track server", "affiliate ads bonus", "ads click network", "banner ads exchange",
+    # quick money
+    "payday loans cash", "fast cash loans", "cheap loans debt", "get rich quick cash", "crypto bonus signals",
+    "forex signals profit", "forex trading robot", "crypto doubler profit", "binary options profit", "bitcoin profit bonus",
+    "easy money online", "work from home cash", "debt relief fast",
+    # forgeries, theft and tricks
+    "replica watches cheap", "cheap luxury replica", "replica bags shop", "free ringtones download", "crack warez keygen",
+    "warez torrent crack", "free iphone prize", "win prize survey", "phishing login verify", "verify account login",
+    "buy essay cheap", "essay writers service", "custom essay papers", "fake diploma buy", "fake passport buy",
+    "keygen serial crack", "miracle weight loss", "free gift card generator",
 )
 ALLOW_HOSTS = (
     "daily news", "world news times", "city news online", "local weather report", "science journal", "nature science",
@@ -62,7 +79,11 @@ ALLOW_HOSTS = (
     "adult learning college", "book review", "poetry magazine", "film festival", "theatre company", "photo gallery",
     "map of europe", "mountain hiking", "bird watching", "animal rescue", "bike repair", "car repair shop", "house design",
     "cheap flights travel", "bank of england", "tax office", "city council", "parliament debates", "court records",
-    "patent office",
+    "patent office", "writers guild", "essay collection", "village pharmacy", "hot springs hotel", "card games club",
+    "trading post museum", "watch repair", "live music hall", "online course", "home and garden", "women writers",
+    "radio station", "video library", "research network", "weather service", "mail archive", "money museum", "dating of fossils",
+    "work and health", "game design school", "royal society", "royal theatre", "prize for poetry", "sports club", "data server",
+    "mobile phone repair", "press release", "job market", "loans for students", "credit union", "family doctor",
 )
 
 
@@ -104,7 +125,8 @@ def word_evidence(block: Sequence[str] = BLOCK_HOSTS, allow: Sequence[str] = ALL
     return {w: round(1e6 * (math.log((one[w] + 1) / n1) - math.log((two[w] + 1) / n2))) for w in words}
 
 
-#: Hosts to be blocked are rarer than their share of the training rows.
+#: The odds of block before any word is seen: three hosts in ten, fewer than their share of the training
+#: rows, so that a name is allowed which no word speaks against.
 PRIOR = round(1e6 * math.log(0.3 / 0.7))
 
 
