@@ -585,6 +585,51 @@ def test_hosts_of_the_small_table(llm_spark):
     assert all((r.verdict == "block") == bool(bad.search(r.host)) for r in judged) and len(judged) > 1000
 
 
+HELD_OUT = {
+    "block": "buyxanaxnow hotsingles essaywriterservice keno-royale forexsignals casino-win cheap-pills free-bets ads-track adult-x "
+             "spam-farm onlinepokerbonus cheapviagrapills livesexcams fastpaydayloans replicawatchshop cracktorrents "
+             "bettingtips bitcoinprofit banneradsnetwork".split(),
+    "allow": "citylibrary opencollege farmersmarket birdwatchingclub schoolmuseum weathermap artmuseum linuxforum "
+             "mountainbikes familyclinic gardenhouse poetryprize railwaymuseum adultschool booksandfilms citytheatre "
+             "zzyxqq localradio sciencenetwork schoolhospital".split(),
+}
+
+
+def test_verdicts_on_names_that_no_training_row_has(llm_spark):
+    rows_ = {"".join(r.split()) for r in (*urls.BLOCK_HOSTS, *urls.ALLOW_HOSTS)}
+    names = [(n, v) for v, ns in HELD_OUT.items() for n in ns]
+    assert not {n.replace("-", "") for n, _ in names} & rows_
+    docs = llm_spark.createDataFrame([(1, " ".join(PROSE * 50))], "doc_id bigint, text string")
+    pages_ = llm_spark.createDataFrame([(i, f"https://{n}.test/") for i, (n, _) in enumerate(names)], "page_id bigint, url string")
+    got = {r.page_id: r for r in urls.judge(pages_, docs).collect()}
+    right = {v: [got[i].verdict == v for i, (_, w) in enumerate(names) if w == v] for v in HELD_OUT}
+    assert all(sum(x) >= 0.9 * len(x) for x in right.values()), [(n, got[i].words, got[i].verdict) for i, (n, v) in
+                                                                 enumerate(names) if got[i].verdict != v]
+
+
+def test_bayes_by_brute_force(llm_spark):
+    """The odds of each url from counts of the training rows, for the words that the split gave."""
+    docs = llm_spark.createDataFrame([(1, " ".join(PROSE * 50))], "doc_id bigint, text string")
+    pages_ = llm_spark.read.parquet(f"{SF}/pages.parquet")
+    one, two = (Counter(w for r in rows for w in r.split()) for rows in (urls.BLOCK_HOSTS, urls.ALLOW_HOSTS))
+    n1, n2 = (sum(c.values()) + len({*one, *two}) for c in (one, two))
+    judged = urls.judge(pages_, docs).collect()
+    for r in judged:
+        names = re.findall("[a-z]{1,63}", f"{r.host} {r.path}".lower())
+        words, at = r.words.split(), 0
+        odds = math.log(0.3 / 0.7)
+        for name in names:      # the words of the names, in order
+            part = []
+            while len("".join(part)) < len(name):
+                part.append(words[at])
+                at += 1
+            assert "".join(part) == name
+            odds += sum(math.log((one[w] + 1) / n1) - math.log((two[w] + 1) / n2) for w in part
+                        if (w in one or w in two) and (len(w) > 1 or len(part) == 1))
+        assert at == len(words) and math.isclose(r.log_odds, odds, abs_tol=1e-4)
+        assert r.verdict == ("block" if r.log_odds > 0 else "allow")
+
+
 # ---- 1: pseudo-likelihood ----------------------------------------------------------------
 
 def slow_score(p, tokens):
