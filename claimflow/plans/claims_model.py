@@ -29,7 +29,7 @@ DEFAULT_SCHEMA = "claims_schema"
 
 # ---- bronze ---------------------------------------------------------------------
 
-@registry.table(name="policies", comment="Insurance policies with data quality constraints",
+@registry.table(name="policies", comment="Cleaned policies that pass the policy rules",
                 properties={"quality": "bronze"})
 @registry.expectations(POLICY_RULES)
 @registry.expect_unique("unique_policy_id", "policy_id")
@@ -38,7 +38,7 @@ def policies(ctx: Context):
     return clean_policies(ctx.read("raw_policies"), ctx.param("run_ts"))
 
 
-@registry.table(name="customers", comment="Customers with data quality constraints",
+@registry.table(name="customers", comment="Cleaned customers that pass the customer rules",
                 properties={"quality": "bronze"})
 @registry.expectations(CUSTOMER_RULES)
 @registry.expect_unique("unique_customer_id", "customer_id")
@@ -46,7 +46,7 @@ def customers(ctx: Context):
     return clean_customers(ctx.read("raw_customers"), ctx.param("run_ts"))
 
 
-@registry.table(name="claims", comment="Insurance claims with data quality constraints",
+@registry.table(name="claims", comment="Cleaned claims that pass the claim rules",
                 properties={"quality": "bronze"})
 @registry.expectations(CLAIM_RULES)
 @registry.expect_unique("unique_claim_id", "claim_id")
@@ -56,7 +56,7 @@ def claims(ctx: Context):
     return clean_claims(ctx.read("raw_claims"), ctx.param("run_ts"))
 
 
-@registry.view(name="enriched_claims", comment="Claims with business metrics")
+@registry.view(name="enriched_claims", comment="Each claim with its policy, its customer and derived figures")
 def enriched_claims(ctx: Context):
     return enrich.enriched_claims(ctx.read("claims"), ctx.read("policies"), ctx.read("customers"))
 
@@ -80,7 +80,7 @@ def _bronze_counts(ctx: Context):
         summaries.table_quality(ctx.unchecked(t), ctx.registry.rules(t), t) for t in BRONZE])
 
 
-@registry.table(name="data_quality_summary", comment="Measured data quality per table",
+@registry.table(name="data_quality_summary", comment="Records and share of records kept, by bronze table",
                 properties={"quality": "bronze"})
 def data_quality_summary(ctx: Context):
     ts = F.lit(ctx.param("run_ts")).cast("timestamp") if ctx.param("run_ts") \
@@ -100,7 +100,7 @@ for _t in BRONZE:
     _quality_table(f"{_t}_quality", _t)
 
 
-@registry.table(name="data_lineage_audit", comment="Lineage and audit trail",
+@registry.table(name="data_lineage_audit", comment="Where each bronze table comes from, its rules and counts",
                 properties={"quality": "bronze"})
 def data_lineage_audit(ctx: Context):
     base = ctx.param("source_base", DEFAULT_SOURCE_BASE)
@@ -115,7 +115,7 @@ def data_lineage_audit(ctx: Context):
 
 # ---- silver ---------------------------------------------------------------------
 
-@registry.table(name="dim_customer", comment="Conformed customer dimension",
+@registry.table(name="dim_customer", comment="One row for each customer, the latest contact",
                 properties={"quality": "silver"})
 @registry.expectations(DIM_CUSTOMER_RULES)
 def dim_customer(ctx: Context):
@@ -129,7 +129,7 @@ def dim_policy(ctx: Context):
     return star.dim_policy(ctx.read("policies"), apply_expectations=False)
 
 
-@registry.table(name="fact_claim", comment="Claims fact with conformed dimension keys",
+@registry.table(name="fact_claim", comment="Claims with the keys of their policy and customer",
                 properties={"quality": "silver"})
 @registry.expectations(FACT_CLAIM_RULES)
 def fact_claim(ctx: Context):
@@ -137,7 +137,7 @@ def fact_claim(ctx: Context):
                            ctx.param("run_ts"), apply_expectations=False)
 
 
-@registry.view(name="claim_daily_summary", comment="Daily aggregated claim metrics")
+@registry.view(name="claim_daily_summary", comment="Counts and sums of claims by day, type and severity")
 def claim_daily_summary(ctx: Context):
     return star.claim_daily_summary(ctx.read("fact_claim"))
 

@@ -2,10 +2,12 @@
 
     python -m claimflow.plans.jobs --policies P --customers C --claims K --out OUT \
         [--targets fact_claim agent_scores ...] [--run-ts "2024-01-01 00:00:00"]
+        [--schema claims] [--run-id 2024-01-02] [--no-quarantine]
 
 The raw directories are scanned with their declared schemas (partitioned
 layouts included); every declared table is written under OUT in dependency
-order and later tables read the written copies.
+order, later tables read the written copies, and all are published at the end, with
+failed rows and rule counts beside them (see ``Context.run``).
 """
 
 from __future__ import annotations
@@ -29,12 +31,12 @@ def parquet_sources(spark: SparkSession, policies: str, customers: str, claims:
 
 
 def run_model(spark: SparkSession, policies: str, customers: str, claims: str, out: str,
-              targets: list[str] | None = None, run_ts: str | None = None) -> dict[str, str]:
+              targets: list[str] | None = None, run_ts: str | None = None, **options) -> dict[str, str]:
     ctx = registry.context(spark, parquet_sources(spark, policies, customers, claims),
                            run_ts=run_ts,
                            source_paths={"policies": policies, "customers": customers,
                                          "claims": claims})
-    return ctx.run(out, targets)
+    return ctx.run(out, targets, **options)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -45,10 +47,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--targets", nargs="*")
     ap.add_argument("--run-ts")
+    ap.add_argument("--schema", help="save the tables in this catalog schema")
+    ap.add_argument("--run-id", help="the run's name in rule_metrics and run_tables")
+    ap.add_argument("--no-quarantine", action="store_true", help="don't keep the rows that fail a drop rule")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("claimflow-model").getOrCreate()
     written = run_model(spark, args.policies, args.customers, args.claims, args.out,
-                        args.targets, args.run_ts)
+                        args.targets, args.run_ts, schema=args.schema, run_id=args.run_id,
+                        quarantine=not args.no_quarantine)
     print(json.dumps(written))
 
 

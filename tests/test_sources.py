@@ -137,7 +137,9 @@ def test_jobs_cli(spark, capsys):
     raw = fixtures.materialize_all(spark, SF_SMALL)
     out = scratch_path(spark, "t-cli")
     jobs.main(["--policies", raw["policies"], "--customers", raw["customers"],
-               "--claims", raw["claims"], "--out", out, "--targets", "dim_policy"])
+               "--claims", raw["claims"], "--out", out, "--targets", "dim_policy", "--run-id", "cli", "--no-quarantine"])
     written = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert set(written) == {"policies", "dim_policy"}
     assert spark.read.parquet(written["dim_policy"]).count() > 0
+    runs = spark.read.parquet(f"{out}/run_tables")
+    assert {(r.dataset, r.run_id) for r in runs.collect()} == {("policies", "cli"), ("dim_policy", "cli")}
