@@ -281,7 +281,7 @@ class Context:
                     self._written[name], self._published[name] = where, load
                 else:
                     self.failed_tables[name] = where
-            io.drop_old_versions(self.spark, run.base(name), io.KEEP_VERSIONS if schema else 0)
+            io.drop_old_versions(self.spark, run.base(name), io.KEEP_VERSIONS if schema else 0, parts=True)
         self._forget()
 
     def _write_counts(self, run: _Run, schema: str | None) -> None:

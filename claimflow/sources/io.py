@@ -93,16 +93,18 @@ def empty_like(spark: SparkSession, schema: StructType, path: str, fmt: str = "p
     return path
 
 
-def drop_old_versions(spark: SparkSession, base: str, keep: int = KEEP_VERSIONS) -> list[str]:
-    """Delete all but the newest ``keep`` version folders below ``base``; other files stay."""
+def drop_old_versions(spark: SparkSession, base: str, keep: int = KEEP_VERSIONS, parts: bool = False) -> list[str]:
+    """Delete all but the newest ``keep`` version folders below ``base``; other files stay. Versions
+    whose parts are tables of their own go only with ``parts``, when all of these have switched."""
     fs, p = _fs(spark, base)
     if not fs.exists(p):
         return []
-    names = sorted((x.getPath().getName() for x in fs.listStatus(p) if _VERSION.fullmatch(x.getPath().getName())),
-                   reverse=True)
-    for name in names[keep:]:
-        fs.delete(_fs(spark, f"{base.rstrip('/')}/{name}")[1], True)
-    return names[keep:]
+    found = sorted((x.getPath() for x in fs.listStatus(p) if _VERSION.fullmatch(x.getPath().getName())),
+                   key=lambda x: x.getName(), reverse=True)
+    old = [x for x in found[keep:] if parts or not any("=" in y.getPath().getName() for y in fs.listStatus(x))]
+    for x in old:
+        fs.delete(x, True)
+    return [x.getName() for x in old]
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
@@ -180,6 +182,16 @@ def write_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None
     return name
 
 
+def compact_table(spark: SparkSession, name: str, fmt: str = "parquet") -> str:
+    """Publish a table's rows anew in files of the advisory size: small files of many writes
+    become few, large ones are split. Comment and properties stay; readers go on meanwhile."""
+    location = table_location(spark, name)
+    base, _, last = location.rstrip("/").rpartition("/")
+    while not _VERSION.fullmatch(last) and "=" in last:         # the kept rows' part of a version
+        base, _, last = base.rpartition("/")
+    return write_table(spark.table(name), name, fmt, base if _VERSION.fullmatch(last) else None)
+
+
 def add_partition(spark: SparkSession, name: str, path: str, schema: StructType, column: str, value: str) -> None:
     """Make the folder ``path/column=value`` a partition of the catalog table ``name``, whose files are below ``path``."""
     if not spark.catalog.tableExists(name):

@@ -176,6 +176,25 @@ def test_write_table_switches_to_new_files(spark, schema):
     assert spark.table(unplaced).count() == 4
 
 
+def test_compacting_a_table(spark, schema, item_rows):
+    path = scratch_path(spark, "r-many")
+    spark.range(4000).repartition(24).write.parquet(path)
+    name = f"{schema}.many"
+    spark.catalog.createTable(name, path=path, source="parquet", schema=spark.range(1).schema)
+    files = lambda t: spark.table(t).select(F.input_file_name()).distinct().count()
+    assert files(name) == 24
+    io.compact_table(spark, name)
+    assert files(name) == 1 and spark.table(name).agg(F.sum("id")).first()[0] == 4000 * 3999 // 2
+    assert len(glob.glob(f"{local(path)}/*.parquet")) == 24          # files that are not ours stay
+    out = scratch_path(spark, "r-compact")
+    written = small_model(item_rows).context(spark, {}).run(out, schema=schema)
+    for _ in range(4):
+        io.compact_table(spark, written["items"])
+    assert io.table_location(spark, written["items"]).startswith(io.table_location(spark, written["doubled"]).split("/doubled/")[0])
+    assert spark.table(written["items"]).count() == 3 and spark.table(f"{schema}.items_failed").count() == 4
+    assert spark.catalog.getTable(written["items"]).description == "Items"
+
+
 def test_swap_keeps_the_old_folder_if_the_new_one_is_missing(spark):
     path = scratch_path(spark, "r-swap")
     spark.range(3).write.parquet(f"{path}/t")
