@@ -22,7 +22,6 @@ count once. Null page ids are kept; columns other than the three are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +35,8 @@ from .urls import url_parts
 MIN_PAGES, MIN_SHARE = 5, 0.8
 #: Where a subtree stands: on a page that marks no article, outside of it, within it.
 UNMARKED, OUTSIDE, INSIDE = range(3)
-#: Template digests that are broadcast; more are joined by a shuffle, each host dealt out to SALTS parts.
-BROADCAST_DIGESTS, SALTS = 200_000, 64
+#: Pages read at a time.
+SLICE = 256
 
 
 def _place(digest: int, path: int) -> int:
@@ -66,68 +65,73 @@ def template_blocks(page: Page, templates: set[int]) -> int:
 
 
 _PLACES = "array<struct<place:bigint,path:bigint,area:int>>"
-_PLACE_TYPE = pa.list_(pa.struct([("place", pa.int64()), ("path", pa.int64()), ("area", pa.int32())]))
 
 
-def places(page: Page) -> list[dict]:
-    """The page's subtrees, each once, with their paths and areas."""
+def places(page: Page) -> list[tuple[int, int, int]]:
+    """(place, path, area) of the page's subtrees, each once."""
     marked = any(claim >= 2 for _, claim, _ in page.blocks)
-    found = {(_place(digest, path), path, (INSIDE if inside else OUTSIDE) if marked else UNMARKED)
-             for digest, path, inside, _, _ in page.subtrees}
-    return [dict(zip(("place", "path", "area"), x)) for x in sorted(found)]
+    return sorted({(_place(digest, path), path, (INSIDE if inside else OUTSIDE) if marked else UNMARKED)
+                   for digest, path, inside, _, _ in page.subtrees})
 
 
-def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sources = batch.column("html").to_pylist()
-        content = [int.from_bytes(blake2b((s or "").encode(), digest_size=8).digest(), "little", signed=True)
-                   for s in sources]
-        found = pa.array([places(Page(s or "")) for s in sources], _PLACE_TYPE)
-        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(content, pa.int64()), found],
+        for lo in range(0, len(batch), SLICE):
+            yield batch.slice(lo, SLICE)
+
+
+def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _slices(batches):
+        found = [places(Page(s or "")) for s in batch.column("html").to_pylist()]
+        bounds = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
+        flat = np.array([x for f in found for x in f], np.int64).reshape(-1, 3)
+        parts = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1]), pa.array(flat[:, 2], pa.int32())],
+                                           names=["place", "path", "area"])
+        yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("content"), pa.ListArray.from_arrays(bounds, parts)],
                                          names=["host", "content", "places"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _slices(batches):
         texts = [main_text(Page(s or ""), set(t or ())) for s, t in
                  zip(batch.column("html").to_pylist(), batch.column("templates").to_pylist())]
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
                                          names=["page_id", "url", "text"])
 
 
-def site_templates(pages: DataFrame) -> DataFrame:
-    """(host, templates): the subtrees (with their paths) to delete from each host. A
-    host has few: each stands on most of the pages of a layout."""
-    seen = materialize(pages.select("host", "html").mapInArrow(
-        _subtrees, f"host string, content bigint, places {_PLACES}"), "subtrees")
-    distinct = seen.groupBy("host", "content").agg(F.first("places").alias("places"))
-    sizes = seen.groupBy("host").agg(F.count_distinct("content").alias("pages"))
+def _templates(seen: DataFrame) -> DataFrame:
+    """(host, place) of the site templates, from the distinct pages (host, content, places)."""
+    sizes = seen.groupBy("host").agg(F.count("*").alias("pages"))
     # a page's paths and its subtrees at them, counted side by side: (path, null) and (path, place)
     paths = F.transform(F.array_distinct(F.transform("places", lambda p: p["path"])), lambda p: F.struct(
         F.lit(None).cast("bigint").alias("place"), p.alias("path"), F.lit(None).cast("int").alias("area")))
-    counted = distinct.select("host", F.explode(F.concat("places", paths)).alias("x")).groupBy(
+    counted = seen.select("host", F.explode(F.concat("places", paths)).alias("x")).groupBy(
         "host", "x.path", "x.place", "x.area").agg(F.count("*").alias("n"))
     counted = materialize(counted.where(F.col("n") >= MIN_PAGES), "places")
     layouts = counted.where(F.col("place").isNull()).select("host", "path", F.col("n").alias("layout"))
     of = F.when(F.col("area") == INSIDE, F.col("pages")).when(F.col("area") == UNMARKED, F.col("layout")).otherwise(0)
     often = (counted.where(F.col("place").isNotNull()).join(layouts, ["host", "path"]).join(sizes, "host")
-             .where(F.col("n") >= MIN_SHARE * of).select("host", "place").distinct())
-    return materialize(often.groupBy("host").agg(F.collect_list("place").alias("templates")), "templates")
+             .where(F.col("n") >= MIN_SHARE * of))
+    return materialize(often.select("host", "place").distinct(), "templates")
+
+
+def site_templates(pages: DataFrame) -> DataFrame:
+    """(host, content, templates): of each distinct page (host, content, html) its subtrees that are its
+    site's templates. A page's list has its own only, however many the site has."""
+    seen = materialize(pages.select("host", "content", "html").mapInArrow(
+        _subtrees, f"host string, content bigint, places {_PLACES}"), "subtrees")
+    distinct = materialize(seen.groupBy("host", "content").agg(F.first("places").alias("places")), "distinct-pages")
+    own = distinct.select("host", "content", F.explode("places.place").alias("place")).join(
+        _templates(distinct), ["host", "place"])
+    return materialize(own.groupBy("host", "content").agg(F.collect_set("place").alias("templates")), "page-templates")
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Per row: page_id, url, text."""
     host, _ = url_parts(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"),
-                        host.alias("host"))
-    templates = site_templates(rows)
-    size = templates.agg(F.sum(F.size("templates"))).first()[0] or 0
-    if size <= BROADCAST_DIGESTS:
-        joined = rows.join(F.broadcast(templates), "host", "left")
-    else:
-        salted = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(
-            salted, ["host", "salt"], "left")
+                        host.alias("host"), F.xxhash64(F.coalesce(F.col(html), F.lit(""))).alias("content"))
+    joined = rows.join(site_templates(rows), ["host", "content"], "left")
     kind = dict(rows.dtypes)["page_id"]
     return joined.select("page_id", "url", "html", "templates").mapInArrow(
         _texts, f"page_id {kind}, url string, text string")
