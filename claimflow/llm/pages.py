@@ -131,7 +131,8 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     host, _ = url_parts(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"),
                         host.alias("host"), F.xxhash64(F.coalesce(F.col(html), F.lit(""))).alias("content"))
-    joined = rows.join(site_templates(rows), ["host", "content"], "left")
+    # pages meet their templates by a shuffle, at every size: the templates grow with the pages
+    joined = rows.join(site_templates(rows).hint("merge"), ["host", "content"], "left")
     kind = dict(rows.dtypes)["page_id"]
     return joined.select("page_id", "url", "html", "templates").mapInArrow(
         _texts, f"page_id {kind}, url string, text string")
