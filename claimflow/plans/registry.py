@@ -230,7 +230,7 @@ class Context:
         schema, apart = df.schema, run.quarantine and any(r.action == DROP for r in d.rules)
         df, self._observations[d.name] = observe_rules(df, d.rules, d.name)
         if apart:
-            path = io.stage(split_by_rules(df, d.rules), run.base(d.name), run.fmt, partition_by=STATE)
+            path = io.stage(split_by_rules(df, d.rules), run.base(d.name), run.fmt, partition_by=STATE, main=KEPT)
             parts = {s: f"{path}/{STATE}={s}" for s in (KEPT, FAILED)}
             more = StructType([*schema.fields, StructField(FAILED_RULES, ArrayType(StringType()))])
             for state, kind in ((KEPT, schema), (FAILED, more)):

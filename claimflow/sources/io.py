@@ -75,15 +75,23 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def stage(df: DataFrame, base: str, fmt: str = "parquet", partition_by: str | None = None) -> str:
+def stage(df: DataFrame, base: str, fmt: str = "parquet", partition_by: str | None = None,
+          main: str | None = None) -> str:
     """Write ``df`` to a new version folder below ``base``, in files of the advisory size.
 
-    Rows are dealt out by the partition column, or the first one: a hash needs no sort, as dealing
-    them out in turn would, and Spark splits what a hot value makes large.
+    Rows are dealt out by the first column: a hash needs no sort, as dealing them out in turn
+    would, and Spark splits what a hot value makes large. With ``partition_by`` this holds for
+    the partition ``main``, which has most rows; those of the others stay together, so that
+    they are no small file in each task, and are split where they are many.
     """
     path = f"{base.rstrip('/')}/v-{time.time_ns():019d}-{uuid.uuid4().hex[:8]}"
-    writer = df.hint("rebalance", F.col(partition_by or f"`{df.columns[0]}`")).write.format(fmt)
-    (writer.partitionBy(partition_by) if partition_by else writer).save(path)
+    first, key = F.col(f"`{df.columns[0]}`"), "rebalance_key"
+    if partition_by is None:
+        df.hint("rebalance", first).write.format(fmt).save(path)
+    else:
+        spread = F.when(F.col(partition_by) == main, F.xxhash64(first)).otherwise(F.xxhash64(F.lit(0), partition_by))
+        df.withColumn(key, spread).hint("rebalance", F.col(key)).drop(key).write.format(fmt).partitionBy(
+            partition_by).save(path)
     return path
 
 
