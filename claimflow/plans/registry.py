@@ -230,7 +230,7 @@ class Context:
         schema, apart = df.schema, run.quarantine and any(r.action == DROP for r in d.rules)
         df, self._observations[d.name] = observe_rules(df, d.rules, d.name)
         if apart:
-            path = io.stage(split_by_rules(df, d.rules), run.base(d.name), run.fmt, partition_by=STATE, main=KEPT)
+            path = io.stage(split_by_rules(df, d.rules), run.base(d.name), run.fmt, partition_by=STATE, deal=False)
             parts = {s: f"{path}/{STATE}={s}" for s in (KEPT, FAILED)}
             more = StructType([*schema.fields, StructField(FAILED_RULES, ArrayType(StringType()))])
             for state, kind in ((KEPT, schema), (FAILED, more)):
@@ -238,7 +238,7 @@ class Context:
                     io.empty_like(self.spark, kind, parts[state], run.fmt)
             run.kept[d.name], run.failed[d.name] = (parts[KEPT], schema), (parts[FAILED], more)
         else:
-            path = io.stage(apply_rules(df, d.rules), run.base(d.name), run.fmt)
+            path = io.stage(apply_rules(df, d.rules), run.base(d.name), run.fmt, deal=False)
             run.kept[d.name] = (path, schema)
         run.staged[d.name] = path
         return self._load(*run.kept[d.name], run.fmt)
@@ -351,11 +351,12 @@ class Context:
         self._observations, self._checks, self._written, self.failed_tables = {}, [], {}, {}
         try:
             self._running = run
-            for level in levels:
-                # tables that don't read each other are written side by side
-                with ThreadPoolExecutor(max_workers=WRITERS) as pool:
-                    list(pool.map(self.read, level))
-            self._checks = self._check_tables(run, [t for level in levels for t in level])
+            with io.lean_writes(self.spark):
+                for level in levels:
+                    # tables that don't read each other are written side by side
+                    with ThreadPoolExecutor(max_workers=WRITERS) as pool:
+                        list(pool.map(self.read, level))
+                self._checks = self._check_tables(run, [t for level in levels for t in level])
         except BaseException:
             self._forget()
             for path in run.staged.values():

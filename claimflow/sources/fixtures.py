@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import CLAIM_SCHEMA, CUSTOMER_SCHEMA, PARTITION_COLUMNS, POLICY_SCHEMA
 from ..session import scratch_path, shared_dir
-from .io import read_dataset, write_partitioned
+from .io import lean_writes, read_dataset
 
 
 def _add(dialect: str, d: str, n: str) -> str:
@@ -122,27 +122,52 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def raw_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(_read(spark, sf_dir, "orders"), policy_exprs("spark"), POLICY_SCHEMA)
+def _given_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "orders")
 
 
-def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _given_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = _read(spark, sf_dir, "customer")
     # nation is the fixed 25-row TPC-H table; Catalyst broadcasts it by size.
     nation = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    joined = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "inner")
-    return _select(joined, customer_exprs("spark"), CUSTOMER_SCHEMA)
+    return customer.join(nation, customer.c_nationkey == nation.n_nationkey, "inner")
 
 
-def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _given_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = _read(spark, sf_dir, "lineitem")
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    joined = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey, "inner")
-    return _select(joined, claim_exprs("spark"), CLAIM_SCHEMA)
+    return lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey, "inner")
+
+
+def raw_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _select(_given_policies(spark, sf_dir), policy_exprs("spark"), POLICY_SCHEMA)
+
+
+def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _select(_given_customers(spark, sf_dir), customer_exprs("spark"), CUSTOMER_SCHEMA)
+
+
+def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _select(_given_claims(spark, sf_dir), claim_exprs("spark"), CLAIM_SCHEMA)
 
 
 DERIVE = {"policies": raw_policies, "customers": raw_customers, "claims": raw_claims}
 SCHEMAS = {"policies": POLICY_SCHEMA, "customers": CUSTOMER_SCHEMA, "claims": CLAIM_SCHEMA}
+_GIVEN = {"policies": (_given_policies, policy_exprs), "customers": (_given_customers, customer_exprs),
+          "claims": (_given_claims, claim_exprs)}
+
+
+def dealt_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A derived raw table, dealt out and sorted by its partition columns for a partitioned write.
+
+    The given tables' few columns go through the shuffle and the sort, with the partition columns;
+    the others are derived from them afterwards, in the task that writes the row.
+    """
+    (given, exprs), cols = _GIVEN[name], PARTITION_COLUMNS[name]
+    made = dict(exprs("spark"))
+    rows = given(spark, sf_dir).selectExpr("*", *[f"{made[c]} AS {c}" for c in cols])
+    rows = rows.hint("rebalance", *[F.col(c) for c in cols]).sortWithinPartitions(*cols)
+    return _select(rows, [(n, n if n in cols else e) for n, e in exprs("spark")], SCHEMAS[name])
 
 #: The given tables that each raw table is derived from.
 SOURCES = {"policies": ("orders",), "customers": ("customer", "nation"), "claims": ("lineitem", "orders")}
@@ -178,8 +203,10 @@ def materialize_raw(spark: SparkSession, sf_dir: str, name: str) -> str:
         key = (shared_dir(spark), sf_dir.rstrip("/"), name, _fingerprint(spark, sf_dir, name))
         path = _WRITTEN.get(key)
         if path is None or not _present(path):
-            path = write_partitioned(DERIVE[name](spark, sf_dir), scratch_path(spark, f"raw-{name}"),
-                                     PARTITION_COLUMNS[name])
+            path = scratch_path(spark, f"raw-{name}")
+            with lean_writes(spark, presorted=True):
+                dealt_raw(spark, sf_dir, name).write.option("compression", "zstd").partitionBy(
+                    *PARTITION_COLUMNS[name]).parquet(path)
             _WRITTEN[key] = path
         return path
 

@@ -16,8 +16,10 @@ write that fails leaves the old rows in place.
 from __future__ import annotations
 
 import re
+import threading
 import time
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +41,41 @@ def read_dataset(spark: SparkSession, path: str, schema: StructType | None = Non
     return df.select(*[f.name for f in schema.fields]) if schema is not None else df
 
 
+#: Files that a task of a partitioned write has open at a time; rows of more partitions are sorted first.
+OPEN_FILES = 16
+
+_OPEN = {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)}
+_CLEAN = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+_LOCK = threading.Lock()
+_held: dict[tuple, tuple] = {}              # by session and setting: how many hold it, its value before
+
+
+@contextmanager
+def lean_writes(spark: SparkSession, presorted: bool = False):
+    """Within it the files of a query's shuffles go when the query is done, not when the driver next
+    collects its garbage. A partitioned write also sorts no rows where a task has rows of few partitions,
+    but keeps a file open for each, unless its rows are ``presorted``. Several threads may be
+    within it; the last one puts the session's settings back."""
+    settings = _CLEAN if presorted else _CLEAN | _OPEN
+    with _LOCK:
+        for k, v in settings.items():
+            n, old = _held.get((id(spark), k), (0, spark.conf.get(k, None)))
+            _held[id(spark), k] = n + 1, old
+            spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        with _LOCK:
+            for k in settings:
+                n, old = _held.pop((id(spark), k))
+                if n > 1:
+                    _held[id(spark), k] = n - 1, old
+                elif old is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, old)
+
+
 def write_partitioned(df: DataFrame, path: str, cols: list[str], compression: str = "snappy",
                       max_records_per_file: int = 0) -> str:
     """Overwrite ``path`` as Parquet partitioned by ``cols``."""
@@ -46,7 +83,8 @@ def write_partitioned(df: DataFrame, path: str, cols: list[str], compression: st
               .write.mode("overwrite").option("compression", compression).partitionBy(*cols))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.parquet(path)
+    with lean_writes(df.sparkSession):
+        writer.parquet(path)
     return path
 
 
@@ -76,22 +114,21 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
 
 
 def stage(df: DataFrame, base: str, fmt: str = "parquet", partition_by: str | None = None,
-          main: str | None = None) -> str:
-    """Write ``df`` to a new version folder below ``base``, in files of the advisory size.
-
-    Rows are dealt out by the first column: a hash needs no sort, as dealing them out in turn
-    would, and Spark splits what a hot value makes large. With ``partition_by`` this holds for
-    the partition ``main``, which has most rows; those of the others stay together, so that
-    they are no small file in each task, and are split where they are many.
+          deal: bool = True) -> str:
+    """Write ``df`` to a new version folder below ``base``.
+
+    With ``deal`` its files have the advisory size: rows are dealt out by the first column, since a
+    hash needs no sort, as dealing them out in turn would, and Spark splits what a hot value makes
+    large. Without it no row moves: each task of the last step writes its rows, which Spark's splits
+    of a scan and its merged and split partitions of a shuffle have sized already. A task that finds rows of
+    both states keeps two files open, so nothing is sorted either.
     """
     path = f"{base.rstrip('/')}/v-{time.time_ns():019d}-{uuid.uuid4().hex[:8]}"
-    first, key = F.col(f"`{df.columns[0]}`"), "rebalance_key"
-    if partition_by is None:
-        df.hint("rebalance", first).write.format(fmt).save(path)
-    else:
-        spread = F.when(F.col(partition_by) == main, F.xxhash64(first)).otherwise(F.xxhash64(F.lit(0), partition_by))
-        df.withColumn(key, spread).hint("rebalance", F.col(key)).drop(key).write.format(fmt).partitionBy(
-            partition_by).save(path)
+    writer = (df.hint("rebalance", F.col(f"`{df.columns[0]}`")) if deal else df).write.format(fmt)
+    if fmt in ("parquet", "orc"):
+        writer = writer.option("compression", "zstd")
+    with lean_writes(df.sparkSession):
+        (writer.partitionBy(partition_by) if partition_by else writer).save(path)
     return path
 
 

@@ -21,6 +21,7 @@ from pyspark.sql.types import StructType
 from ..operators.clean import CLEANERS
 from ..operators.expectations import (FAILED, FAILED_RULES, KEPT, RULES, STATE, apply_rules, observe_rules,
                                       observed_metrics, split_by_rules)
+from ..sources.io import lean_writes
 
 METRICS_SCHEMA = "dataset string, rule string, action string, passed long, failed long"
 
@@ -63,10 +64,10 @@ def start_incremental(spark: SparkSession, table: str, source_path: str, schema:
         # so the micro-batch is neither cached nor scanned twice
         observed, obs = observe_rules(batch, rules, f"{table}_{batch_id}")
         path = f"{out_path}/batch_id={batch_id}"
-        if quarantine:
-            split_by_rules(observed, rules).write.mode("overwrite").partitionBy(STATE).parquet(path)
-        else:
-            apply_rules(observed, rules).write.mode("overwrite").parquet(path)
+        rows = split_by_rules(observed, rules) if quarantine else apply_rules(observed, rules)
+        writer = rows.write.mode("overwrite").option("compression", "zstd")
+        with lean_writes(batch.sparkSession):
+            (writer.partitionBy(STATE) if quarantine else writer).parquet(path)
         rows = observed_metrics(obs.get, rules, table)
         batch.sparkSession.createDataFrame(rows, METRICS_SCHEMA).write.mode("overwrite") \
             .parquet(f"{metrics_path}/batch_id={batch_id}")
