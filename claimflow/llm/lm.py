@@ -82,17 +82,37 @@ def _context(line: np.ndarray, places: np.ndarray) -> np.ndarray:
     return line[places[:, None] + np.array(offsets)]
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _shift(x: np.ndarray) -> None:
+    """Take from each row its greatest value, found by halves: rows are too short for a reduction of each."""
+    top, n = x, x.shape[1]
+    while n > 1 and n % 2 == 0:
+        n //= 2
+        top = np.maximum(top[:, :n], top[:, n:])
+    x -= top if n == 1 else top.max(1, keepdims=True)
+
+
+def _log_chosen(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Of each row's log softmax the chosen one; ``x`` is used up."""
+    _shift(x)
+    at = x[np.arange(len(x)), chosen]
+    np.exp(x, out=x)
+    return at - np.log(x.sum(1))
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(1, keepdims=True))
+    """In the place of ``x``."""
+    _shift(x)
+    np.exp(x, out=x)
     x /= x.sum(1, keepdims=True)
     return x
 
 
+def _logits(h: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = h @ w
+    x += b
+    return x
+
+
 def _by_class(target: np.ndarray) -> Iterator[tuple[int, slice]]:
     """The places of each class among sorted targets."""
     edges = np.searchsorted(target, np.arange(CLASSES + 1) * CLASSES).tolist()
@@ -114,12 +134,10 @@ def log_probabilities(p: Params, line: np.ndarray, places: np.ndarray, block: in
         here = places[at:at + block][order]
         target = line[here]
         _, h = _hidden(p, _context(line, here))
-        rows = np.arange(len(here))
-        one = _log_softmax(h @ p["w_class"] + p["b_class"])[rows, target // CLASSES]
+        one = _log_chosen(_logits(h, p["w_class"], p["b_class"]), target // CLASSES)
         two = np.zeros(len(here), np.float32)
         for c, which in _by_class(target):
-            logs = _log_softmax(h[which] @ p["w_token"][c] + p["b_token"][c])
-            two[which] = logs[np.arange(len(logs)), target[which] % CLASSES]
+            two[which] = _log_chosen(_logits(h[which], p["w_token"][c], p["b_token"][c]), target[which] % CLASSES)
         out[at + order] = one.astype(np.float64) + two
     return out
 
@@ -130,19 +148,26 @@ def train_step(p: Params, squares: Params, line: np.ndarray, places: np.ndarray)
     target, context = line[places], _context(line, places)
     n = len(places)
     x, h = _hidden(p, context)
-    d = _softmax(h @ p["w_class"] + p["b_class"])
-    d[np.arange(n), target // CLASSES] -= 1
+    rows = np.arange(n)
+    d = _softmax(_logits(h, p["w_class"], p["b_class"]))
+    d[rows, target // CLASSES] -= 1
     d /= n
     g = {"w_class": h.T @ d, "b_class": d.sum(0)}
     dh = d @ p["w_class"].T
-    for c, which in _by_class(target):
-        hc = h[which]
-        d = _softmax(hc @ p["w_token"][c] + p["b_token"][c])
-        d[np.arange(len(d)), target[which] % CLASSES] -= 1
-        d /= n
-        dh[which] += d @ p["w_token"][c].T
-        _adagrad(p["w_token"][c], squares["w_token"][c], hc.T @ d)
-        _adagrad(p["b_token"][c], squares["b_token"][c], d.sum(0))
+    # the tokens' softmaxes and their update are taken for all classes at once; a class without tokens has no gradient
+    classes = list(_by_class(target))
+    for c, which in classes:
+        np.matmul(h[which], p["w_token"][c], out=d[which])
+        d[which] += p["b_token"][c]
+    _softmax(d)
+    d[rows, target % CLASSES] -= 1
+    d /= n
+    g["w_token"], g["b_token"] = np.zeros_like(p["w_token"]), np.zeros_like(p["b_token"])
+    for c, which in classes:
+        dc = d[which]
+        dh[which] += dc @ p["w_token"][c].T
+        np.matmul(h[which].T, dc, out=g["w_token"][c])
+        dc.sum(0, out=g["b_token"][c])
     dh *= 1 - h * h
     g["w_in"], g["b_in"] = x.T @ dh, dh.sum(0)
     dx = (dh @ p["w_in"].T).reshape(-1, EMBEDDING)
@@ -156,7 +181,9 @@ def train_step(p: Params, squares: Params, line: np.ndarray, places: np.ndarray)
 
 def _adagrad(value: np.ndarray, square: np.ndarray, gradient: np.ndarray) -> None:
     square += gradient * gradient
-    value -= RATE * gradient / (np.sqrt(square) + 1e-6)
+    step = np.sqrt(square)
+    step += 1e-6
+    value -= np.divide(RATE * gradient, step, out=step)
 
 
 # ---- in Spark --------------------------------------------------------------------------
