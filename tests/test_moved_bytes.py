@@ -1,5 +1,7 @@
 """What a query moves: narrow rows through shuffles, no sort or shuffle that a write does not need."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,3 +63,13 @@ def test_a_staged_table_is_not_dealt_out_again(spark):
     path = io.stage(rows, scratch_path(spark, "m-stage"), partition_by="part", deal=False)
     back = spark.read.parquet(path).withColumn("file", F.input_file_name())
     assert back.count() == 1000 and back.select("file").distinct().count() == 6     # a file of each task and part
+
+
+def test_the_fact_moves_each_id_once(spark):
+    ctx = claims_model.context(spark, SF_SMALL)
+    written = ctx.run(scratch_path(spark, "m-fact"), targets=["dim_policy", "dim_customer", "claims"])
+    assert {"claims", "dim_policy", "dim_customer"} <= set(written)
+    plan = optimized(ctx.read("fact_claim"))
+    wide = next(x for x in plan.split("Join LeftOuter", 1)[1].splitlines() if ":- Project" in x)   # the claims' side
+    kept = re.findall(r"[\[ ](\w+)#\d+(?=[,\]])", wide)
+    assert {"claim_id", "__p", "__c"} <= set(kept) and not {"policy_id", "customer_id"} & set(kept)
