@@ -26,3 +26,28 @@ def canonical_value(c, domain: list[str]) -> Column:
 
 def keep_digits(c) -> Column:
     return F.regexp_replace(_col(c), "[^0-9]", "")
+
+
+#: Between the texts of a joined text, and before a letter that stands for one of these two; alone, for NULL.
+_NEXT, _MARK = "\x01", "\x02"
+
+
+def join_texts(cols: list) -> Column:
+    """Several texts as one, from which ``split_texts`` takes them again: any characters, empty ones and NULLs.
+
+    A text that is not valid UTF-8 goes as its bytes' hex digits, since a split would replace what is not.
+    """
+    def safe(c: Column) -> Column:
+        marked = F.replace(F.replace(c, F.lit(_MARK), F.lit(_MARK + "m")), F.lit(_NEXT), F.lit(_MARK + "n"))
+        return F.when(c.isNull(), F.lit(_MARK)).when(F.is_valid_utf8(c), marked).otherwise(
+            F.concat(F.lit(_MARK + "x"), F.hex(c)))
+    return F.array_join(F.transform(F.array(*[_col(c) for c in cols]), safe), _NEXT)
+
+
+def split_texts(joined) -> Column:
+    """The texts of a joined text as an array; NULL if it is."""
+    def plain(c: Column) -> Column:
+        text = F.replace(F.replace(c, F.lit(_MARK + "n"), F.lit(_NEXT)), F.lit(_MARK + "m"), F.lit(_MARK))
+        return F.when(~F.contains(c, F.lit(_MARK)), c).when(F.startswith(c, F.lit(_MARK + "x")), F.unhex(
+            F.substring(c, 3, 2 ** 31 - 1)).cast("string")).when(c != F.lit(_MARK), text)
+    return F.transform(F.split(_col(joined), _NEXT, -1), plain)

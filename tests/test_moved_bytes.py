@@ -1,14 +1,16 @@
 """What a query moves: narrow rows through shuffles, no sort or shuffle that a write does not need."""
 
+import datetime as dt
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from claimflow.operators import star
+from claimflow.functions import join_texts, split_texts
+from claimflow.operators import enrich, star
 from claimflow.plans import catalog, claims_model
 from claimflow.session import scratch_path
-from claimflow.sources import fixtures, io
+from claimflow.sources import fixtures, generate, io
 
 from conftest import SF_SMALL
 
@@ -73,3 +75,58 @@ def test_the_fact_moves_each_id_once(spark):
     wide = next(x for x in plan.split("Join LeftOuter", 1)[1].splitlines() if ":- Project" in x)   # the claims' side
     kept = re.findall(r"[\[ ](\w+)#\d+(?=[,\]])", wide)
     assert {"claim_id", "__p", "__c"} <= set(kept) and not {"policy_id", "customer_id"} & set(kept)
+
+
+def exchanges_of(plan, column: str) -> int:
+    """Shuffles of a plan that move the column."""
+    moves = plan.nodeName() == "Exchange" and column in re.findall(r"(\w+)#", plan.output().mkString(","))
+    return moves + sum(exchanges_of(plan.children().apply(i), column) for i in range(plan.children().size()))
+
+
+def test_enriched_once_moves_the_claims_once(spark):
+    claims = generate.generate_claims(spark, 300, n_policies=40, n_customers=30)
+    policies, customers = generate.generate_policies(spark, 30, n_customers=20), generate.generate_customers(spark, 20)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        df = enrich.enriched_claims(claims, policies, customers, once=True)
+        assert exchanges_of(df._jdf.queryExecution().executedPlan().initialPlan(), "claim_amount") == 1
+        got = df.collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    plain = enrich.enriched_claims(claims, policies, customers)      # the sides hold each key once
+    assert df.schema == plain.schema and len(got) == 300
+    assert sorted(map(str, got)) == sorted(map(str, plain.collect()))
+
+
+def test_enriched_once_of_odd_ids_and_texts(spark):
+    claim = generate.generate_claims(spark, 1).drop("policy_id", "customer_id", "comments")
+    rows = [("p", "c", "a"), ("p", None, ""), (None, "c", None), (None, None, "\x01"), ("x", "c", "\x02"), ("", "", "\x02n"),
+            ("p", "c", "a"), ("q", "c", "\x02\x01,\x01\x02m\n")]
+    claims = claim.crossJoin(spark.createDataFrame(rows, "policy_id string, customer_id string, comments string"))
+    day = lambda d: F.lit(d).cast("date")
+    pol = spark.createDataFrame([("p", 1, "new"), ("p", 2, "old"), (None, 3, "none"), ("q", 4, None), ("", 5, "\x02")],
+                                "policy_id string, coverage_amount int, region string").withColumns(
+        {"last_updated": F.when(F.col("region") == "old", day("2020-01-01")).otherwise(day("2021-01-01")),
+         "created_date": day("2020-01-01"), "data_source": F.lit("a")})
+    cust = spark.createDataFrame([("c", "\x01"), (None, "n"), ("c", "\x01"), ("", "e")], "customer_id string, city string").withColumns(
+        {"last_contact_date": day("2020-01-01")})
+    got = enrich.enriched_claims(claims, pol, cust, once=True).select(
+        "policy_id", "customer_id", "comments", "coverage_amount", "region", "policy_last_updated", "city")
+    new, by = dt.date(2021, 1, 1), {"p": (1, "new"), "q": (4, None), "": (5, "\x02")}
+    want = [(p, c, t, *by.get(p, (None, None)), new if p in by else None, {"c": "\x01", "": "e"}.get(c)) for p, c, t in rows]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_joined_texts_come_apart_again(spark):
+    texts = ["", None, "a", "\x01", "\x02", "\x02n", "\x02m", "\x02x41", "\x01\x02\x01", "é\n", "x" * 1000]
+    df = spark.createDataFrame([(a, b, c) for a in texts for b in texts for c in texts], "a string, b string, c string")
+    df = df.withColumn("d", F.unhex(F.lit("41FF01")).cast("string"))     # not valid UTF-8
+    parts = df.withColumn("j", join_texts([*"abcd"])).withColumn("s", split_texts("j"))
+    same = [F.get("s", F.lit(i)).cast("binary").eqNullSafe(F.col(c).cast("binary")) for i, c in enumerate("abcd")]
+    assert parts.where(~(same[0] & same[1] & same[2] & same[3] & (F.size("s") == 4))).count() == 0
+    assert parts.count() == len(texts) ** 3
+    assert spark.sql("SELECT cast(NULL AS string) AS j").select(split_texts("j").alias("s")).first().s is None
