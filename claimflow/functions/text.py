@@ -35,13 +35,17 @@ _NEXT, _MARK = "\x01", "\x02"
 def join_texts(cols: list) -> Column:
     """Several texts as one, from which ``split_texts`` takes them again: any characters, empty ones and NULLs.
 
-    A text that is not valid UTF-8 goes as its bytes' hex digits, since a split would replace what is not.
+    Texts without the two characters, all valid UTF-8, are joined as they are. Others are marked one by one; a text
+    that is not valid UTF-8 goes as its bytes' hex digits, since a split would replace what is not.
     """
     def safe(c: Column) -> Column:
         marked = F.replace(F.replace(c, F.lit(_MARK), F.lit(_MARK + "m")), F.lit(_NEXT), F.lit(_MARK + "n"))
         return F.when(c.isNull(), F.lit(_MARK)).when(F.is_valid_utf8(c), marked).otherwise(
             F.concat(F.lit(_MARK + "x"), F.hex(c)))
-    return F.array_join(F.transform(F.array(*[_col(c) for c in cols]), safe), _NEXT)
+    texts = F.array(*[_col(c) for c in cols])
+    plain, bare = F.array_join(texts, _NEXT, _MARK), F.array_join(texts, "")
+    odd = F.contains(bare, F.lit(_NEXT)) | F.contains(bare, F.lit(_MARK)) | ~F.is_valid_utf8(plain)
+    return F.when(odd, F.array_join(F.transform(texts, safe), _NEXT)).otherwise(plain)
 
 
 def split_texts(joined) -> Column:
@@ -50,4 +54,5 @@ def split_texts(joined) -> Column:
         text = F.replace(F.replace(c, F.lit(_MARK + "n"), F.lit(_NEXT)), F.lit(_MARK + "m"), F.lit(_MARK))
         return F.when(~F.contains(c, F.lit(_MARK)), c).when(F.startswith(c, F.lit(_MARK + "x")), F.unhex(
             F.substring(c, 3, 2 ** 31 - 1)).cast("string")).when(c != F.lit(_MARK), text)
-    return F.transform(F.split(_col(joined), _NEXT, -1), plain)
+    texts = F.split(_col(joined), _NEXT, -1)
+    return F.when(F.contains(_col(joined), F.lit(_MARK)), F.transform(texts, plain)).otherwise(texts)
