@@ -56,7 +56,7 @@ def _narrow(df: DataFrame, keys: list[str], into: str) -> tuple[DataFrame, list[
 
 
 def _join_through_pairs(claims: DataFrame, policies: DataFrame, customers: DataFrame) -> DataFrame:
-    """claims ⟕ policies ⟕ customers, of which no key stands twice; the claims' wide rows are shuffled once.
+    """claims ⟕ policies ⟕ customers; the claims' wide rows are shuffled once.
 
     Each side is joined to the distinct pairs of ids that claims hold, and the claims to what that gives, by
     the pair: so they need not be dealt out anew for each side. The texts of a row cross the shuffles as one, which
@@ -81,14 +81,15 @@ def _join_through_pairs(claims: DataFrame, policies: DataFrame, customers: DataF
 
 
 def enriched_claims(claims: DataFrame, policies: DataFrame, customers: DataFrame,
-                    once: bool = False) -> DataFrame:
+                    once: bool = False, whole: bool = False) -> DataFrame:
     """claims ⟕ policies on policy_id ⟕ customers on the claim's customer_id.
 
     A claim comes as often as its policy and customer stand in their tables; with
     ``once`` each side is first reduced to the newest row of each key, as in the
     star schema, so the result has a row for each claim. Each side is projected before the join; a policy or customer column whose
     name is already used elsewhere gets a ``policy_`` / ``customer_`` prefix
-    (the claim keeps its own ``customer_id``, ``last_updated`` ...).
+    (the claim keeps its own ``customer_id``, ``last_updated`` ...). ``whole``, and ``once``, are for callers that take
+    all columns: the sides are joined by the pairs of ids, which moves fewer bytes but leaves no column out.
     """
     if once:
         policies = dedupe(_unaudited(policies), ["policy_id"], DIM_POLICY_ORDER)
@@ -98,7 +99,7 @@ def enriched_claims(claims: DataFrame, policies: DataFrame, customers: DataFrame
                     claim_cols | set(customers.columns))
     cust = _prefixed(customers, "customer_id", "customer_",
                      claim_cols | set(policies.columns))
-    if once:
+    if once or whole:
         joined = _join_through_pairs(claims, pol, cust)
     else:
         joined = claims.join(pol, "policy_id", "left").join(cust, "customer_id", "left")

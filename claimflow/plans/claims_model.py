@@ -58,7 +58,8 @@ def claims(ctx: Context):
 
 @registry.view(name="enriched_claims", comment="Each claim with its policy, its customer and derived figures")
 def enriched_claims(ctx: Context):
-    return enrich.enriched_claims(ctx.read("claims"), ctx.read("policies"), ctx.read("customers"))
+    return enrich.enriched_claims(ctx.read("claims"), ctx.read("policies"), ctx.read("customers"),
+                                  whole=ctx.param("whole_rows", False))
 
 
 BRONZE = ("policies", "customers", "claims")

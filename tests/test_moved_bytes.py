@@ -102,6 +102,57 @@ def test_enriched_once_moves_the_claims_once(spark):
     assert sorted(map(str, got)) == sorted(map(str, plain.collect()))
 
 
+@pytest.fixture
+def no_broadcasts(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_the_enriched_claims_query_moves_the_claims_once(spark, no_broadcasts):
+    df = catalog.QUERIES["enriched_claims"](spark, SF_SMALL)
+    assert exchanges_of(df._jdf.queryExecution().executedPlan().initialPlan(), "claim_amount") == 1
+    view = claims_model.context(spark, SF_SMALL, materialized=False).read("enriched_claims").select(*df.columns)
+    assert df.schema == view.schema and df.count() == view.count()
+    assert df.exceptAll(view).count() == 0 and view.exceptAll(df).count() == 0
+
+
+def test_whole_rows_fan_out_with_their_sides(spark, no_broadcasts):
+    claims = generate.generate_claims(spark, 200, n_policies=12, n_customers=9)
+    policies, customers = generate.generate_policies(spark, 10, n_customers=8), generate.generate_customers(spark, 8)
+    policies = policies.unionByName(policies.where("policy_id < 'POL_000006'").withColumn("region", F.lit("\x01?\x02")))
+    customers = customers.unionByName(customers.where("customer_id > 'CUST_000004'")).unionByName(
+        customers.withColumn("customer_id", F.lit(None).cast("string")))
+    plain = enrich.enriched_claims(claims, policies, customers)
+    whole = enrich.enriched_claims(claims, policies, customers, whole=True)
+    assert whole.schema == plain.schema and plain.count() > 200
+    assert sorted(map(str, whole.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_rules_on_a_derived_table_are_not_one_large_method(spark):
+    df = claims_model.context(spark, SF_SMALL, materialized=False).read("claims")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    rules = [x for x in plan.splitlines() if "Filter (" in x and "l_extendedprice" in x]
+    assert rules and not any(re.search(r"\*\(\d+\) Filter", x) for x in rules)
+    empty = fixtures._apart(spark.createDataFrame([(None, None), ("a", 1)], "t string, n int"))
+    assert sorted(map(tuple, empty.collect()), key=str) == [("a", 1), (None, None)]        # no row goes
+
+
+def test_plain_texts_are_joined_as_they_are(spark):
+    df = spark.createDataFrame([("a", "", None), (None, None, None), ("", "é", "b"), ("a\x01", "\x02", None)], "a string, b string, c string")
+    got = df.withColumn("j", join_texts([*"abc"])).withColumn("s", split_texts("j"))
+    assert [r.j for r in got.collect()][:3] == ["a\x01\x01\x02", "\x02\x01\x02\x01\x02", "\x01é\x01b"]
+    assert all(r.s == [r.a, r.b, r.c] for r in got.collect())
+    halves = df.limit(1).select(F.unhex(F.lit("C3")).cast("string").alias("a"), F.unhex(F.lit("A9")).cast("string").alias("b"))
+    back = halves.select(split_texts(join_texts([*"ab"])).alias("s")).select(*[F.hex(F.get("s", F.lit(i)).cast("binary")) for i in (0, 1)])
+    assert tuple(back.first()) == ("C3", "A9")       # two parts of a character are not one
+
+
 def test_enriched_once_of_odd_ids_and_texts(spark):
     claim = generate.generate_claims(spark, 1).drop("policy_id", "customer_id", "comments")
     rows = [("p", "c", "a"), ("p", None, ""), (None, "c", None), (None, None, "\x01"), ("x", "c", "\x02"), ("", "", "\x02n"),
