@@ -257,6 +257,18 @@ def observe_rules(df: DataFrame, rules: list[Rule], name: str):
     return df.observe(obs, *aggs), obs
 
 
+class SummedCounts:
+    """The observations of several writes as one."""
+
+    def __init__(self, parts: list):
+        self.parts = parts
+
+    @property
+    def get(self) -> dict:
+        seen = [p.get for p in self.parts]
+        return {k: sum(s[k] for s in seen) for k in seen[0]}
+
+
 def observed_metrics(values: dict, rules: list[Rule], dataset: str) -> list[tuple]:
     """(dataset, rule, action, passed, failed) rows from an observation's values."""
     n = values["__rows"]

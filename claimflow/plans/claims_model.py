@@ -131,11 +131,11 @@ def dim_policy(ctx: Context):
 
 
 @registry.table(name="fact_claim", comment="Claims with the keys of their policy and customer",
-                properties={"quality": "silver"})
+                properties={"quality": "silver"}, shares_of="claims")
 @registry.expectations(FACT_CLAIM_RULES)
 def fact_claim(ctx: Context):
     return star.fact_claim(ctx.read("claims"), ctx.read("dim_policy"), ctx.read("dim_customer"),
-                           ctx.param("run_ts"), apply_expectations=False)
+                           ctx.param("run_ts"), apply_expectations=False, share=ctx.share())
 
 
 @registry.view(name="claim_daily_summary", comment="Counts and sums of claims by day, type and severity")

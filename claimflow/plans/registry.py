@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..operators.expectations import (ALL_OR_DROP, DROP, EXPECT, FAILED, FAILED_RULES, KEPT, OR_DROP, STATE, WARN,
-                                      Rule, apply_rules, observe_rules, observed_metrics, split_by_rules)
+                                      Rule, SummedCounts, apply_rules, observe_rules, observed_metrics, split_by_rules)
 from ..operators.table_checks import FAIL, Reference, UniqueKey, keys_to_filter, reference_metrics, unique_metrics
 from ..sources import io
 
@@ -36,6 +36,10 @@ from ..sources import io
 #: Tables that a run writes at a time.
 WRITERS = 4
 
+#: A table that may be written in shares (``shares_of``) is written in at most SHARES, as many as the table it is
+#: made from has SHARE_BYTES, by Catalyst's estimate.
+SHARES, SHARE_BYTES = 4, 256 << 20
+
 #: The tables of a run's counts.
 RULE_METRICS, RUN_TABLES = "rule_metrics", "run_tables"
 METRICS_SCHEMA = "dataset string, rule string, action string, passed long, failed long"
@@ -52,6 +56,7 @@ class DatasetDef:
     rules: list[Rule] = field(default_factory=list)
     uniques: list[UniqueKey] = field(default_factory=list)
     references: list[Reference] = field(default_factory=list)
+    shares_of: str | None = None
 
 
 @dataclass
@@ -84,7 +89,7 @@ class Registry:
         self.datasets: dict[str, DatasetDef] = {}
 
     # -- declarations -------------------------------------------------------------
-    def _declare(self, kind, name, comment, properties):
+    def _declare(self, kind, name, comment, properties, shares_of=None):
         def deco(fn):
             n = name or fn.__name__
             if n in self.datasets:
@@ -93,12 +98,15 @@ class Registry:
                 raise ValueError(f"{n} is a table of the runs themselves")
             self.datasets[n] = DatasetDef(n, fn, kind, comment, dict(properties or {}),
                                           list(getattr(fn, "__rules__", [])), list(getattr(fn, "__uniques__", [])),
-                                          list(getattr(fn, "__references__", [])))
+                                          list(getattr(fn, "__references__", [])), shares_of)
             return fn
         return deco
 
-    def table(self, name: str | None = None, comment: str = "", properties: dict | None = None):
-        return self._declare("table", name, comment, properties)
+    def table(self, name: str | None = None, comment: str = "", properties: dict | None = None,
+              shares_of: str | None = None):
+        """With ``shares_of``, the table whose wide rows it moves, a run writes a large one share by share, which bounds
+        its shuffle's files: its function gives the rows of ``ctx.share()``."""
+        return self._declare("table", name, comment, properties, shares_of)
 
     def view(self, name: str | None = None, comment: str = ""):
         return self._declare("view", name, comment, None)
@@ -180,6 +188,10 @@ class Context:
     def param(self, name: str, default=None):
         return self._params.get(name, default)
 
+    def share(self) -> tuple[int, int] | None:
+        """The share of its rows, (k, n), that the dataset being built is to give; None for all."""
+        return getattr(self._reading, "share", None)
+
     def _note(self, name: str) -> list[str]:
         chain = self._reading.__dict__.setdefault("chain", [])
         if chain:
@@ -193,10 +205,12 @@ class Context:
             if name in chain:
                 raise ValueError(f"datasets read each other: {' -> '.join([*chain[chain.index(name):], name])}")
             chain.append(name)
+            share, self._reading.share = self.share(), None          # a share is the table's, not of what it reads
             try:
                 self._unchecked[name] = self.registry.datasets[name].fn(self)
             finally:
                 chain.pop()
+                self._reading.share = share
         return self._unchecked[name]
 
     def read(self, name: str) -> DataFrame:
@@ -224,13 +238,34 @@ class Context:
     def _load(self, path: str, schema: StructType, fmt: str) -> DataFrame:
         return self.spark.read.schema(schema).format(fmt).load(path)
 
+    def _shares(self, d: DatasetDef, df: DataFrame) -> list[DataFrame]:
+        """The table's rows, in as many shares as the run writes one after the other."""
+        if not d.shares_of:
+            return [df]
+        size = self.read(d.shares_of)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        n = min(SHARES, 1 + int(str(size)) // SHARE_BYTES)
+        shares = []
+        for k in range(n if n > 1 else 0):
+            self._reading.share = (k, n)
+            try:
+                shares.append(d.fn(self))
+            finally:
+                self._reading.share = None
+        return shares or [df]
+
     def _stage(self, run: _Run, d: DatasetDef, df: DataFrame) -> DataFrame:
         """Write a table to a fresh folder, its failed rows apart; the kept rows, read back."""
         # the counts ride along with the write: no second pass
         schema, apart = df.schema, run.quarantine and any(r.action == DROP for r in d.rules)
-        df, self._observations[d.name] = observe_rules(df, d.rules, d.name)
+        path, seen = None, []
+        for df in self._shares(d, df):
+            df, counts = observe_rules(df, d.rules, d.name)
+            seen.append(counts)
+            rows = split_by_rules(df, d.rules) if apart else apply_rules(df, d.rules)
+            path = io.stage(rows, run.base(d.name), run.fmt, partition_by=STATE if apart else None, deal=False, into=path)
+            run.staged[d.name] = path
+        self._observations[d.name] = seen[0] if len(seen) == 1 else SummedCounts(seen)
         if apart:
-            path = io.stage(split_by_rules(df, d.rules), run.base(d.name), run.fmt, partition_by=STATE, deal=False)
             parts = {s: f"{path}/{STATE}={s}" for s in (KEPT, FAILED)}
             more = StructType([*schema.fields, StructField(FAILED_RULES, ArrayType(StringType()))])
             for state, kind in ((KEPT, schema), (FAILED, more)):
@@ -238,9 +273,7 @@ class Context:
                     io.empty_like(self.spark, kind, parts[state], run.fmt)
             run.kept[d.name], run.failed[d.name] = (parts[KEPT], schema), (parts[FAILED], more)
         else:
-            path = io.stage(apply_rules(df, d.rules), run.base(d.name), run.fmt, deal=False)
             run.kept[d.name] = (path, schema)
-        run.staged[d.name] = path
         return self._load(*run.kept[d.name], run.fmt)
 
     def _check_tables(self, run: _Run, tables: list[str]) -> list[tuple]:

@@ -114,8 +114,8 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
 
 
 def stage(df: DataFrame, base: str, fmt: str = "parquet", partition_by: str | None = None,
-          deal: bool = True) -> str:
-    """Write ``df`` to a new version folder below ``base``.
+          deal: bool = True, into: str | None = None) -> str:
+    """Write ``df`` to a new version folder below ``base``, or add it to the one (``into``) that is being written.
 
     With ``deal`` its files have the advisory size: rows are dealt out by the first column, since a
     hash needs no sort, as dealing them out in turn would, and Spark splits what a hot value makes
@@ -123,8 +123,10 @@ def stage(df: DataFrame, base: str, fmt: str = "parquet", partition_by: str | No
     of a scan and its merged and split partitions of a shuffle have sized already. A task that finds rows of
     both states keeps two files open, so nothing is sorted either.
     """
-    path = f"{base.rstrip('/')}/v-{time.time_ns():019d}-{uuid.uuid4().hex[:8]}"
+    path = into or f"{base.rstrip('/')}/v-{time.time_ns():019d}-{uuid.uuid4().hex[:8]}"
     writer = (df.hint("rebalance", F.col(f"`{df.columns[0]}`")) if deal else df).write.format(fmt)
+    if into:
+        writer = writer.mode("append")
     if fmt in ("parquet", "orc"):
         writer = writer.option("compression", "zstd")
     with lean_writes(df.sparkSession):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from claimflow.functions import join_texts, split_texts
 from claimflow.operators import enrich, star
-from claimflow.plans import catalog, claims_model
+from claimflow.plans import catalog, claims_model, registry
 from claimflow.session import scratch_path
 from claimflow.sources import fixtures, generate, io
 
@@ -67,6 +67,37 @@ def test_a_staged_table_is_not_dealt_out_again(spark):
     assert back.count() == 1000 and back.select("file").distinct().count() == 6     # a file of each task and part
 
 
+@pytest.mark.parametrize("quarantine", [True, False])
+def test_a_large_fact_is_written_in_shares(spark, monkeypatch, quarantine):
+    def write(title):
+        ctx, calls = claims_model.context(spark, SF_SMALL, run_ts=catalog.RUN_TS), []
+        stage = io.stage
+        monkeypatch.setattr(io, "stage", lambda df, base, *a, **k: calls.append(base.split("/")[-1]) or stage(df, base, *a, **k))
+        path = scratch_path(spark, f"m-{title}")
+        ctx.run(path, targets=["fact_claim"], quarantine=quarantine)
+        monkeypatch.setattr(io, "stage", stage)
+        failed = [ctx.failed("fact_claim")] if quarantine else []
+        return calls, [ctx.read("fact_claim"), *failed], sorted(ctx.rule_metrics()), ctx.row_counts()
+
+    calls, tables, metrics, counts = write("whole")
+    monkeypatch.setattr(registry, "SHARE_BYTES", 1 << 10)
+    calls_s, tables_s, metrics_s, counts_s = write("shares")
+    assert calls.count("fact_claim") == 1 and calls_s.count("fact_claim") == registry.SHARES
+    assert metrics == metrics_s and counts == counts_s
+    for a, b in zip(tables, tables_s, strict=True):
+        assert a.schema == b.schema and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_shares_of_the_fact_are_the_fact(spark):
+    ctx = claims_model.context(spark, SF_SMALL)
+    ids = spark.createDataFrame([("p", "c"), (None, "c"), (None, None), ("x", None), ("", ""), ("p", "c")], "policy_id string, customer_id string")
+    claims = ctx.read("claims").limit(3).drop("policy_id", "customer_id").crossJoin(ids)
+    pol, cust = ids.select("policy_id").distinct(), ids.select("customer_id").distinct()
+    fact = lambda **kw: star.fact_claim(claims, pol, cust, catalog.RUN_TS, apply_expectations=False, **kw)
+    shares = [row for k in range(3) for row in fact(share=(k, 3)).collect()]
+    assert sorted(map(str, shares)) == sorted(map(str, fact().collect())) and len(shares) == 18
+
+
 def test_the_fact_moves_each_id_once(spark):
     ctx = claims_model.context(spark, SF_SMALL)
     written = ctx.run(scratch_path(spark, "m-fact"), targets=["dim_policy", "dim_customer", "claims"])
